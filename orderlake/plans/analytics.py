@@ -6,24 +6,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake.functions.dates import day_partition, day_text
+from orderlake.functions.measures import order_count, revenue
 from orderlake.functions.scalars import mean_money
 
-ORDERS = F.count("*").alias("orders")
-REVENUE = F.sum("order_total").alias("revenue")
 
 
 def pruned_single_day(sales: DataFrame, day: str) -> DataFrame:
     """One day by its partition columns: the other days are not even listed."""
-    return sales.where(day_partition(day)).agg(ORDERS, REVENUE)
+    return sales.where(day_partition(day)).agg(order_count(), revenue())
 
 
 def full_scan_same_answer(sales: DataFrame, day: str) -> DataFrame:
     """The same day by a derived value. It cannot be pruned and is kept for comparison."""
-    return sales.where(day_text(F.col("order_date")) == day).agg(ORDERS, REVENUE)
+    return sales.where(day_text(F.col("order_date")) == day).agg(order_count(), revenue())
 
 
 def single_column_projection(sales: DataFrame) -> DataFrame:
-    return sales.agg(REVENUE)
+    return sales.agg(revenue())
 
 
 def many_column_projection(sales: DataFrame) -> DataFrame:
@@ -39,7 +38,7 @@ def many_column_projection(sales: DataFrame) -> DataFrame:
 def revenue_by_category(sales: DataFrame) -> DataFrame:
     return (
         sales.groupBy("category")
-        .agg(ORDERS, REVENUE, mean_money(F.sum("order_total"), F.count("order_total")).alias("avg_order"))
+        .agg(order_count(), revenue(), mean_money(F.sum("order_total"), F.count("order_total")).alias("avg_order"))
         .orderBy(F.col("revenue").desc(), "category")
     )
 
@@ -50,7 +49,7 @@ def top_customers_by_country(sales: DataFrame, places: int = 3) -> DataFrame:
     The rank filter is pushed below the shuffle, so a country sends its best few
     customers of each task and not all of them.
     """
-    totals = sales.groupBy("country", "customer_id").agg(REVENUE)
+    totals = sales.groupBy("country", "customer_id").agg(revenue())
     rank = F.rank().over(Window.partitionBy("country").orderBy(F.col("revenue").desc()))
     return (
         totals.withColumn("rnk", rank)
@@ -77,7 +76,7 @@ def buyers_by_country(sales: DataFrame, customers: DataFrame) -> DataFrame:
 
 def category_country_summary(sales: DataFrame) -> DataFrame:
     """The aggregate worth materialising: every later read of it skips the fact."""
-    return sales.groupBy("category", "country").agg(ORDERS, REVENUE)
+    return sales.groupBy("category", "country").agg(order_count(), revenue())
 
 
 def summary_by_category(summary: DataFrame) -> DataFrame:

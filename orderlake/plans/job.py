@@ -167,6 +167,8 @@ def run_curated_sales(
     record = reconcile(orders, judged, sales)
     report = record.first().asDict()
     if not report["balanced"]:
+        # The next attempt must judge again, for example with repaired dimensions.
+        discard(spark, f"{work}/judged")
         raise ReconciliationError(f"reconciliation did not balance, nothing published: {report}")
 
     if report["rejected_rows"]:
@@ -181,8 +183,6 @@ def run_curated_sales(
                 partition_by=rules.partition_by,
                 compression=rules.compression,
             )
-    append_record(
-        spark.createDataFrame([report], record.schema), paths.ledger, run_id
-    )
+    append_record(spark.createDataFrame([report], record.schema), paths.ledger, run_id)
     discard(spark, work)
     return report

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from orderlake.contract import ORDER_DATE_FORMAT
 from orderlake.functions.dates import day_partition, day_text, partition_key
+from orderlake.functions.measures import units
 from orderlake.functions.scalars import blank_to_null, parse_timestamp, to_int
 
-UNITS = F.sum("quantity").alias("units")
 
 
 def _amount() -> Column:
@@ -18,7 +18,7 @@ def _amount() -> Column:
 
 def status_totals(orders: DataFrame) -> DataFrame:
     return (
-        orders.groupBy("status").agg(F.count("*").alias("orders"), UNITS).orderBy("status")
+        orders.groupBy("status").agg(F.count("*").alias("orders"), units()).orderBy("status")
     )
 
 
@@ -27,7 +27,7 @@ def status_totals_one_day(orders: DataFrame, day: str) -> DataFrame:
 
 
 def units_total(orders: DataFrame) -> DataFrame:
-    return orders.agg(UNITS)
+    return orders.agg(units())
 
 
 def raw_profile(orders: DataFrame) -> DataFrame:
@@ -108,12 +108,12 @@ def raw_revenue_by_country(
 ) -> DataFrame:
     """Three raw tables joined, the best countries first."""
     per_pair = _units_per(orders, "customer_id", "product_id")
-    revenue = F.round(F.sum(F.col("units") * F.col("price")), 2)
+    total = F.round(F.sum(F.col("units") * F.col("price")), 2)
     return (
         per_pair.join(products.select("product_id", "price"), "product_id")
         .join(customers.select("customer_id", "country"), "customer_id")
         .groupBy("country")
-        .agg(revenue.alias("revenue"))
+        .agg(total.alias("revenue"))
         .orderBy(F.col("revenue").desc(), "country")
         .limit(limit)
     )

@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.functions.dates import day_range, day_text
+from orderlake.functions.measures import order_count, revenue
 from orderlake.functions.scalars import mean_money, money
 
-ORDERS = F.count("*").alias("orders")
-REVENUE = F.sum("order_total").alias("revenue")
 
 
 def dim_customer(sales: DataFrame) -> DataFrame:
@@ -103,7 +102,7 @@ def _by_attribute(star_fact: DataFrame, dim: DataFrame, key: str, attribute: str
     same partitioning.
     """
     per_key = star_fact.groupBy(key).agg(
-        ORDERS, REVENUE, F.count("order_total").alias("priced")
+        order_count(), revenue(), F.count("order_total").alias("priced")
     )
     return (
         per_key.join(dim.select(key, attribute), key)
@@ -131,7 +130,7 @@ def revenue_by_category(star: Star) -> DataFrame:
 def monthly_revenue_trend(star: Star) -> DataFrame:
     """By calendar month, through the date dimension; the fact is summed per day first."""
     per_day = star.fact_orders.groupBy(F.to_date("order_date").alias("date_key")).agg(
-        ORDERS, REVENUE
+        order_count(), revenue()
     )
     return (
         per_day.join(star.dim_date.select("date_key", "year", "month"), "date_key")
@@ -158,14 +157,14 @@ def star_join_all_dimensions(star: Star, limit: int = 20) -> DataFrame:
         .join(star.dim_product.select("product_id", "category"), "product_id")
         .join(star.dim_customer.select("customer_id", "country"), "customer_id")
         .groupBy(*keys)
-        .agg(ORDERS, REVENUE)
+        .agg(order_count(), revenue())
         .orderBy(F.col("revenue").desc(), *keys)
         .limit(limit)
     )
 
 
 def _day_totals(facts: DataFrame, predicate: Column) -> DataFrame:
-    return facts.where(predicate).agg(ORDERS, REVENUE)
+    return facts.where(predicate).agg(order_count(), revenue())
 
 
 def range_predicate_day(star: Star, day: str) -> DataFrame:
@@ -183,7 +182,7 @@ def reconcile_fact(star: Star) -> DataFrame:
     return star.fact_orders.agg(
         F.count("*").alias("fact_rows"),
         F.countDistinct("order_id").alias("distinct_orders"),
-        REVENUE,
+        revenue(),
     )
 
 
