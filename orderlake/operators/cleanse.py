@@ -19,16 +19,13 @@ from orderlake.schemas import CURATED, QUARANTINE, RAW_ORDERS
 
 REASON = "rejection_reason"
 CLEAN_COLUMNS = tuple(RAW_ORDERS.fieldNames())
-RAW_TEXT_COLUMNS = ("raw_order_date", "raw_quantity")
+# Which version of an order wins.
+NEWEST_FIRST = {"order_date": "desc", "status": "asc"}
 
 
 def deduplicate(orders: DataFrame) -> DataFrame:
     """One row per order: the latest date, then the lower status, then the other columns."""
-    return first_per_key(
-        orders,
-        "order_id",
-        [F.col("order_date").desc_nulls_last(), F.col("status").asc_nulls_last()],
-    )
+    return first_per_key(orders, "order_id", NEWEST_FIRST)
 
 
 def clean(

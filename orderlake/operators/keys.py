@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def first_per_key(frame: DataFrame, key: str, preference: Sequence[Column]) -> DataFrame:
+def first_per_key(frame: DataFrame, key: str, preference: Mapping[str, str]) -> DataFrame:
     """Keep the most preferred row of every key.
 
-    ``preference`` is completed by all remaining columns, so the order is total
-    and the winner does not depend on partitioning. A ``row_number`` filtered to
-    its first place lets Spark limit each key inside every map task before the
-    shuffle: a key with a third of all rows still sends one row per task.
+    ``preference`` maps columns to "asc" or "desc", most important first, NULL
+    always last. All other columns complete it, so the order is total and the
+    winner does not depend on partitioning. A ``row_number`` filtered to its first
+    place lets Spark limit each key inside every map task before the shuffle: a key
+    with a third of all rows still sends one row per task.
     """
-    rest = [F.col(name).asc_nulls_last() for name in frame.columns if name != key]
-    place = F.row_number().over(Window.partitionBy(key).orderBy(*preference, *rest))
+    directions = {
+        **preference,
+        **{name: "asc" for name in frame.columns if name not in (key, *preference)},
+    }
+    order = [
+        F.desc_nulls_last(name) if direction == "desc" else F.asc_nulls_last(name)
+        for name, direction in directions.items()
+    ]
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     return frame.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
 
 

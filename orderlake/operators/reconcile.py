@@ -62,13 +62,14 @@ def balance(counts: DataFrame) -> DataFrame:
 def reconcile(source: DataFrame, annotated: DataFrame, curated: DataFrame) -> DataFrame:
     """The reconciliation record as a one-row DataFrame."""
     spark = source.sparkSession
-    taken = source_counts(source)
-    judged = verdict_counts(annotated)
     counts = spark.range(1).select(
-        taken.select("source_rows").scalar().alias("source_rows"),
-        taken.select("deduplicated_rows").scalar().alias("deduplicated_rows"),
-        judged.select("valid_rows").scalar().alias("valid_rows"),
-        judged.select("rejected_rows").scalar().alias("rejected_rows"),
+        # One subquery per table: each is scanned once for all of its counts.
+        _packed(source_counts(source)).alias("source"),
+        _packed(verdict_counts(annotated)).alias("judged"),
         curated.agg(F.count("*")).scalar().alias("curated_rows"),
     )
-    return balance(counts)
+    return balance(counts.select("source.*", "judged.*", "curated_rows"))
+
+
+def _packed(one_row: DataFrame) -> Column:
+    return one_row.select(F.struct("*")).scalar()

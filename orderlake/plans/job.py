@@ -15,7 +15,13 @@ from pyspark.sql import functions as F
 
 from orderlake.contract import Contract
 from orderlake.functions.dates import partition_key
-from orderlake.operators.cleanse import accepted, judge_orders, rejected, transform
+from orderlake.operators.cleanse import (
+    NEWEST_FIRST,
+    accepted,
+    judge_orders,
+    rejected,
+    transform,
+)
 from orderlake.operators.keys import first_per_key
 from orderlake.operators.reconcile import balance, reconcile
 from orderlake.session import discard, path_exists
@@ -79,11 +85,7 @@ def append_record(record: DataFrame, ledger: str, run_id: str) -> None:
 
 def merge_sales(existing: DataFrame, new: DataFrame) -> DataFrame:
     """Existing and new sales with one row per order: the latest version of each wins."""
-    return first_per_key(
-        existing.unionByName(new),
-        "order_id",
-        [F.col("order_date").desc_nulls_last(), F.col("status").asc_nulls_last()],
-    )
+    return first_per_key(existing.unionByName(new), "order_id", NEWEST_FIRST)
 
 
 def touched_partitions(
