@@ -351,6 +351,15 @@ STATEMENTS: dict[str, str] = {
         'double' AS declared_type, count(price) AS values_seen,
         count(*) FILTER (WHERE price IS NOT NULL AND TRY_CAST(price AS DOUBLE) IS NULL) AS misfits
       FROM products_text GROUP BY delivery""",
+    "infer_schema": r"""SELECT CAST(delivery AS VARCHAR) AS delivery, column_name,
+        CASE WHEN bool_and(regexp_full_match(value, '[+-]?\d+')) THEN 'int'
+             WHEN bool_and(TRY_CAST(value AS DOUBLE) IS NOT NULL) THEN 'double'
+             ELSE 'string' END AS inferred_type
+      FROM (SELECT delivery, 'product_id' AS column_name, product_id AS value FROM products_text
+            UNION ALL SELECT delivery, 'product_name', product_name FROM products_text
+            UNION ALL SELECT delivery, 'category', category FROM products_text
+            UNION ALL SELECT delivery, 'price', price FROM products_text)
+      WHERE value IS NOT NULL GROUP BY delivery, column_name""",
     "uncastable_values": """SELECT product_id, product_name, category, 'price' AS column_name,
         price AS raw_value, 'double' AS declared_type
       FROM products_text WHERE price IS NOT NULL AND TRY_CAST(price AS DOUBLE) IS NULL""",

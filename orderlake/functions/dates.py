@@ -43,5 +43,16 @@ def day_partition(day: str) -> Column:
     )
 
 
+def days_between(ts: Column, first: str, last: str) -> Column:
+    """All days from ``first`` to ``last``, inclusive, on a table partitioned by day.
+
+    Spark does not derive a partition filter from a time filter, so both are given:
+    the partition predicate skips directories, the range skips row groups.
+    """
+    start = F.lit(dt.date.fromisoformat(first)).cast("timestamp")
+    end = F.lit(dt.date.fromisoformat(last) + dt.timedelta(days=1)).cast("timestamp")
+    return partition_key().between(first, last) & (ts >= start) & (ts < end)
+
+
 def partition_key(parts: Sequence[str] = ("year", "month", "day")) -> Column:
     return F.concat_ws("-", *[F.col(part) for part in parts])

@@ -20,16 +20,22 @@ class IsComplete:
     def name(self) -> str:
         return f'IsComplete "{self.column}"'
 
-    def observed(self) -> Column:
-        return F.count(self.column) / F.count("*")
+    def measure(self) -> Column:
+        return F.count(self.column)
 
-    def holds(self) -> Column:
-        return F.count(self.column) == F.count("*")
+    def passed(self, measured: Column, rows: Column) -> Column:
+        return measured == rows
+
+    def observed(self, measured: Column, rows: Column) -> Column:
+        return measured / rows
 
 
 @dataclass(frozen=True)
 class Positive:
-    """Every value above zero. NULL and text that is no number are left to IsComplete."""
+    """Every value above zero. NULL and text that is no number are left to IsComplete.
+
+    Observed: the number of violations.
+    """
 
     column: str
 
@@ -37,14 +43,14 @@ class Positive:
     def name(self) -> str:
         return f'ColumnValues "{self.column}" > 0'
 
-    def _violations(self) -> Column:
+    def measure(self) -> Column:
         return F.count_if(F.col(self.column).try_cast("double") <= 0)
 
-    def observed(self) -> Column:
-        return self._violations().cast("double")
+    def passed(self, measured: Column, rows: Column) -> Column:
+        return measured == 0
 
-    def holds(self) -> Column:
-        return self._violations() == 0
+    def observed(self, measured: Column, rows: Column) -> Column:
+        return measured.cast("double")
 
 
 @dataclass(frozen=True)
@@ -58,6 +64,16 @@ class Uniqueness:
     def name(self) -> str:
         return f'Uniqueness "{self.column}" = {self.threshold}'
 
+    def measure(self) -> Column:
+        """Over rows already counted per value."""
+        return F.count_if((F.col("_n") == 1) & F.col(self.column).isNotNull())
+
+    def passed(self, measured: Column, rows: Column) -> Column:
+        return measured / rows >= self.threshold
+
+    def observed(self, measured: Column, rows: Column) -> Column:
+        return measured / rows
+
 
 Rule = IsComplete | Positive | Uniqueness
 
@@ -70,49 +86,67 @@ ORDERS_RULES: tuple[Rule, ...] = (
 PRODUCTS_RULES: tuple[Rule, ...] = (Positive("price"),)
 
 
-def uniqueness(frame: DataFrame, column: str) -> DataFrame:
-    """(rows, values_once, uniqueness). Counted per value first, so a hot value is one row."""
-    per_value = frame.groupBy(column).agg(F.count("*").alias("n"))
-    once = F.count_if((F.col("n") == 1) & F.col(column).isNotNull())
+def _measured(frame: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """One row: the row count and the measure of every rule, from a single scan.
+
+    With a uniqueness rule the rows are counted per value first. The other measures
+    are counts as well, so they are taken in the same grouping and added up. A hot
+    value is combined before the shuffle.
+    """
+    unique = [(i, rule) for i, rule in enumerate(rules) if isinstance(rule, Uniqueness)]
+    others = [(i, rule) for i, rule in enumerate(rules) if not isinstance(rule, Uniqueness)]
+    if len(unique) > 1:
+        raise ValueError("a single scan measures one uniqueness rule; split the ruleset")
+    rule_measures = [rule.measure().alias(f"_m{i}") for i, rule in others]
+    if not unique:
+        return frame.agg(F.count("*").alias("_rows"), *rule_measures)
+    position, rule = unique[0]
+    per_value = frame.groupBy(rule.column).agg(F.count("*").alias("_n"), *rule_measures)
     return per_value.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        once.alias("values_once"),
-        (once / F.sum("n")).alias("uniqueness"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"),
+        *[F.coalesce(F.sum(f"_m{i}"), F.lit(0)).alias(f"_m{i}") for i, _ in others],
+        rule.measure().alias(f"_m{position}"),
     )
 
 
-def _result(ruleset: str, rule: Rule, passed: Column, observed: Column) -> Column:
-    return F.struct(
-        F.lit(ruleset).alias("ruleset"),
-        F.lit(rule.name).alias("rule"),
-        passed.alias("passed"),
-        observed.alias("observed"),
+def uniqueness(frame: DataFrame, column: str) -> DataFrame:
+    """(rows, values_once, uniqueness)."""
+    rule = Uniqueness(column)
+    rows, once = F.col("_rows"), F.col("_m0")
+    return _measured(frame, [rule]).select(
+        rows.alias("rows"),
+        once.alias("values_once"),
+        rule.observed(once, rows).alias("uniqueness"),
     )
 
 
 def dq_results(tables: Mapping[str, tuple[DataFrame, Sequence[Rule]]]) -> DataFrame:
-    """One row per rule: (ruleset, rule, passed, observed).
-
-    All row rules of a table share one pass; a uniqueness rule needs its own grouping.
-    """
-    parts: list[DataFrame] = []
+    """One row per rule: (ruleset, rule, passed, observed). Each table is scanned once per
+    uniqueness rule, and once in all if it has at most one."""
+    parts = []
     for ruleset, (frame, rules) in tables.items():
-        row_rules = [rule for rule in rules if not isinstance(rule, Uniqueness)]
-        if row_rules:
-            results = [_result(ruleset, r, r.holds(), r.observed()) for r in row_rules]
-            parts.append(
-                frame.agg(F.array(*results).alias("results")).select(F.inline("results"))
-            )
-        for rule in rules:
-            if isinstance(rule, Uniqueness):
-                share = uniqueness(frame, rule.column)
-                row = _result(
-                    ruleset, rule, F.col("uniqueness") >= rule.threshold, F.col("uniqueness")
+        for group in _scans(rules):
+            rows = F.col("_rows")
+            results = [
+                F.struct(
+                    F.lit(ruleset).alias("ruleset"),
+                    F.lit(rule.name).alias("rule"),
+                    rule.passed(F.col(f"_m{i}"), rows).alias("passed"),
+                    rule.observed(F.col(f"_m{i}"), rows).alias("observed"),
                 )
-                parts.append(share.select(F.inline(F.array(row))))
+                for i, rule in enumerate(group)
+            ]
+            parts.append(_measured(frame, group).select(F.inline(F.array(*results))))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _scans(rules: Sequence[Rule]) -> list[list[Rule]]:
+    unique = [rule for rule in rules if isinstance(rule, Uniqueness)]
+    others = [rule for rule in rules if not isinstance(rule, Uniqueness)]
+    first = [*others, *unique[:1]]
+    return [first, *[[rule] for rule in unique[1:]]]
+
+
 def dq_score(results: DataFrame) -> DataFrame:
     """Passed rules as a share of all rules of a ruleset, two digits."""
     return (

@@ -118,7 +118,7 @@ def publish_merged(
     if not path_exists(spark, curated):
         write_curated(new, curated, partition_by=parts, compression=contract.compression)
         return
-    existing = read_curated(spark, curated)
+    existing = read_curated(spark, curated, parts)
     touched = _stage_once(touched_partitions(existing, new, parts), f"{work}/touched")
     # Names of day partitions: their number is bounded by the calendar, not by the rows.
     names = [row.name for row in touched.select(partition_key(parts).alias("name")).collect()]

@@ -2,21 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from orderlake.schemas import CURATED, CURATED_FILE, RAW_ORDERS_PARTITIONED
+from orderlake.contract import PARTITION_COLUMNS
+from orderlake.schemas import CURATED_FILE, RAW_ORDERS_PARTITIONED
 
 
 def scan_csv(
-    spark: SparkSession, path: str, schema: T.StructType, *, header: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    *,
+    header: bool = True,
+    recursive: bool = False,
 ) -> DataFrame:
-    """CSV with a header line per file. A value that does not fit its type becomes NULL."""
+    """CSV with a header line per file. A value that does not fit its type becomes NULL.
+
+    ``recursive`` reads all folders below ``path`` and ignores what they are named after.
+    """
     return (
         spark.read.schema(schema)
         .option("header", header)
         .option("mode", "PERMISSIVE")
         .option("enforceSchema", True)
+        .option("recursiveFileLookup", recursive)
         .csv(path)
     )
 
@@ -46,8 +58,11 @@ def scan_partitioned(
     return reader.format(fmt).load(path)
 
 
-def read_curated(spark: SparkSession, path: str) -> DataFrame:
-    return scan_partitioned(spark, path, schema=CURATED)
+def read_curated(
+    spark: SparkSession, path: str, partition_by: Sequence[str] = PARTITION_COLUMNS
+) -> DataFrame:
+    parts = [T.StructField(name, T.StringType()) for name in partition_by]
+    return scan_partitioned(spark, path, schema=T.StructType([*CURATED_FILE.fields, *parts]))
 
 
 def stage_sales(spark: SparkSession, path: str) -> DataFrame:

@@ -133,6 +133,14 @@ def test_contract_rules_reach_the_run(spark, paths):
     assert report["valid_rows"] == 1
 
 
+def test_another_partitioning_of_the_contract(spark, paths):
+    monthly = Contract(partition_by=("year", "month"))
+    run(spark, paths, "r1", order("A"), order("B"), contract=monthly)
+    run(spark, paths, "r2", order("A", quantity="5", date="2026-09-01 00:00:00"), contract=monthly)
+    rows = read_curated(spark, paths.curated, monthly.partition_by).collect()
+    assert {(r.order_id, r.month, r.quantity) for r in rows} == {("A", "09", 5), ("B", "08", 2)}
+
+
 def test_incremental_reads_each_file_once_and_dimensions_in_full(spark, paths, tmp_path):
     source, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
 
@@ -159,3 +167,42 @@ def test_schemaless_orders_fail_outside_the_guard(spark):
 
     with pytest.raises(Exception):
         deduplicate(spark.createDataFrame([], schemas.T.StructType([]))).collect()
+
+
+def raw_lake(spark, root):
+    from orderlake.sinks.writers import write_flat
+
+    write_flat(customers(spark), f"{root}/raw/customers", fmt="csv")
+    write_flat(products(spark), f"{root}/raw/products", fmt="csv")
+    write_flat(orders(spark, order("A"), order("B", product="W9")), f"{root}/raw/orders/d1", fmt="csv")
+
+
+def test_command_line_full_run_from_the_catalog(spark, tmp_path):
+    from orderlake.jobs.curated_sales import RAW_SCHEMAS, main
+    from orderlake.sources.catalog import register_raw_csv
+
+    root = str(tmp_path)
+    raw_lake(spark, root)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS cli_raw LOCATION '{root}/db'")
+    for name, schema in RAW_SCHEMAS.items():
+        folder = "orders/d1" if name == "orders" else name
+        register_raw_csv(spark, "cli_raw", f"{name}_raw", f"{root}/raw/{folder}", schema)
+    (tmp_path / "contract.json").write_text('{"curated": {"sales": {"prefix": "gold/sales"}}}')
+    report = main(
+        ["--lake", root, "--database", "cli_raw", "--contract", f"{root}/contract.json", "--run-id", "x"],
+        spark,
+    )
+    assert (report["valid_rows"], report["rejected_rows"]) == (1, 1)
+    assert read_curated(spark, f"{root}/gold/sales").count() == 1
+
+
+def test_command_line_incremental_run(spark, tmp_path):
+    from orderlake.jobs.curated_sales import main
+
+    root = str(tmp_path)
+    raw_lake(spark, root)
+    report = main(["--lake", root], spark)
+    assert (report["source_rows"], report["valid_rows"]) == (2, 1)
+    assert main(["--lake", root, "--incremental"], spark) == 2
+    assert main(["--lake", root, "--incremental"], spark) == 0
+    assert read_curated(spark, f"{root}/curated/sales").count() == 1

@@ -17,7 +17,7 @@ def connection():
 
 def test_every_statement_belongs_to_a_query():
     assert set(ORACLE) <= set(NAMES)
-    assert set(NAMES) - set(ORACLE) == {"infer_schema", "layout_stats"}
+    assert set(NAMES) - set(ORACLE) == {"layout_stats"}
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -2,8 +2,12 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry_point
 from conftest import SF_DIR, plan_of
+from orderlake.functions.dates import days_between
+from orderlake.operators import quality
 from orderlake.plans import analytics, star
 from orderlake.plans.lake import lake
 
@@ -22,6 +26,21 @@ def test_partition_equality_prunes_directories(lk):
     assert "ReadSchema: struct<order_total:decimal(12,2)>" in plan
 
 
+def test_time_range_with_its_implied_partitions(lk):
+    ts = F.col("order_date")
+    pruned = lk.sales.where(days_between(ts, "2026-08-01", "2026-08-03"))
+    plan = plan_of(pruned)
+    assert "PartitionFilters: []" not in plan and "GreaterThanOrEqual(order_date" in plan
+    plain = lk.sales.where(F.to_date(ts).between("2026-08-01", "2026-08-03"))
+    assert pruned.count() == plain.count() > 0
+
+
+def test_rules_with_uniqueness_scan_the_table_once(lk):
+    frame = lk.spark.read.parquet(lk.published.curated)
+    rules = (quality.IsComplete("customer_id"), quality.Uniqueness("order_id"))
+    assert plan_of(quality.dq_results({"sales": (frame, rules)})).count("FileScan") == 1
+
+
 def test_derived_predicate_does_not_prune(lk):
     plan = plan_of(analytics.full_scan_same_answer(lk.sales, DAY))
     assert "PartitionFilters: []" in plan
