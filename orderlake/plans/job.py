@@ -84,8 +84,16 @@ def append_record(record: DataFrame, ledger: str, run_id: str) -> None:
 
 
 def merge_sales(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """Existing and new sales with one row per order: the latest version of each wins."""
-    return first_per_key(existing.unionByName(new), "order_id", NEWEST_FIRST)
+    """Existing and new sales with one row per order: the latest version of each wins.
+
+    Only orders the delivery speaks about compete. The others pass by without the
+    shuffle and sort of the competition, and without any shuffle here as long as the
+    ids of the delivery are small enough for Spark to broadcast.
+    """
+    ids = new.select("order_id")
+    contested = existing.join(ids, "order_id", "left_semi").unionByName(new)
+    untouched = existing.join(ids, "order_id", "left_anti")
+    return untouched.unionByName(first_per_key(contested, "order_id", NEWEST_FIRST))
 
 
 def touched_partitions(
