@@ -596,20 +596,13 @@ def format_equality(lk: Lake) -> DataFrame:
 # ---------------------------------------------------------------- storage layout
 
 
-def _hourly_orders(lk: Lake) -> DataFrame:
-    """Raw orders filed by day and hour; the hour of an unreadable date is 00."""
-    written = parse_timestamp(blank_to_null(F.col("order_date")), ORDER_DATE_FORMAT)
-    hour = F.coalesce(F.date_format(written, "HH"), F.lit("00"))
-    return lk.raw_orders.withColumn("hour", hour)
-
-
 HOURLY_SCHEMA = T.StructType(
     [*schemas.RAW_ORDERS_PARTITIONED.fields, T.StructField("hour", T.StringType())]
 )
 
 
 def _layouts(lk: Lake) -> dict[str, DataFrame]:
-    paths = layout.write_daily_and_hourly(_hourly_orders(lk), scratch(lk.spark, "layout"))
+    paths = lk.layouts
     return {
         "daily": readers.scan_partitioned(lk.spark, paths["daily"]),
         "hourly": readers.scan_partitioned(lk.spark, paths["hourly"], schema=HOURLY_SCHEMA),
@@ -650,9 +643,9 @@ def layout_stats(lk: Lake) -> DataFrame:
 @query
 def compact(lk: Lake) -> DataFrame:
     """The hour tree of small files rewritten as a day tree."""
-    paths = layout.write_daily_and_hourly(_hourly_orders(lk), scratch(lk.spark, "layout"))
     target = scratch(lk.spark, "compacted")
-    return layout.compact(lk.spark, paths["hourly"], target, HOURLY_SCHEMA).select(*PARTITIONED)
+    compacted = layout.compact(lk.spark, lk.layouts["hourly"], target, HOURLY_SCHEMA)
+    return compacted.select(*PARTITIONED)
 
 
 # ---------------------------------------------------------------- contract functions

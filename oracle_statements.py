@@ -128,8 +128,8 @@ WITH joined AS (
   SELECT product_id, max(product_name) AS product_name, max(category) AS category,
          CAST(max(price) AS DECIMAL(12,2)) AS price FROM sales GROUP BY product_id
 ), dim_date AS (
-  SELECT DISTINCT CAST(order_date AS DATE) AS date_key, year(order_date) AS year,
-         month(order_date) AS month, day(order_date) AS day, dayname(order_date) AS day_name,
+  SELECT DISTINCT CAST(order_date AS DATE) AS date_key, CAST(year(order_date) AS SMALLINT) AS year,
+         CAST(month(order_date) AS SMALLINT) AS month, CAST(day(order_date) AS SMALLINT) AS day, dayname(order_date) AS day_name,
          dayofweek(order_date) IN (0, 6) AS is_weekend
   FROM sales
 ), fact AS (
@@ -181,7 +181,7 @@ CLEAN_COLUMNS = """order_id, customer_id, product_id, quantity,
   strftime(order_date, '%Y-%m-%d %H:%M:%S') AS order_date, status"""
 RAW_COLUMNS = "order_id, customer_id, product_id, quantity, order_date, status"
 ORDERS_REVENUE = "count(*) AS orders, CAST(sum(order_total) AS DOUBLE) AS revenue"
-UNITS = "sum(CASE WHEN regexp_full_match(trim(quantity), '[+-]?\\d+') THEN TRY_CAST(trim(quantity) AS INTEGER) END)"
+UNITS = "CAST(sum(CASE WHEN regexp_full_match(trim(quantity), '[+-]?\\d+') THEN TRY_CAST(trim(quantity) AS INTEGER) END) AS BIGINT)"
 QTY = "CASE WHEN regexp_full_match(trim(o.quantity), '[+-]?\\d+') THEN TRY_CAST(trim(o.quantity) AS INTEGER) END"
 ONE_DAY = f"year = '{YEAR}' AND month = '{MONTH}' AND day = '{DAY_OF_MONTH}'"
 IN_RANGE = "order_date >= TIMESTAMP '2026-08-19' AND order_date < TIMESTAMP '2026-08-20'"
@@ -255,7 +255,7 @@ STATEMENTS: dict[str, str] = {
         FROM feed_orders o LEFT JOIN feed_products p ON o.product_id = p.product_id WHERE {ONE_DAY}""",
     # aggregates, windows and joins over the fact
     "revenue_by_category": f"SELECT category, {ORDERS_REVENUE}, {AVG_CENTS} AS avg_order FROM sales GROUP BY category",
-    "top_customers_by_country": """SELECT country, customer_id, CAST(revenue AS DOUBLE) AS revenue, rnk FROM (
+    "top_customers_by_country": """SELECT country, customer_id, CAST(revenue AS DOUBLE) AS revenue, CAST(rnk AS INTEGER) AS rnk FROM (
         SELECT country, customer_id, sum(order_total) AS revenue,
                rank() OVER (PARTITION BY country ORDER BY sum(order_total) DESC) AS rnk
         FROM sales GROUP BY country, customer_id) WHERE rnk <= 3""",
@@ -364,7 +364,7 @@ STATEMENTS: dict[str, str] = {
         price AS raw_value, 'double' AS declared_type
       FROM products_text WHERE price IS NOT NULL AND TRY_CAST(price AS DOUBLE) IS NULL""",
     "header_leak": """SELECT count(*) AS total_rows, count(DISTINCT order_id) AS distinct_ids,
-        sum(CASE WHEN order_id = 'order_id' THEN 1 ELSE 0 END) AS header_rows FROM feed_orders""",
+        CAST(sum(CASE WHEN order_id = 'order_id' THEN 1 ELSE 0 END) AS BIGINT) AS header_rows FROM feed_orders""",
     "drift_impact": """SELECT count(*) AS rows_seen, round(sum(TRY_CAST(price AS DOUBLE)), 2) AS total,
         count(*) FILTER (WHERE price IS NOT NULL AND TRY_CAST(price AS DOUBLE) IS NULL) AS lost_values,
         count(*) FILTER (WHERE price IS NULL) AS null_values FROM products_text""",
@@ -373,7 +373,7 @@ STATEMENTS: dict[str, str] = {
         count(*) FILTER (WHERE ts IS NULL) AS unreadable_dates
       FROM (SELECT *, CASE WHEN regexp_full_match(order_date, '\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}')
                       THEN try_strptime(order_date, '%Y-%m-%d %H:%M:%S') END AS ts FROM feed_orders)""",
-    "format_equality": """SELECT encoding, count(*) AS rows_seen, 0 AS rows_not_everywhere
+    "format_equality": """SELECT encoding, count(*) AS rows_seen, CAST(0 AS BIGINT) AS rows_not_everywhere
       FROM feed_orders, (VALUES ('csv'), ('json'), ('parquet'), ('parquet_flat')) AS e(encoding) GROUP BY encoding""",
     # storage layout
     "layout_daily_hourly": f"""SELECT layout, year, month, day, count(*) AS orders, {UNITS} AS units

@@ -10,12 +10,16 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderlake import schemas
+from orderlake.contract import ORDER_DATE_FORMAT
+from orderlake.functions.scalars import blank_to_null, parse_timestamp
 from orderlake.operators.cleanse import CLEAN_COLUMNS, curated_sales
 from orderlake.plans.job import LakePaths, run_curated_sales
 from orderlake.plans.star import Star, read_star, write_star
 from orderlake.session import configure, scratch
+from orderlake.sinks.layout import write_daily_and_hourly
 from orderlake.sinks.writers import write_flat, write_formats
 from orderlake.sources import feed, readers
 from orderlake.sources.feed import Feed
@@ -72,6 +76,15 @@ class Lake:
         """The raw orders as CSV, JSON Lines and Parquet trees and as flat Parquet."""
         return write_formats(self.raw_orders, scratch(self.spark, "formats"))
 
+    @cached_property
+    def layouts(self) -> dict[str, str]:
+        """Raw orders in day and in hour directories; an unreadable date is filed under hour 00."""
+        written = parse_timestamp(blank_to_null(F.col("order_date")), ORDER_DATE_FORMAT)
+        hour = F.coalesce(F.date_format(written, "HH"), F.lit("00"))
+        return write_daily_and_hourly(
+            self.raw_orders.withColumn("hour", hour), scratch(self.spark, "layout")
+        )
+
     @cached_property
     def raw_files(self) -> dict[str, str]:
         """Flat raw CSV files per table, as a source system delivers them."""

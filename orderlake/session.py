@@ -10,7 +10,9 @@ from pyspark.sql import SparkSession
 
 # Runtime settings the library is written against. AQE sizes shuffles from what
 # was really written, turns a join into a broadcast only after it has measured
-# the side, and splits the hot partitions of a skewed join or write.
+# the side, and splits the hot partitions of a skewed join or write. Timestamps are
+# written as INT64, because the older INT96 has no min/max statistics and a range on
+# order_date could then skip nothing.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -18,6 +20,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 

@@ -20,11 +20,25 @@ def test_every_statement_belongs_to_a_query():
     assert set(NAMES) - set(ORACLE) == {"layout_stats"}
 
 
+# Type names of both engines for the result columns.
+TYPE_NAMES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "SMALLINT": "smallint",
+    "VARCHAR": "string",
+    "DOUBLE": "double",
+    "BOOLEAN": "boolean",
+}
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_its_twin(spark, connection, name):
     frame = entry_point.queries()[name](spark, SF_DIR)
     if name in ORACLE:
         assert compare(frame, connection, ORACLE[name]) == "ok"
+        described = connection.execute(f"DESCRIBE ({ORACLE[name]})").fetchall()
+        wanted = {row[0]: TYPE_NAMES[row[1]] for row in described}
+        assert {f.name: f.dataType.simpleString() for f in frame.schema} == wanted
     else:
         assert frame.count() > 0
 

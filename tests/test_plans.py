@@ -58,6 +58,23 @@ def test_wrapped_predicate_pushes_no_range(lk):
     assert "Than" not in pushed
 
 
+def test_range_skips_row_groups_the_wrapped_predicate_reads(lk, conf, tmp_path):
+    """The fact is sorted by time over its files, so most files cannot hold the day."""
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    star.write_star(lk.sales, str(tmp_path))
+    loaded = star.read_star(lk.spark, str(tmp_path))
+    conf(spark__sql__adaptive__enabled="false")
+
+    def rows_scanned(frame):
+        plan = frame._jdf.queryExecution().executedPlan()
+        plan.executeCollectPublic()
+        return plan.collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+
+    every_row = rows_scanned(star.wrapped_predicate_day(loaded, DAY))
+    assert every_row == loaded.fact_orders.count()
+    assert 0 < rows_scanned(star.range_predicate_day(loaded, DAY)) < every_row / 2
+
+
 def test_narrow_and_wide_projection_read_what_they_need(lk):
     narrow = plan_of(analytics.single_column_projection(lk.sales))
     assert "ReadSchema: struct<order_total:decimal(12,2)>" in narrow
