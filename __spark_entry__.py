@@ -637,7 +637,8 @@ def layout_file_count(lk: Lake) -> DataFrame:
 
 @query
 def layout_stats(lk: Lake) -> DataFrame:
-    return layout.layout_stats({**_layouts(lk), "curated": lk.sales})
+    """Files, bytes and partitions of every layout and encoding of the same orders."""
+    return layout.layout_stats({**_read_formats(lk), **_layouts(lk), "curated": lk.sales})
 
 
 @query

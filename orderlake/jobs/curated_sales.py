@@ -1,6 +1,6 @@
 """spark-submit entry point of the curated-sales job.
 
-    spark-submit -m orderlake.jobs.curated_sales --lake s3a://lake --database retail
+    spark-submit -m orderlake.jobs.curated_sales --lake s3a://lake --database sales_raw
     spark-submit -m orderlake.jobs.curated_sales --lake /lake --incremental
 
 Tables are read by catalog name with ``--database``, otherwise as raw CSV below the

@@ -71,11 +71,12 @@ def write_curated(
 def write_quarantine(rejects: DataFrame, path: str, run_id: str) -> None:
     """Add a run's rejects. A replay of the run replaces its own rows and no others.
 
-    There is no date partition: a row rejected for its date has none. Without
-    rejects nothing is written.
+    There is no date partition: a row rejected for its date has none. The few rejects
+    of many tasks are brought together, so that a run does not leave a file per task.
     """
     (
         rejects.withColumn("run_id", F.lit(run_id))
+        .hint("rebalance")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")

@@ -16,6 +16,7 @@ from orderlake.contract import Contract
 from orderlake.plans.job import LakePaths, run_curated_sales
 from orderlake.schemas import RAW_ORDERS
 
+MAX_FILE_AGE = "3650d"
 Dimension = Callable[[SparkSession], DataFrame]
 
 
@@ -28,6 +29,8 @@ def arriving_orders(
         .option("header", True)
         .option("pathGlobFilter", "*.csv")
         .option("recursiveFileLookup", True)
+        # By default a file a week older than the newest one seen is skipped silently.
+        .option("maxFileAge", MAX_FILE_AGE)
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

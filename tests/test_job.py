@@ -1,5 +1,7 @@
 """The wiring of the jobs: batch run, incremental run, replay, refusal."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,6 +164,21 @@ def test_incremental_reads_each_file_once_and_dimensions_in_full(spark, paths, t
     assert tuple(ledger) == (3, 2)
 
 
+def test_a_file_with_an_old_timestamp_is_not_skipped(spark, paths, tmp_path):
+    source, checkpoint = tmp_path / "in", str(tmp_path / "checkpoint")
+
+    def go():
+        return run_incremental(spark, str(source), customers, products, paths, checkpoint)
+
+    write_flat(orders(spark, order("A")), str(source / "new"), fmt="csv")
+    assert go() == 1
+    write_flat(orders(spark, order("B")), str(source / "old"), fmt="csv")
+    for file in (source / "old").glob("*.csv"):
+        os.utime(file, (1_600_000_000, 1_600_000_000))
+    assert go() == 1
+    assert set(quantities(spark, paths)) == {"A", "B"}
+
+
 def test_schemaless_orders_fail_outside_the_guard(spark):
     from orderlake.operators.cleanse import deduplicate
 
