@@ -100,15 +100,19 @@ def extract(lk: Lake) -> DataFrame:
     spark.sql(
         f"CREATE DATABASE IF NOT EXISTS orderlake_raw LOCATION '{scratch(spark, 'database')}'"
     )
-    declared = {
-        "customers": schemas.RAW_CUSTOMERS,
-        "products": schemas.RAW_PRODUCTS,
-        "orders": schemas.RAW_ORDERS,
-    }
-    for name, schema in declared.items():
-        catalog.register_raw_csv(
-            spark, "orderlake_raw", f"{name}_raw", lk.raw_files[name], schema
-        )
+    catalog.register_raw_csv(
+        spark, "orderlake_raw.customers_raw", lk.raw_files["customers"], schemas.RAW_CUSTOMERS
+    )
+    catalog.register_raw_csv(
+        spark, "orderlake_raw.products_raw", lk.raw_files["products"], schemas.RAW_PRODUCTS
+    )
+    catalog.register_raw_csv(
+        spark,
+        "orderlake_raw.orders_raw",
+        lk.formats["csv"],
+        schemas.RAW_ORDERS_PARTITIONED,
+        partition_by=("year", "month", "day"),
+    )
     found = catalog.extract(spark, "orderlake_raw")
     key = {"customers": "customer_id", "products": "product_id", "orders": "order_id"}
     return _tagged(

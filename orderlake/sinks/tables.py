@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -31,6 +31,7 @@ def publish_table(
     *,
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
+    options: Mapping[str, str] | None = None,
     statistics: str | None = "columns",
 ) -> DataFrame:
     """Declare an external table over a directory, recover its partitions, gather statistics.
@@ -41,8 +42,11 @@ def publish_table(
     """
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     tree = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    settings = ", ".join(f"'{key}' '{value}'" for key, value in (options or {}).items())
+    reader = f"OPTIONS ({settings})" if settings else ""
     spark.sql(
-        f"CREATE TABLE {table} ({_columns_ddl(schema)}) USING {fmt} {tree} LOCATION '{path}'"
+        f"CREATE TABLE {table} ({_columns_ddl(schema)}) "
+        f"USING {fmt} {reader} {tree} LOCATION '{path}'"
     )
     if partition_by:
         spark.catalog.recoverPartitions(table)

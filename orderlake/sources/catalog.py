@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from orderlake.contract import Contract
+from orderlake.sinks.tables import publish_table
 
 
 def extract(
@@ -19,10 +20,24 @@ def extract(
 
 
 def register_raw_csv(
-    spark: SparkSession, database: str, table: str, path: str, schema: T.StructType
-) -> None:
-    """Declare an external CSV table; without a declared schema an all-text header is data."""
-    spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
-    spark.catalog.createTable(
-        f"{database}.{table}", path=path, source="csv", schema=schema, header="true"
+    spark: SparkSession,
+    table: str,
+    path: str,
+    schema: T.StructType,
+    partition_by: Sequence[str] = (),
+) -> DataFrame:
+    """Declare raw CSV files as an external table.
+
+    The schema is declared because an all-text file gives no hint which line is its
+    header; it would come in as data.
+    """
+    return publish_table(
+        spark,
+        table,
+        path,
+        schema,
+        partition_by=partition_by,
+        fmt="csv",
+        options={"header": "true"},
+        statistics=None,
     )

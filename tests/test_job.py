@@ -203,7 +203,7 @@ def test_command_line_full_run_from_the_catalog(spark, tmp_path):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS cli_raw LOCATION '{root}/db'")
     for name, schema in RAW_SCHEMAS.items():
         folder = "orders/d1" if name == "orders" else name
-        register_raw_csv(spark, "cli_raw", f"{name}_raw", f"{root}/raw/{folder}", schema)
+        register_raw_csv(spark, f"cli_raw.{name}_raw", f"{root}/raw/{folder}", schema)
     (tmp_path / "contract.json").write_text('{"curated": {"sales": {"prefix": "gold/sales"}}}')
     report = main(
         ["--lake", root, "--database", "cli_raw", "--contract", f"{root}/contract.json", "--run-id", "x"],

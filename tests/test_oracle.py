@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_point
-from conftest import SF_DIR
+from conftest import SF_DIR, plan_of
 from tools.check_oracle import compare, duck
 
 ORACLE = entry_point.oracle_sql()
@@ -43,6 +43,36 @@ def test_query_matches_its_twin(spark, connection, name):
         assert frame.count() > 0
 
 
+JOINING = (
+    "curated_sales",
+    "enrich",
+    "ground_truth_diff",
+    "join_curated_to_raw_customers",
+    "orphan_profile",
+    "raw_revenue_by_country",
+    "revenue_by_country",
+    "star_join_all_dimensions",
+)
+
+
+@pytest.mark.parametrize("name", JOINING)
+def test_joins_are_right_when_no_side_may_be_broadcast(spark, connection, conf, name):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+    )
+    frame = entry_point.queries()[name](spark, SF_DIR)
+    assert "BroadcastHashJoin" not in plan_of(frame)
+    assert compare(frame, connection, ORACLE[name]) == "ok"
+
+
+@pytest.mark.parametrize("name", ["clean", "curated_sales", "drift_impact", "infer_schema"])
+def test_tolerant_reading_does_not_depend_on_ansi_mode(spark, connection, conf, name):
+    conf(spark__sql__ansi__enabled="false")
+    frame = entry_point.queries()[name](spark, SF_DIR)
+    assert compare(frame, connection, ORACLE[name]) == "ok"
+
+
 def test_flagship(spark):
     frame = entry_point.entry(spark)
     assert frame.columns == ["category", "orders", "revenue", "avg_order"]
