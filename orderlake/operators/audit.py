@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderlake.functions.scalars import to_int
 from orderlake.operators.cleanse import REASON
 
 
@@ -34,19 +35,21 @@ def ground_truth_diff(truth: DataFrame, rejects: DataFrame) -> DataFrame:
 def orphan_policy_compare(orders: DataFrame, products: DataFrame) -> DataFrame:
     """What inner join, left join and an explicit split each keep and report as revenue.
 
-    One left join feeds all three policies, as conditional sums over the same pass:
-    an inner join keeps the matched rows, a left join all of them, and the split
-    keeps the matched ones while it sets the others aside, counted.
+    One left join feeds all three policies: an inner join keeps the matched rows, a
+    left join all of them, and the split keeps the matched ones while it sets the
+    others aside, counted. Rows are summed per product before the join.
     """
+    per_product = orders.groupBy("product_id").agg(
+        F.count("*").alias("n"), F.sum(to_int(F.col("quantity"))).alias("units")
+    )
     priced = products.select(F.col("product_id").alias("_known"), "price")
-    joined = orders.join(priced, F.col("product_id") == F.col("_known"), "left")
-    amount = F.col("quantity").try_cast("int") * F.col("price")
+    joined = per_product.join(priced, F.col("product_id") == F.col("_known"), "left")
     known = F.col("_known").isNotNull()
     totals = joined.agg(
-        F.count_if(known).alias("matched"),
-        F.count("*").alias("all_rows"),
-        F.count_if(~known).alias("orphans"),
-        F.round(F.sum(amount), 2).alias("revenue"),
+        F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("matched"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("all_rows"),
+        F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("orphans"),
+        F.round(F.sum(F.col("units") * F.col("price")), 2).alias("revenue"),
     )
     policies = F.array(
         _policy("inner_join", F.col("matched"), F.lit(0), F.lit(0)),
@@ -56,7 +59,7 @@ def orphan_policy_compare(orders: DataFrame, products: DataFrame) -> DataFrame:
     return totals.select(F.inline(policies))
 
 
-def _policy(name, kept, unpriced, set_aside):
+def _policy(name: str, kept: Column, unpriced: Column, set_aside: Column) -> Column:
     return F.struct(
         F.lit(name).alias("policy"),
         kept.alias("rows_kept"),

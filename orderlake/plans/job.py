@@ -102,10 +102,13 @@ def touched_partitions(
     """Partitions a merge has to rewrite: those of the new rows, and those the same orders lie in.
 
     The second part finds orders that move to another day. It reads only the id
-    column of the existing fact, as the kept side of a semi-join.
+    column of the existing fact, and of that only row groups whose id range overlaps
+    the delivery's: with ids that grow over time, little of the history.
     """
+    bounds = new.agg(F.min("order_id").alias("low"), F.max("order_id").alias("high")).first()
     moved = (
         existing.select("order_id", *partition_by)
+        .where(F.col("order_id").between(bounds.low, bounds.high))
         .join(new.select("order_id"), "order_id", "left_semi")
         .select(*partition_by)
     )

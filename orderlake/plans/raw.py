@@ -12,10 +12,6 @@ from orderlake.functions.scalars import blank_to_null, parse_timestamp, to_int
 
 
 
-def _amount() -> Column:
-    return to_int(F.col("quantity")) * F.col("price")
-
-
 def status_totals(orders: DataFrame) -> DataFrame:
     return (
         orders.groupBy("status").agg(F.count("*").alias("orders"), units()).orderBy("status")
@@ -98,22 +94,36 @@ def customer_preview(customers: DataFrame, limit: int = 2) -> DataFrame:
     )
 
 
-def _units_per(orders: DataFrame, *keys: str) -> DataFrame:
-    """Readable units per key combination, so that a join sees each combination once."""
-    return orders.groupBy(*keys).agg(F.sum(to_int(F.col("quantity"))).alias("units"))
+def _per_product(orders: DataFrame) -> DataFrame:
+    """Rows and readable units per product, so that a join sees every product once."""
+    return orders.groupBy("product_id").agg(
+        F.count("*").alias("n"), F.sum(to_int(F.col("quantity"))).alias("units")
+    )
+
+
+def _earned() -> Column:
+    return F.round(F.sum(F.col("units") * F.col("price")), 2)
 
 
 def raw_revenue_by_country(
     orders: DataFrame, customers: DataFrame, products: DataFrame, limit: int = 2
 ) -> DataFrame:
-    """Three raw tables joined, the best countries first."""
-    per_pair = _units_per(orders, "customer_id", "product_id")
-    total = F.round(F.sum(F.col("units") * F.col("price")), 2)
+    """Three raw tables joined, the best countries first.
+
+    Amounts are summed per customer before the customer join: that dimension grows
+    with the business and may have a customer with a third of all orders.
+    """
+    amount = to_int(F.col("quantity")) * F.col("price")
+    per_customer = (
+        orders.select("customer_id", "product_id", "quantity")
+        .join(products.select("product_id", "price"), "product_id")
+        .groupBy("customer_id")
+        .agg(F.sum(amount).alias("spent"))
+    )
     return (
-        per_pair.join(products.select("product_id", "price"), "product_id")
-        .join(customers.select("customer_id", "country"), "customer_id")
+        per_customer.join(customers.select("customer_id", "country"), "customer_id")
         .groupBy("country")
-        .agg(total.alias("revenue"))
+        .agg(F.round(F.sum("spent"), 2).alias("revenue"))
         .orderBy(F.col("revenue").desc(), "country")
         .limit(limit)
     )
@@ -122,35 +132,36 @@ def raw_revenue_by_country(
 def raw_revenue_total(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Quantity times price over orders and products; summed per product before the join."""
     return (
-        _units_per(orders, "product_id")
+        _per_product(orders)
         .join(products.select("product_id", "price"), "product_id")
-        .agg(F.round(F.sum(F.col("units") * F.col("price")), 2).alias("revenue"))
+        .agg(_earned().alias("revenue"))
     )
 
 
 def orphan_profile(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Orders without a product: rows and distinct unknown ids; leaked headers do not count."""
-    per_product = (
-        orders.where(F.col("order_id") != "order_id")
-        .groupBy("product_id")
-        .agg(F.count("*").alias("n"))
-    )
-    return per_product.join(products.select("product_id"), "product_id", "left_anti").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"),
-        F.count("product_id").alias("orphan_products"),
+    orders = orders.where(F.col("order_id") != "order_id")
+    return (
+        _per_product(orders)
+        .join(products.select("product_id"), "product_id", "left_anti")
+        .agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"),
+            F.count("product_id").alias("orphan_products"),
+        )
     )
 
 
 def left_join_null_price(orders: DataFrame, products: DataFrame, day: str) -> DataFrame:
     """A left join keeps orphans: rows, revenue and how many rows came without a product."""
     known = products.select(F.col("product_id").alias("_known"), "price")
+    orphans = F.sum(F.when(F.col("_known").isNull(), F.col("n")).otherwise(0))
     return (
-        orders.where(day_partition(day))
+        _per_product(orders.where(day_partition(day)))
         .join(known, F.col("product_id") == F.col("_known"), "left")
         .agg(
-            F.count("*").alias("rows_kept"),
-            F.round(F.sum(_amount()), 2).alias("revenue"),
-            F.count_if(F.col("_known").isNull()).alias("null_price_rows"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows_kept"),
+            _earned().alias("revenue"),
+            F.coalesce(orphans, F.lit(0)).alias("null_price_rows"),
         )
     )
 
@@ -158,7 +169,9 @@ def left_join_null_price(orders: DataFrame, products: DataFrame, day: str) -> Da
 def one_day_join_revenue(orders: DataFrame, products: DataFrame, day: str) -> DataFrame:
     """The same day through an inner join: orphans are gone without a trace."""
     return (
-        orders.where(day_partition(day))
+        _per_product(orders.where(day_partition(day)))
         .join(products.select("product_id", "price"), "product_id")
-        .agg(F.count("*").alias("rows_kept"), F.round(F.sum(_amount()), 2).alias("revenue"))
+        .agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows_kept"), _earned().alias("revenue")
+        )
     )
