@@ -52,7 +52,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     options = _arguments(argv)
     session = configure(spark or build_session("curated-sales"))
     contract = load_contract(session, options.contract)
-    paths = LakePaths.below(options.lake, contract)
+    paths = LakePaths.below(session, options.lake, contract)
 
     def read(name: str, within: SparkSession = session) -> DataFrame:
         if options.database:

@@ -7,6 +7,7 @@ executors are lost, and the expensive deduplication is not repeated for each.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -24,7 +25,7 @@ from orderlake.operators.cleanse import (
 )
 from orderlake.operators.keys import first_per_key
 from orderlake.operators.reconcile import balance, reconcile
-from orderlake.session import discard, path_exists
+from orderlake.session import discard, path_exists, shared_folder
 from orderlake.sinks.writers import write_curated, write_quarantine
 from orderlake.sources.readers import read_curated
 
@@ -35,21 +36,29 @@ class ReconciliationError(RuntimeError):
 
 @dataclass(frozen=True)
 class LakePaths:
-    """Where a run reads and writes; all of it on storage every executor reaches."""
+    """Where a run reads and writes; all of it on storage every executor reaches.
+
+    ``work`` holds tables that only cut lineage. ``redo`` holds merged days until they
+    are published and therefore lies with the lake, as safe as the fact itself.
+    """
 
     curated: str
     quarantine: str
     ledger: str
+    redo: str
     work: str
 
     @classmethod
-    def below(cls, root: str, contract: Contract | None = None) -> LakePaths:
+    def below(cls, spark: SparkSession, root: str, contract: Contract | None = None) -> LakePaths:
         names = contract or Contract()
+        shared = shared_folder(spark)
+        lake_name = re.sub(r"[^A-Za-z0-9]+", "-", root).strip("-")
         return cls(
             curated=f"{root}/{names.curated_prefix}",
             quarantine=f"{root}/{names.quarantine_prefix}",
             ledger=f"{root}/reconciliation",
-            work=f"{root}/_work",
+            redo=f"{root}/_redo",
+            work=f"{shared}/orderlake/{lake_name}" if shared else f"{root}/_work",
         )
 
 
@@ -116,7 +125,7 @@ def touched_partitions(
 
 
 def publish_merged(
-    spark: SparkSession, new: DataFrame, curated: str, work: str, contract: Contract
+    spark: SparkSession, new: DataFrame, curated: str, redo: str, contract: Contract
 ) -> None:
     """Merge new sales into the partitioned fact by rewriting the touched partitions only.
 
@@ -130,16 +139,17 @@ def publish_merged(
         write_curated(new, curated, partition_by=parts, compression=contract.compression)
         return
     existing = read_curated(spark, curated, parts)
-    touched = _stage_once(touched_partitions(existing, new, parts), f"{work}/touched")
+    touched = _stage_once(touched_partitions(existing, new, parts), f"{redo}/touched")
     # Names of day partitions: their number is bounded by the calendar, not by the rows.
     names = [row.name for row in touched.select(partition_key(parts).alias("name")).collect()]
     affected = existing.where(partition_key(parts).isin(names))
-    merged = _stage_once(merge_sales(affected, new), f"{work}/merged")
+    merged = _stage_once(merge_sales(affected, new), f"{redo}/merged")
     write_curated(merged, curated, partition_by=parts, compression=contract.compression)
     # A partition whose last order moved away has no row to replace it with.
     emptied = touched.join(merged.select(*parts).distinct(), list(parts), "left_anti")
     for row in emptied.collect():
         discard(spark, "/".join([curated, *[f"{part}={row[part]}" for part in parts]]))
+    discard(spark, redo)
 
 
 def run_curated_sales(
@@ -188,7 +198,7 @@ def run_curated_sales(
         write_quarantine(rejected(judged), paths.quarantine, run_id)
     if report["curated_rows"]:
         if merge:
-            publish_merged(spark, sales, paths.curated, work, rules)
+            publish_merged(spark, sales, paths.curated, f"{paths.redo}/{run_id}", rules)
         else:
             write_curated(
                 sales,

@@ -47,7 +47,7 @@ class Lake:
     @cached_property
     def published(self) -> LakePaths:
         """A full run of the job: curated, quarantine and reconciliation on storage."""
-        paths = LakePaths.below(scratch(self.spark, "lake"))
+        paths = LakePaths.below(self.spark, scratch(self.spark, "lake"))
         run_curated_sales(
             self.feed.orders.select(*CLEAN_COLUMNS),
             self.feed.customers,
@@ -129,7 +129,7 @@ class Lake:
     def run_deliveries(self) -> tuple[LakePaths, list[int]]:
         """Let the deliveries arrive one by one, then look once more; rows read per run."""
         root = scratch(self.spark, "incremental")
-        paths = LakePaths.below(root)
+        paths = LakePaths.below(self.spark, root)
         arrived = f"{root}/raw/orders"
         handled = []
         for number in (1, 2, 3, None):

@@ -44,18 +44,24 @@ def _local_scratch() -> tempfile.TemporaryDirectory:
     return tempfile.TemporaryDirectory(prefix="orderlake-")
 
 
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder the cluster names for intermediate tables, if it names one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return folder.rstrip("/") if folder else None
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh path for intermediate tables that every executor can reach.
 
     On a cluster it lies below ``spark.checkpoint.dir``; only a local master may
     fall back to a folder of this machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = shared_folder(spark)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = _local_scratch().name
-    return f"{root.rstrip('/')}/orderlake/{label}-{uuid.uuid4().hex}"
+    return f"{root}/orderlake/{label}-{uuid.uuid4().hex}"
 
 
 def discard(spark: SparkSession, path: str) -> None:

@@ -10,15 +10,15 @@ from orderlake import schemas
 from orderlake.contract import Contract
 from orderlake.plans import job
 from orderlake.plans.job import LakePaths, ReconciliationError, run_curated_sales
-from orderlake.session import path_exists
+from orderlake.session import path_exists, scratch
 from orderlake.sinks.writers import write_flat
 from orderlake.sources.readers import read_curated
 from orderlake.streaming.incremental import run_incremental
 
 
 @pytest.fixture()
-def paths(tmp_path):
-    return LakePaths.below(str(tmp_path / "lake"))
+def paths(spark, tmp_path):
+    return LakePaths.below(spark, str(tmp_path / "lake"))
 
 
 def run(spark, paths, run_id, *rows, merge=True, **kwargs):
@@ -124,8 +124,17 @@ def test_replay_after_a_crash_while_publishing_restores_the_replaced_day(spark,
     with pytest.raises(OSError):
         run(spark, paths, "r2", order("C"))
     monkeypatch.setattr(job, "write_curated", publish)
+    assert path_exists(spark, f"{paths.redo}/r2/merged/_SUCCESS")
     run(spark, paths, "r2", order("C"))
     assert set(quantities(spark, paths)) == {"A", "B", "C"}
+    assert not path_exists(spark, f"{paths.redo}/r2")
+
+
+def test_intermediate_tables_go_where_the_cluster_says(spark, monkeypatch):
+    for module in ("orderlake.session", "orderlake.plans.job"):
+        monkeypatch.setattr(f"{module}.shared_folder", lambda _: "hdfs:///shared")
+    assert LakePaths.below(spark, "s3a://lake").work == "hdfs:///shared/orderlake/s3a-lake"
+    assert scratch(spark, "x").startswith("hdfs:///shared/orderlake/x-")
 
 
 def test_contract_rules_reach_the_run(spark, paths):
