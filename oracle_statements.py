@@ -274,8 +274,8 @@ STATEMENTS: dict[str, str] = {
               THEN CAST(try_strptime(order_date, '%Y-%m-%d %H:%M:%S') AS DATE) END) AS distinct_order_dates
       FROM feed_orders""",
     "duplicate_ids": """SELECT order_id, count(*) AS occurrences, min(order_date) AS earliest,
-        max(order_date) AS latest FROM feed_orders WHERE order_id IS NOT NULL
-      GROUP BY order_id HAVING count(*) > 1 ORDER BY order_id LIMIT 3""",
+        max(order_date) AS latest FROM feed_orders
+      GROUP BY order_id HAVING count(*) > 1 ORDER BY order_id NULLS LAST LIMIT 3""",
     "ids_by_latest_month": """SELECT substr(latest, 1, 7) AS latest_month, count(*) AS order_ids FROM (
         SELECT order_id, max(order_date) AS latest FROM feed_orders GROUP BY order_id) GROUP BY 1""",
     "price_profile": "SELECT count(*) AS n, round(avg(price), 2) AS avg_price, round(sum(price), 2) AS total_price FROM feed_products",

@@ -73,7 +73,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         return handled
 
     report = run_curated_sales(
-        read("orders"), read("customers"), read("products"), paths, options.run_id, contract=contract
+        read("orders"),
+        read("customers"),
+        read("products"),
+        paths,
+        options.run_id,
+        contract=contract,
     )
     print(json.dumps(report))
     if path_exists(session, paths.quarantine):

@@ -38,7 +38,11 @@ def many_column_projection(sales: DataFrame) -> DataFrame:
 def revenue_by_category(sales: DataFrame) -> DataFrame:
     return (
         sales.groupBy("category")
-        .agg(order_count(), revenue(), mean_money(F.sum("order_total"), F.count("order_total")).alias("avg_order"))
+        .agg(
+            order_count(),
+            revenue(),
+            mean_money(F.sum("order_total"), F.count("order_total")).alias("avg_order"),
+        )
         .orderBy(F.col("revenue").desc(), "category")
     )
 

@@ -11,7 +11,6 @@ from orderlake.functions.measures import units
 from orderlake.functions.scalars import blank_to_null, parse_timestamp, to_int
 
 
-
 def status_totals(orders: DataFrame) -> DataFrame:
     return (
         orders.groupBy("status").agg(F.count("*").alias("orders"), units()).orderBy("status")
@@ -36,13 +35,17 @@ def raw_profile(orders: DataFrame) -> DataFrame:
 
 
 def partition_span(orders: DataFrame) -> DataFrame:
-    """First, last and number of partitions against the number of dates inside the rows."""
+    """First, last and number of partitions against the number of dates inside the rows.
+
+    The pairs of both days are few, so they are made distinct first, inside each task.
+    """
     own_date = day_text(parse_timestamp(blank_to_null(F.col("order_date")), ORDER_DATE_FORMAT))
-    return orders.agg(
-        F.countDistinct(partition_key()).alias("raw_partitions"),
-        F.min(partition_key()).alias("min_part"),
-        F.max(partition_key()).alias("max_part"),
-        F.countDistinct(own_date).alias("distinct_order_dates"),
+    pairs = orders.select(partition_key().alias("part"), own_date.alias("own_date")).distinct()
+    return pairs.agg(
+        F.countDistinct("part").alias("raw_partitions"),
+        F.min("part").alias("min_part"),
+        F.max("part").alias("max_part"),
+        F.countDistinct("own_date").alias("distinct_order_dates"),
     )
 
 
@@ -54,8 +57,8 @@ def duplicate_ids(orders: DataFrame, limit: int = 3) -> DataFrame:
             F.min("order_date").alias("earliest"),
             F.max("order_date").alias("latest"),
         )
-        .where((F.col("occurrences") > 1) & F.col("order_id").isNotNull())
-        .orderBy("order_id")
+        .where(F.col("occurrences") > 1)
+        .orderBy(F.asc_nulls_last("order_id"))
         .limit(limit)
     )
 

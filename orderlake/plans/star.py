@@ -138,7 +138,10 @@ def revenue_by_country(star: Star) -> DataFrame:
 def revenue_by_category(star: Star) -> DataFrame:
     totals = _by_attribute(star.fact_orders, star.dim_product, "product_id", "category")
     return totals.select(
-        "category", "orders", "revenue", mean_money(F.col("revenue"), F.col("priced")).alias("avg_order")
+        "category",
+        "orders",
+        "revenue",
+        mean_money(F.col("revenue"), F.col("priced")).alias("avg_order"),
     ).orderBy(F.col("revenue").desc(), "category")
 
 

@@ -23,7 +23,7 @@ def write_daily_and_hourly(orders: DataFrame, root: str) -> dict[str, str]:
 
 
 def write_file_counts(orders: DataFrame, root: str, files: int = 200) -> dict[str, str]:
-    """The same rows as few files of a healthy size and as ``files`` small ones."""
+    """The same rows as few files of a healthy size (one, if they fit) and as ``files`` small ones."""
     paths = {"one_file": f"{root}/one_file", "many_files": f"{root}/many_files"}
     orders.hint("rebalance").write.mode("overwrite").parquet(paths["one_file"])
     orders.repartition(files).write.mode("overwrite").parquet(paths["many_files"])
@@ -43,9 +43,8 @@ def compact(
 
     The target is another directory, so a lost job leaves the source whole.
     """
-    write_partitioned(
-        spark.read.schema(schema).parquet(source), target, partition_by=partition_by, sort_by=sort_by
-    )
+    rows = spark.read.schema(schema).parquet(source)
+    write_partitioned(rows, target, partition_by=partition_by, sort_by=sort_by)
     return spark.read.schema(schema).parquet(target)
 
 

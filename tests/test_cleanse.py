@@ -32,9 +32,8 @@ def test_latest_version_wins_and_keeps_its_own_values(spark):
 
 
 def test_missing_date_loses_and_status_breaks_a_tie(spark):
-    frame = orders(
-        spark, order(date=None), order(status="SHIPPED"), order(status="PENDING"), order(status=None)
-    )
+    rows = [order(date=None), *[order(status=s) for s in ("SHIPPED", "PENDING", None)]]
+    frame = orders(spark, *rows)
     assert [row.status for row in cleanse.deduplicate(frame).collect()] == ["PENDING"]
 
 
@@ -209,7 +208,9 @@ def test_hot_customer_is_split_when_dimensions_are_too_large_to_broadcast(spark,
     number = F.col("id")
     facts = spark.range(n).repartition(8).select(
         F.concat(F.lit("A"), number).alias("order_id"),
-        F.when(number % 3 == 0, "K0").otherwise(F.concat(F.lit("K"), number % 5000)).alias("customer_id"),
+        F.when(number % 3 == 0, "K0")
+        .otherwise(F.concat(F.lit("K"), number % 5000))
+        .alias("customer_id"),
         F.lit("W1").alias("product_id"),
         F.lit(2).alias("quantity"),
         F.to_timestamp(F.lit(GOOD)).alias("order_date"),

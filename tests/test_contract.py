@@ -17,7 +17,9 @@ def test_given_values_win():
     text = json.dumps(
         {
             "datasets": {"orders": {"catalog_table": "orders_v2"}},
-            "curated": {"sales": {"prefix": "gold/sales", "compression": "zstd", "partition_by": ["year"]}},
+            "curated": {
+                "sales": {"prefix": "gold/sales", "compression": "zstd", "partition_by": ["year"]}
+            },
             "quality": {"quarantine_prefix": "bad", "valid_statuses": ["OPEN"]},
         }
     )

@@ -22,9 +22,9 @@ def paths(spark, tmp_path):
 
 
 def run(spark, paths, run_id, *rows, merge=True, **kwargs):
-    return run_curated_sales(
-        orders(spark, *rows), customers(spark), products(spark), paths, run_id, merge=merge, **kwargs
-    )
+    feed = orders(spark, *rows)
+    dims = customers(spark), products(spark)
+    return run_curated_sales(feed, *dims, paths, run_id, merge=merge, **kwargs)
 
 
 def quantities(spark, paths):
@@ -200,7 +200,8 @@ def raw_lake(spark, root):
 
     write_flat(customers(spark), f"{root}/raw/customers", fmt="csv")
     write_flat(products(spark), f"{root}/raw/products", fmt="csv")
-    write_flat(orders(spark, order("A"), order("B", product="W9")), f"{root}/raw/orders/d1", fmt="csv")
+    feed = orders(spark, order("A"), order("B", product="W9"))
+    write_flat(feed, f"{root}/raw/orders/d1", fmt="csv")
 
 
 def test_command_line_full_run_from_the_catalog(spark, tmp_path):
@@ -214,10 +215,8 @@ def test_command_line_full_run_from_the_catalog(spark, tmp_path):
         folder = "orders/d1" if name == "orders" else name
         register_raw_csv(spark, f"cli_raw.{name}_raw", f"{root}/raw/{folder}", schema)
     (tmp_path / "contract.json").write_text('{"curated": {"sales": {"prefix": "gold/sales"}}}')
-    report = main(
-        ["--lake", root, "--database", "cli_raw", "--contract", f"{root}/contract.json", "--run-id", "x"],
-        spark,
-    )
+    options = ["--lake", root, "--database", "cli_raw", "--run-id", "x"]
+    report = main([*options, "--contract", f"{root}/contract.json"], spark)
     assert (report["valid_rows"], report["rejected_rows"]) == (1, 1)
     assert read_curated(spark, f"{root}/gold/sales").count() == 1
 

@@ -79,7 +79,8 @@ def test_inference_agrees_with_sparks_own(spark, tmp_path):
     own = schema_checks.infer_schema(frame, F.col("d"), ["price"])
     for row in own.collect():
         path = str(tmp_path / row.delivery)
-        frame.where(F.col("d") == row.delivery).select("price").write.option("header", True).csv(path)
+        part = frame.where(F.col("d") == row.delivery).select("price")
+        part.write.option("header", True).csv(path)
         builtin = spark.read.option("header", True).option("inferSchema", True).csv(path)
         assert builtin.schema["price"].dataType.simpleString() == row.inferred_type
 
@@ -103,14 +104,16 @@ def test_drift_bad_tokens_and_impact(spark):
 def test_format_equality_counts_uneven_rows(spark):
     a = spark.createDataFrame([(1,), (1,), (2,)], "v int")
     b = spark.createDataFrame([(1,), (2,), (3,)], "v int")
-    found = {r.encoding: tuple(r)[1:] for r in schema_checks.format_equality({"a": a, "b": b}).collect()}
+    rows = schema_checks.format_equality({"a": a, "b": b}).collect()
+    found = {r.encoding: tuple(r)[1:] for r in rows}
     assert found == {"a": (3, 2), "b": (3, 2)}
     same = schema_checks.format_equality({"a": a, "b": a.repartition(3)}).collect()
     assert all(r.rows_not_everywhere == 0 for r in same)
 
 
 def test_misfiled_rows(spark):
-    rows = [("2026-08-11 00:00:00", "2026", "08", "11"), ("2026-08-12 00:00:00", "2026", "08", "11"), (None, "2026", "08", "11")]
+    dates = ("2026-08-11 00:00:00", "2026-08-12 00:00:00", None)
+    rows = [(date, "2026", "08", "11") for date in dates]
     frame = spark.createDataFrame(rows, "ts string, year string, month string, day string")
     row = schema_checks.partition_mismatch(frame, F.to_timestamp("ts")).first()
     assert tuple(row) == (3, 1, 1)

@@ -21,7 +21,9 @@ def dated(spark, n, day="05"):
         F.sha2(number.cast("string"), 512).alias("note"),
         F.lit("2026").alias("year"),
         F.lit("01").alias("month"),
-        F.when(number % 3 == 0, day).otherwise(F.lpad((number % 20 + 1).cast("string"), 2, "0")).alias("day"),
+        F.when(number % 3 == 0, day)
+        .otherwise(F.lpad((number % 20 + 1).cast("string"), 2, "0"))
+        .alias("day"),
     )
 
 
@@ -90,7 +92,8 @@ def test_only_admissible_files(spark, tmp_path):
 def test_file_counts_compaction_and_statistics(spark, tmp_path):
     frame = dated(spark, 2000)
     paths = layout.write_file_counts(frame, str(tmp_path / "counts"), files=40)
-    many, few = files(tmp_path / "counts/many_files", ".parquet"), files(tmp_path / "counts/one_file", ".parquet")
+    many = files(tmp_path / "counts/many_files", ".parquet")
+    few = files(tmp_path / "counts/one_file", ".parquet")
     assert len(many) == 40 and len(few) == 1
     for n in range(3):
         frame.where(F.crc32("order_id") % 3 == n).write.mode("append").partitionBy(
