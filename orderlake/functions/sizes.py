@@ -1,0 +1,14 @@
+"""What Catalyst knows about the size of a table before it runs."""
+
+from pyspark.sql import DataFrame
+
+
+def estimated_bytes(frame: DataFrame) -> int:
+    """The optimizer's size estimate: file sizes for a scan, catalog statistics for a table."""
+    return int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def fits_broadcast(frame: DataFrame) -> bool:
+    """Would Spark itself broadcast this side? Follows ``autoBroadcastJoinThreshold``."""
+    settings = frame.sparkSession._jsparkSession.sessionState().conf()
+    return estimated_bytes(frame) <= settings.autoBroadcastJoinThreshold()

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from orderlake.functions.dates import day_range, day_text
 from orderlake.functions.measures import order_count, revenue
 from orderlake.functions.scalars import mean_money, money
+from orderlake.functions.sizes import estimated_bytes, fits_broadcast
 
 
 
@@ -79,8 +80,7 @@ def _ranged(frame: DataFrame, *keys: str) -> DataFrame:
     large its size decides the number of ranges.
     """
     settings = frame.sparkSession.conf
-    size = int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    wanted = size // FILE_BYTES
+    wanted = estimated_bytes(frame) // FILE_BYTES
     if wanted > int(settings.get("spark.sql.shuffle.partitions")):
         return frame.repartitionByRange(wanted, *keys)
     return frame.repartitionByRange(*keys)
@@ -109,25 +109,22 @@ def read_star(spark: SparkSession, root: str) -> Star:
     return Star(*[spark.read.parquet(f"{root}/{name}") for name in TABLES])
 
 
-def _by_attribute(star_fact: DataFrame, dim: DataFrame, key: str, attribute: str) -> DataFrame:
-    """Fact totals by a dimension attribute.
+def _by_attribute(facts: DataFrame, dim: DataFrame, key: str, *attributes: str) -> DataFrame:
+    """Fact totals by attributes of one dimension (and, if named, of the fact).
 
-    The fact is summed per key before the join: one shuffle with map-side
-    combination, after which a hot key is a single row and the join runs on the
-    same partitioning.
+    A dimension small enough to broadcast is joined to the fact directly: nothing is
+    shuffled but the totals. Beyond that size the fact is summed per key before the
+    join: one shuffle with map-side combination, after which a hot key is a single
+    row and the join runs on the same partitioning.
     """
-    per_key = star_fact.groupBy(key).agg(
-        order_count(), revenue(), F.count("order_total").alias("priced")
-    )
-    return (
-        per_key.join(dim.select(key, attribute), key)
-        .groupBy(attribute)
-        .agg(
-            F.sum("orders").alias("orders"),
-            F.sum("revenue").alias("revenue"),
-            F.sum("priced").alias("priced"),
-        )
-    )
+    named = dim.select(key, *[name for name in attributes if name in dim.columns])
+    measures = (order_count(), revenue(), F.count("order_total").alias("priced"))
+    if fits_broadcast(named):
+        return facts.join(named, key).groupBy(*attributes).agg(*measures)
+    own = [name for name in attributes if name not in dim.columns]
+    per_key = facts.groupBy(key, *own).agg(*measures)
+    sums = [F.sum(name).alias(name) for name in ("orders", "revenue", "priced")]
+    return per_key.join(named, key).groupBy(*attributes).agg(*sums)
 
 
 def revenue_by_country(star: Star) -> DataFrame:
@@ -161,11 +158,11 @@ def monthly_revenue_trend(star: Star) -> DataFrame:
 def star_join_all_dimensions(star: Star, limit: int = 20) -> DataFrame:
     """The whole star at once, best combinations first.
 
-    Days and products are joined to the fact itself. Customers, the dimension that
-    grows and may hold a hot key, are joined to totals per customer, category and
-    month. The grouping keys close the sort order, so the cut at ``limit`` is stable.
+    Days and products are joined to the fact itself; customers, the dimension that
+    grows and may hold a hot key, as their size allows. The grouping keys close the
+    sort order, so the cut at ``limit`` is stable.
     """
-    per_customer = (
+    dated = (
         star.fact_orders.select(
             "customer_id",
             "product_id",
@@ -174,14 +171,11 @@ def star_join_all_dimensions(star: Star, limit: int = 20) -> DataFrame:
         )
         .join(star.dim_date.select("date_key", "year", "month"), "date_key")
         .join(star.dim_product.select("product_id", "category"), "product_id")
-        .groupBy("customer_id", "category", "year", "month")
-        .agg(order_count(), revenue())
     )
     keys = ["category", "country", "year", "month"]
+    totals = _by_attribute(dated, star.dim_customer, "customer_id", *keys)
     return (
-        per_customer.join(star.dim_customer.select("customer_id", "country"), "customer_id")
-        .groupBy(*keys)
-        .agg(F.sum("orders").alias("orders"), F.sum("revenue").alias("revenue"))
+        totals.select(*keys, "orders", "revenue")
         .orderBy(F.col("revenue").desc(), *keys)
         .limit(limit)
     )

@@ -93,10 +93,14 @@ def test_top_k_keeps_k_rows_per_task(lk):
     assert "TakeOrderedAndProject(limit=20" in plan_of(star.star_join_all_dimensions(lk.star))
 
 
-def test_fact_is_combined_per_key_before_the_dimension_join(lk):
-    plan = plan_of(star.revenue_by_country(lk.star))
-    join = plan.index("HashJoin")
-    assert "HashAggregate(keys=[customer_id" in plan[join:]
+def test_large_dimension_meets_a_fact_already_combined_per_key(lk, conf):
+    small = plan_of(star.revenue_by_country(lk.star))
+    assert "BroadcastHashJoin" in small and "HashAggregate(keys=[customer_id" not in small
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    for report in (star.revenue_by_country, star.star_join_all_dimensions):
+        plan = plan_of(report(lk.star))
+        join = plan.index("SortMergeJoin [customer_id")
+        assert "HashAggregate(keys=[customer_id" in plan[join:]
 
 
 def test_governed_view_reads_granted_columns_only(spark):
