@@ -7,6 +7,7 @@ compared by value.
 
 from __future__ import annotations
 
+import importlib
 import sys
 from collections.abc import Callable
 from functools import reduce
@@ -667,9 +668,31 @@ def _runner(build: Query) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: _comparable(build(lake(spark, sf_dir)))
 
 
+def _installed(module: str):
+    """A module of the text operators, or None where they are not installed."""
+    try:
+        return importlib.import_module(module)
+    except ModuleNotFoundError as error:
+        if not (error.name or "").startswith(("corpus_pipeline", "orderlake.llm")):
+            raise
+        return None
+
+
+def _corpus() -> tuple[dict, dict]:
+    """Queries and twins of the text operators and of the pipeline over them."""
+    found, twins = {}, {}
+    if operators := _installed("orderlake.llm.queries"):
+        found, twins = operators.queries(), operators.oracle_sql()
+    if pipeline := _installed("corpus_pipeline"):
+        found["pipeline"] = pipeline.run
+        if pipeline.ORACLE_SQL:
+            twins["pipeline"] = pipeline.ORACLE_SQL
+    return found, twins
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _runner(build) for name, build in _REGISTRY.items()}
+    return {name: _runner(build) for name, build in _REGISTRY.items()} | _corpus()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_statements.statements()
+    return oracle_statements.statements() | _corpus()[1]
