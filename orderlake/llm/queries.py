@@ -7,12 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import packing, simhash, topk
+from orderlake.llm import packing, simhash, topk, warc
 from orderlake.llm.common import table
+from orderlake.session import scratch
 
 TOP_K = 5
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as archives and read back."""
+    root = scratch(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), root)
+    found = warc.read_archive(spark, root)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five best inner products of every fiftieth vector against all others."""
     vectors = table(spark, sf_dir, "embeddings")
@@ -34,12 +43,31 @@ def op10_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op3_exact_top_k, op4_simhash_groups, op10_length_buckets]
+    found = [op2_warc, op3_exact_top_k, op4_simhash_groups, op10_length_buckets]
     return {query.__name__: query for query in found}
 
 
 # ---------------------------------------------------------------- DuckDB twins
 
+# The digest is written in base 32 from eight pieces of 20 bits, four characters each.
+_OP2 = """
+WITH hashed AS (
+  SELECT page_id, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS n,
+    sha1(coalesce(html, '')) AS hex
+  FROM pages),
+firsts AS (
+  SELECT *, CASE WHEN n >= 0 THEN max(page_id) OVER (PARTITION BY payload) END AS first
+  FROM hashed)
+SELECT page_id, n::BIGINT AS payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda k: substr(
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(hex, (k // 4 * 5 + 1)::BIGINT, 5))::BIGINT >> (15 - 5 * (k % 4))::BIGINT)
+      & 31) + 1, 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first IS NULL OR page_id = first THEN NULL ELSE first END AS refers_to
+FROM firsts
+"""
+
 _OP3 = f"""
 WITH usable AS (
   SELECT vec_id, min(list_transform(embedding, lambda x: floor(256 * x::DOUBLE))) AS v
@@ -110,4 +138,4 @@ FROM ordered
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_top_k": _OP3, "op10_length_buckets": _OP10}
+    return {"op2_warc": _OP2, "op3_exact_top_k": _OP3, "op10_length_buckets": _OP10}
