@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import packing, simhash, topk, warc
+from orderlake.llm import decontam, packing, simhash, topk, warc
 from orderlake.llm.common import table
 from orderlake.session import scratch
 
@@ -37,13 +37,27 @@ def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decontam.decontaminate(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op10_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every piece of every document goes: bucket, batch and slot."""
     return packing.pack(table(spark, sf_dir, "documents")).rows
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_warc, op3_exact_top_k, op4_simhash_groups, op10_length_buckets]
+    found = [op2_warc, op3_exact_top_k, op4_simhash_groups, op8_decontam, op10_length_buckets]
     return {query.__name__: query for query in found}
 
 
@@ -88,6 +102,37 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {TOP_K}
 """
 
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PLAIN_WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+_OP8 = f"""
+WITH items AS (SELECT item_id::VARCHAR AS item_id, {_PLAIN_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS n,
+    array_to_string(list_slice(w, pos + 1, pos + least(13, len(w))), ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(greatest(len(w) - 13, 0) + 1)) AS pos
+    FROM items WHERE len(w) > 0)),
+docs AS (
+  SELECT row_number() OVER () AS row, doc_id, {_PLAIN_WORDS} AS w FROM documents),
+places AS (
+  SELECT row, w, n, unnest(range(len(w) - n + 1)) AS pos
+  FROM docs CROSS JOIN (SELECT DISTINCT n FROM windows) WHERE len(w) >= n),
+hits AS (
+  SELECT p.row, p.pos, p.n, v.item_id
+  FROM (SELECT row, n, pos, array_to_string(list_slice(w, pos + 1, pos + n), ' ') AS phrase FROM places) p
+  JOIN windows v ON v.n = p.n AND v.phrase = p.phrase),
+covered AS (
+  SELECT row, count(DISTINCT word) AS n_hit
+  FROM (SELECT row, unnest(range(pos, pos + n)) AS word FROM hits) GROUP BY row),
+named AS (
+  SELECT row, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT row, item_id FROM hits) GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN covered USING (row) LEFT JOIN named USING (row)
+"""
+
 # The bucket boundaries come from the same dynamic programme, one recursion step per bucket:
 # entry j of the list is [least cost of the first j lengths, boundaries that reach it].
 _OP10 = f"""
@@ -138,4 +183,4 @@ FROM ordered
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": _OP2, "op3_exact_top_k": _OP3, "op10_length_buckets": _OP10}
+    return {"op2_warc": _OP2, "op3_exact_top_k": _OP3, "op8_decontam": _OP8, "op10_length_buckets": _OP10}
