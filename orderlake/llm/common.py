@@ -24,6 +24,9 @@ _WORD_TABLE = bytes(
 )
 
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def plain_words(text: bytes) -> list[bytes]:
     """Lower-cased (A-Z) runs of ASCII letters, digits and non-ASCII characters."""
     return text.translate(_WORD_TABLE).split()
@@ -76,7 +79,12 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     """
     spark = frame.sparkSession
     path = scratch(spark, label)
-    frame.write.parquet(path)
+    before = spark.conf.get(_CLEAN_UP)
+    spark.conf.set(_CLEAN_UP, "true")  # the shuffles of this write are of no use after it
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 

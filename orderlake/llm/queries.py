@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import decontam, packing, simhash, topk, warc
+from orderlake.llm import decontam, packing, simhash, substrings, topk, warc
 from orderlake.llm.common import table
 from orderlake.session import scratch
 
@@ -37,6 +37,12 @@ def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_drop_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.drop_repeats(table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    return cut.select("doc_id", "n_words", "n_removed", digest)
+
+
 def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = decontam.decontaminate(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -57,7 +63,7 @@ def op10_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_warc, op3_exact_top_k, op4_simhash_groups, op8_decontam, op10_length_buckets]
+    found = [op2_warc, op3_exact_top_k, op4_simhash_groups, op7_drop_repeats, op8_decontam, op10_length_buckets]
     return {query.__name__: query for query in found}
 
 
@@ -102,6 +108,29 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {TOP_K}
 """
 
+_OP7 = """
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT row, doc_id, pos, array_to_string(list_slice(w, pos + 1, pos + 13), ' ') AS phrase
+  FROM (SELECT row, doc_id, w, unnest(range(len(w) - 12)) AS pos FROM docs WHERE len(w) >= 13)),
+firsts AS (SELECT phrase, min(doc_id) AS first FROM windows GROUP BY phrase),
+gone AS (
+  SELECT row, list(DISTINCT word) AS gone FROM (
+    SELECT row, unnest(range(pos, pos + 13)) AS word
+    FROM windows JOIN firsts USING (phrase) WHERE first < doc_id)
+  GROUP BY row),
+kept AS (
+  SELECT doc_id, len(w) AS n, len(coalesce(gone, [])) AS cut, CASE WHEN gone IS NULL THEN w ELSE
+    list_select(w, list_sort(list_filter(range(1, len(w) + 1),
+      lambda k: NOT list_contains(gone, k - 1)))) END AS k
+  FROM docs LEFT JOIN gone USING (row))
+SELECT doc_id, n::BIGINT AS n_words, cut::BIGINT AS n_removed,
+  sha256(array_to_string(k, ' ')) AS kept_sha256
+FROM kept
+"""
+
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PLAIN_WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -183,4 +212,4 @@ FROM ordered
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": _OP2, "op3_exact_top_k": _OP3, "op8_decontam": _OP8, "op10_length_buckets": _OP10}
+    return {"op2_warc": _OP2, "op3_exact_top_k": _OP3, "op7_drop_repeats": _OP7, "op8_decontam": _OP8, "op10_length_buckets": _OP10}
