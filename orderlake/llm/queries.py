@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import decontam, packing, simhash, substrings, topk, warc
+from orderlake.llm import decontam, packing, pii, simhash, substrings, topk, warc
 from orderlake.llm.common import table
 from orderlake.session import scratch
 
@@ -57,13 +57,42 @@ def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    rank = F.array(*[F.lit(kind) for kind in pii.KINDS])
+
+    def written(spans):
+        ordered = F.array_sort(
+            F.transform(
+                spans,
+                lambda s: F.struct(
+                    s["start"], F.array_position(rank, s["kind"]), s["end"], s["kind"]
+                ),
+            )
+        )
+        parts = F.transform(
+            ordered, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+        )
+        return F.array_join(parts, ",")
+
+    def count(kind: str):
+        return F.size(F.filter("fixed", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in pii.KINDS],
+        F.sha2(written(F.col("fixed")).cast("binary"), 256).alias("base_sha256"),
+        written(F.concat("fixed", "added")).alias("spans"),
+    )
+
+
 def op10_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every piece of every document goes: bucket, batch and slot."""
     return packing.pack(table(spark, sf_dir, "documents")).rows
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_warc, op3_exact_top_k, op4_simhash_groups, op7_drop_repeats, op8_decontam, op10_length_buckets]
+    found = [op2_warc, op3_exact_top_k, op4_simhash_groups, op7_drop_repeats, op8_decontam, op9_personal_data, op10_length_buckets]
     return {query.__name__: query for query in found}
 
 
