@@ -7,13 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import decontam, packing, pii, simhash, substrings, topk, warc
+from orderlake.llm import decontam, packing, pii, simhash, substrings, topk, toxicity, warc
 from orderlake.llm.common import table
 from orderlake.session import scratch
 
 TOP_K = 5
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, toxicity.learnable(table(spark, sf_dir, "labels")))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.is_held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as archives and read back."""
     root = scratch(spark, "warc")
@@ -92,7 +103,7 @@ def op10_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_warc, op3_exact_top_k, op4_simhash_groups, op7_drop_repeats, op8_decontam, op9_personal_data, op10_length_buckets]
+    found = [op1_toxicity, op2_warc, op3_exact_top_k, op4_simhash_groups, op7_drop_repeats, op8_decontam, op9_personal_data, op10_length_buckets]
     return {query.__name__: query for query in found}
 
 
