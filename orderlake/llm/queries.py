@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import decontam, packing, pii, simhash, substrings, topk, toxicity, warc
+from orderlake.llm import (
+    decontam,
+    langid,
+    licenses,
+    packing,
+    pii,
+    simhash,
+    substrings,
+    topk,
+    toxicity,
+    warc,
+)
 from orderlake.llm.common import table
 from orderlake.session import scratch
 
@@ -48,6 +59,36 @@ def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    starts = F.transform("base", lambda b: b["start"])
+    base = F.transform("base", lambda b: b["label"])
+    every = F.concat(base, F.transform("blocks", lambda b: b["label"]))
+    best = F.array_max(F.transform("blocks", lambda b: b["containment"]))
+
+    def written(labels):
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        written(base).alias("base_labels"),
+        written(every).alias("labels"),
+        F.when(F.size("base") > 0, 1.0).otherwise(F.coalesce(best, F.lit(0.0))).alias("score"),
+    )
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(langid.learnable(docs).where("lang is not null"))
+    return langid.identify(docs, model).select(
+        "doc_id", langid.is_held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op7_drop_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substrings.drop_repeats(table(spark, sf_dir, "documents"))
     digest = F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
@@ -103,7 +144,7 @@ def op10_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_toxicity, op2_warc, op3_exact_top_k, op4_simhash_groups, op7_drop_repeats, op8_decontam, op9_personal_data, op10_length_buckets]
+    found = [op1_toxicity, op2_warc, op3_exact_top_k, op4_simhash_groups, op5_licenses, op6_language, op7_drop_repeats, op8_decontam, op9_personal_data, op10_length_buckets]
     return {query.__name__: query for query in found}
 
 
