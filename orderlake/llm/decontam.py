@@ -69,7 +69,7 @@ def decontaminate(
     window: int = WINDOW,
     slots: int = SLOTS,
 ) -> DataFrame:
-    """Per row of ``docs``: (id, n_words, n_hit, item_ids array<string>, contaminated).
+    """Per row of ``docs``: (id, text_hash, n_words, n_hit, item_ids array<string>, contaminated).
 
     A window is ``window`` consecutive words of an item; an item with fewer words is one window,
     an item without words none. n_hit counts document words inside any occurrence of a window,
@@ -114,7 +114,7 @@ def decontaminate(
     marks = _filter_of(prefixes.select(F.col("prefix").alias("word")).distinct(), slots)
     tokens = docs.select(
         F.col(id_col).alias("id"),
-        F.xxhash64(text_col).alias("version"),
+        F.xxhash64(text_col).alias("text_hash"),
         words_of(F.col(text_col)).alias("w"),
     )
     places = F.when(
@@ -141,16 +141,16 @@ def decontaminate(
     itself = F.array(
         F.struct(
             F.lit(None).cast("int").alias("at"),
-            F.concat(F.lit(" "), F.xxhash64("id", "version").cast("string")).alias("prefix"),
+            F.concat(F.lit(" "), F.xxhash64("id", "text_hash").cast("string")).alias("prefix"),
             F.array().cast("array<string>").alias("context"),
         )
     )
     looked = tokens.select(
         "id",
-        "version",
+        "text_hash",
         F.size("w").cast("long").alias("n_words"),
         F.explode(F.concat(itself, around)).alias("place"),
-    ).select("id", "version", "n_words", "place.at", "place.prefix", "place.context")
+    ).select("id", "text_hash", "n_words", "place.at", "place.prefix", "place.context")
     start = F.col("at") - F.col("offset")
     skipped = F.greatest(F.col("at") - (window - 1), F.lit(0))
     match = (
@@ -161,7 +161,7 @@ def decontaminate(
     hits = (
         looked.join(prefixes, "prefix", "left")
         .where(F.col("at").isNull() | match)
-        .groupBy("id", "version", "n_words")
+        .groupBy("id", "text_hash", "n_words")
         .agg(
             F.count_if(F.col("at").isNull()).alias("copies"),
             F.collect_set(
@@ -177,9 +177,10 @@ def decontaminate(
     )
     n_hit = F.size(F.array_distinct(covered)).cast("long")
     return (
-        hits.select("id", "n_words", n_hit.alias("n_hit"), "item_ids", "copies")
+        hits.select("id", "text_hash", "n_words", n_hit.alias("n_hit"), "item_ids", "copies")
         .select(
             F.col("id").alias(id_col),
+            "text_hash",
             "n_words",
             "n_hit",
             "item_ids",
@@ -190,3 +191,22 @@ def decontaminate(
         )
         .drop("copy")
     )
+
+
+def drop_contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    **options,
+) -> DataFrame:
+    """``docs`` without the contaminated rows; all columns stay."""
+    judged = decontaminate(docs, benchmark, id_col, text_col, **options)
+    bad = stored(
+        judged.where("contaminated")
+        .select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"))
+        .distinct(),
+        "contaminated",
+    )
+    same = docs[id_col].eqNullSafe(bad["_id"]) & (F.xxhash64(docs[text_col]) == bad["_hash"])
+    return docs.join(bad, same, "left_anti")

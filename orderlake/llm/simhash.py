@@ -262,21 +262,27 @@ def simhash_groups(
     shingle_words: int = SHINGLE_WORDS,
     max_bits: int = MAX_BITS,
 ) -> DataFrame:
-    """Per row of ``docs``: (id, simhash long, component_id) in the order of no promise.
+    """Per row of ``docs``: (id, text_hash, simhash, group, component_id), in no order.
 
     Rows are linked if their fingerprints differ in ``max_bits`` bits or fewer; component_id is
     the smallest id reachable over links, itself included. Only distinct fingerprints enter the
     join, so exact copies cost one row. Null texts and texts without words have fingerprint zero
     and are linked like any other. A null id is never a component_id unless its whole component
-    has no other; repeated rows are each reported. Only the two named columns are read.
+    has no other; repeated rows are each reported. ``group`` is the smallest fingerprint (as a
+    signed number) of the component, text_hash tells rows with the same id apart. An empty table
+    gives no rows; only the two named columns are read.
     """
-    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    named = docs.select(
+        F.col(id_col).alias("id"),
+        F.xxhash64(text_col).alias("text_hash"),
+        F.col(text_col).alias("text"),
+    )
     prints = stored(
         map_rows(
             named,
-            f"id {docs.schema[id_col].dataType.simpleString()}, a long",
-            ["id", "text"],
-            lambda _, key, text: (key, fingerprint(text, shingle_words)),
+            f"id {docs.schema[id_col].dataType.simpleString()}, text_hash long, a long",
+            ["id", "text_hash", "text"],
+            lambda _, key, version, text: (key, version, fingerprint(text, shingle_words)),
         ),
         "simhash-prints",
     )
@@ -284,10 +290,32 @@ def simhash_groups(
     member = connected(near_links(distinct.select("a"), max_bits))
     member = member.withColumnRenamed("node", "a")
     rooted = distinct.join(member, "a", "left").select(
-        "a", "low", F.coalesce("root", "a").alias("root")
+        "a", "low", F.coalesce("root", "a").alias("group")
     )
-    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    classes = rooted.join(lowest, "root").select("a", "component_id")
+    lowest = rooted.groupBy("group").agg(F.min("low").alias("component_id"))
+    classes = rooted.join(lowest, "group").select("a", "group", "component_id")
     return prints.join(classes, "a").select(
-        F.col("id").alias(id_col), F.col("a").alias("simhash"), "component_id"
+        F.col("id").alias(id_col), "text_hash", F.col("a").alias("simhash"), "group", "component_id"
     )
+
+
+def drop_near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+) -> DataFrame:
+    """``docs`` with one row of each group: the one with the smallest id (null ids last).
+
+    All columns stay. Among rows that repeat that id, the smaller text hash stays, and one row of
+    those that repeat the text too.
+    """
+    groups = simhash_groups(docs, id_col, text_col, shingle_words, max_bits)
+    first = F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("id"), "text_hash"))
+    kept = groups.groupBy("group").agg(first.alias("first"))
+    kept = kept.select(F.col("first.id").alias("_id"), F.col("first.text_hash").alias("_hash"))
+    marked = docs.withColumn("_text_hash", F.xxhash64(text_col))
+    same = marked[id_col].eqNullSafe(kept["_id"]) & (marked["_text_hash"] == kept["_hash"])
+    survivors = marked.join(kept, same, "left_semi")
+    return survivors.dropDuplicates([id_col, "_text_hash"]).drop("_text_hash")

@@ -342,37 +342,56 @@ def train(
     return {"counts": counts, "lexicon": lexicon, "beta": beta}
 
 
+def _setup(sent):
+    """Per task: what turns a text into (score, words that spoke for toxicity)."""
+    model = sent.value
+    restorer = Restorer(LetterModel(model["counts"]), tuple(model["lexicon"]))
+    lexicon, beta = model["lexicon"], model["beta"]
+
+    def judge(text: bytes | None) -> tuple[float, list[str]]:
+        hits = sorted(w for w in restorer.words(text) if w in lexicon)
+        features = _features([lexicon[w] for w in hits])
+        z = beta[0] + sum(b * x for b, x in zip(beta[1:], features, strict=True))
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), hits
+
+    return judge
+
+
 def score(
     docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Per row of ``docs``: (id, score double, hits array<string>).
 
     ``hits`` are the restored words that spoke for toxicity. Null and empty texts have the score of
-    a text without such words; repeated rows are each scored; other columns are ignored.
+    a text without such words; repeated rows are each scored; an empty table gives no rows; other
+    columns are ignored.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def one(state, key, text):
-        restorer, lexicon, beta = state
-        hits = sorted(w for w in restorer.words(text) if w in lexicon)
-        features = _features([lexicon[w] for w in hits])
-        z = beta[0] + sum(b * x for b, x in zip(beta[1:], features, strict=True))
-        return key, 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), hits
-
     kind = docs.schema[id_col].dataType.simpleString()
     return map_rows(
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
         f"id {kind}, score double, hits array<string>",
         ["id", "text"],
-        one,
-        lambda: (
-            Restorer(LetterModel(sent.value["counts"]), tuple(sent.value["lexicon"])),
-            sent.value["lexicon"],
-            sent.value["beta"],
-        ),
+        lambda judge, key, text: (key, *judge(text)),
+        lambda: _setup(sent),
     ).withColumnRenamed("id", id_col)
 
 
+def drop_toxic(
+    docs: DataFrame, model: dict, text_col: str = "text", threshold: float = THRESHOLD
+) -> DataFrame:
+    """``docs`` without the rows that score ``threshold`` or more; all columns stay."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = _setup(sent)
+        for batch in batches:
+            keep = [judge(text)[0] < threshold for text in texts_of(batch, text_col)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def learnable(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The label rows to learn from: crc32 of the id modulo 4 is not 2."""
     return labels.where(crc_bucket(id_col, 4) != 2)
