@@ -315,7 +315,7 @@ def drop_near_duplicates(
     first = F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("id"), "text_hash"))
     kept = groups.groupBy("group").agg(first.alias("first"))
     kept = kept.select(F.col("first.id").alias("_id"), F.col("first.text_hash").alias("_hash"))
-    marked = docs.withColumn("_text_hash", F.xxhash64(text_col))
-    same = marked[id_col].eqNullSafe(kept["_id"]) & (marked["_text_hash"] == kept["_hash"])
+    marked = docs.withColumn("__orderlake_text_hash", F.xxhash64(text_col))
+    same = marked[id_col].eqNullSafe(kept["_id"]) & (marked["__orderlake_text_hash"] == kept["_hash"])
     survivors = marked.join(kept, same, "left_semi")
-    return survivors.dropDuplicates([id_col, "_text_hash"]).drop("_text_hash")
+    return survivors.dropDuplicates([id_col, "__orderlake_text_hash"]).drop("__orderlake_text_hash")

@@ -55,11 +55,12 @@ def _anchors(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
 class _Filter:
     """Bloom filter with two bits per anchor, built by Spark's bitmap aggregates."""
 
-    def __init__(self, shared: DataFrame):
-        size = 1 << FILTER_BITS
+    def __init__(self, shared: DataFrame, size_log2: int):
+        self.shift = 64 - size_log2
+        size = 1 << size_log2
         bits = F.array(
             F.col("anchor").bitwiseAND(F.lit(size - 1)),
-            F.shiftrightunsigned("anchor", 64 - FILTER_BITS),
+            F.shiftrightunsigned("anchor", self.shift),
         )
         rows = (
             shared.select(F.explode(bits).alias("bit"))
@@ -74,9 +75,9 @@ class _Filter:
 
     def hits(self, anchors: np.ndarray) -> np.ndarray:
         packed = np.frombuffer(self.sent.value, dtype=np.uint8)
-        size = np.uint64((1 << FILTER_BITS) - 1)
+        size = np.uint64((1 << (64 - self.shift)) - 1)
         found = np.ones(len(anchors), dtype=bool)
-        for bit in (anchors & size, anchors >> np.uint64(64 - FILTER_BITS)):
+        for bit in (anchors & size, anchors >> np.uint64(self.shift)):
             found &= (packed[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
         return found
 
@@ -179,7 +180,11 @@ def _cut(window: int):
 
 
 def drop_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    window: int = WINDOW,
+    filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """Per row of ``docs``: (id, n_words long, n_removed long, kept string).
 
@@ -214,7 +219,7 @@ def drop_repeats(
         .where("first < last")
         .select("anchor")
     )
-    marks = _Filter(stored(shared, "repeat-anchors"))
+    marks = _Filter(stored(shared, "repeat-anchors"), filter_bits)
     windows = named.mapInArrow(
         _emit_windows(marks, window), "low long, high long, id long, version long, start int"
     )

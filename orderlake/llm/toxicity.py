@@ -43,7 +43,7 @@ _SPACED = re.compile(
     r"(?![^\s.,;:?])".encode()
 )
 _EDGE = re.compile(rb"^[^a-z0-9@$|+(!]+|[^a-z0-9@$|+(!]+$")
-_DECORATED = re.compile(rb"([^a-z0-9])\1+$|^([^a-z0-9])\2+")
+_DECORATED = re.compile(rb"([^a-z0-9$])\1+$|^([^a-z0-9$])\2+|\$\$\$+$|^\$\$\$+")
 _PLAIN = re.compile(rb"[a-z]+\Z")
 _TRIPLE = re.compile(rb"([a-z])\1\1")
 _DOUBLE = re.compile(rb"([a-z])\1+")
@@ -214,7 +214,7 @@ def letter_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
                 if text:
                     codes = _CODES[np.frombuffer(b"  " + folded(text) + b" ", dtype=np.uint8)]
                     # behind a boundary nothing is remembered
-                    codes = codes[(codes > 0) | np.append(True, codes[:-1] > 0)]
+                    codes = np.append(0, codes[(codes > 0) | np.append(True, codes[:-1] > 0)])
                     one, two = codes[1:-1], codes[:-2] * (codes[1:-1] > 0)
                     codes = two * 729 + one * 27 + codes[2:]
                     total += np.bincount(codes, minlength=27**3)
