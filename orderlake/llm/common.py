@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderlake.session import scratch
@@ -141,5 +141,24 @@ def connected(links: DataFrame) -> DataFrame:
         before = after
 
 
+def some_of_each(ids: DataFrame, group: str, rows: int) -> DataFrame:
+    """At most ``rows`` rows of each value of ``group``: those with the smallest hash of ``id``.
+
+    ``ids`` has a row per id; ``group`` takes few values, whose counts go to the driver. A group
+    far above ``rows`` is thinned by hash first, to half as many again, so that what is ranked
+    in one task is bounded. Column ``at`` is the rank, from 1.
+    """
+    counts = {row[group]: row["count"] for row in ids.groupBy(group).count().collect()}
+    ranked = ids.withColumn("hash", F.xxhash64("id"))
+    large = {key: 1.5 * rows / n for key, n in counts.items() if n > 1.5 * rows}
+    if large:
+        share = F.create_map(*[F.lit(x) for pair in large.items() for x in pair])
+        unit = F.shiftrightunsigned("hash", 11) / float(1 << 53)
+        ranked = ranked.where(unit < F.coalesce(F.try_element_at(share, F.col(group)), F.lit(1.0)))
+    order = Window.partitionBy(group).orderBy("hash", "id")
+    ranked = ranked.withColumn("at", F.row_number().over(order))
+    return ranked.where(F.col("at") <= rows).drop("hash")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -13,10 +13,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import crc_bucket, map_rows, texts_of
+from orderlake.llm.common import crc_bucket, map_rows, some_of_each, texts_of
 
 BUCKETS = 1 << 16  # hashed n-grams
 ORDERS = (1, 2, 3)
@@ -151,16 +151,13 @@ def train(
     """
     texts, frequency = document_frequencies(docs, text_col)
     idf = np.log((1 + texts) / (1 + frequency)) + 1
-    order = Window.partitionBy("lang").orderBy("hash", "id")
-    ids = (
+    labelled = (
         docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
         .where("id is not null and lang is not null")
         .groupBy("id")
         .agg(F.min("lang").alias("lang"))
-        .withColumn("hash", F.xxhash64("id"))
-        .withColumn("at", F.row_number().over(order))
-        .where(F.col("at") <= rows_per_language)
     )
+    ids = some_of_each(labelled, "lang", rows_per_language)
     languages = [r["lang"] for r in ids.select("lang").distinct().orderBy("lang").collect()]
     if not languages:
         return None
