@@ -21,13 +21,14 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import oracle_statements
 from orderlake import schemas
-from orderlake.contract import ORDER_DATE_FORMAT
+from orderlake.contract import ORDER_DATE_FORMAT, PARTITION_COLUMNS
 from orderlake.functions.dates import day_partition
 from orderlake.functions.measures import order_count, revenue, units
 from orderlake.functions.scalars import blank_to_null, parse_timestamp, to_int
 from orderlake.operators import audit, cleanse, keys, quality, reconcile, schema_checks
 from orderlake.operators.governance import governed_view
 from orderlake.plans import analytics, raw, star
+from orderlake.plans.job import LakePaths, run_curated_sales
 from orderlake.plans.lake import PARTITIONED, Lake, lake
 from orderlake.session import scratch
 from orderlake.sinks import layout, tables, writers
@@ -579,7 +580,12 @@ def uncastable_values(lk: Lake) -> DataFrame:
 
 @query
 def header_leak(lk: Lake) -> DataFrame:
-    return schema_checks.header_leak(_orders_raw(lk), "order_id")
+    """One header line more in every day's file, as a file glued to another brings it in."""
+    spark, path = lk.spark, scratch(lk.spark, "glued")
+    names = [F.lit(name).alias(name) for name in cleanse.CLEAN_COLUMNS]
+    headers = lk.raw_orders.select(*names, *PARTITION_COLUMNS).distinct()
+    writers.write_partitioned(lk.raw_orders.unionByName(headers), path, fmt="csv")
+    return schema_checks.header_leak(readers.scan_partitioned(spark, path, "csv"), "order_id")
 
 
 @query
@@ -589,13 +595,26 @@ def drift_impact(lk: Lake) -> DataFrame:
 
 @query
 def partition_mismatch(lk: Lake) -> DataFrame:
+    """Orders of every tenth customer are filed a year early."""
+    path = scratch(lk.spark, "misfiled")
+    moved = F.when(F.col("customer_id").endswith("7"), "2025").otherwise(F.col("year"))
+    writers.write_partitioned(lk.raw_orders.withColumn("year", moved), path)
+    filed = readers.scan_partitioned(lk.spark, path)
     written = parse_timestamp(blank_to_null(F.col("order_date")), ORDER_DATE_FORMAT)
-    return schema_checks.partition_mismatch(_orders_raw(lk), written)
+    return schema_checks.partition_mismatch(filed, written)
 
 
 @query
 def format_equality(lk: Lake) -> DataFrame:
-    return schema_checks.format_equality(_read_formats(lk))
+    """The four encodings, of which JSON lost its returns and altered pending quantities."""
+    encodings = _read_formats(lk)
+    altered = F.when(F.col("status") == "PENDING", F.concat("quantity", F.lit("0")))
+    encodings["json"] = (
+        encodings["json"]
+        .where(~F.col("status").eqNullSafe("RETURNED"))
+        .withColumn("quantity", F.coalesce(altered, "quantity"))
+    )
+    return schema_checks.format_equality(encodings)
 
 
 # ---------------------------------------------------------------- storage layout
@@ -642,8 +661,47 @@ def layout_file_count(lk: Lake) -> DataFrame:
 
 @query
 def layout_stats(lk: Lake) -> DataFrame:
-    """Files, bytes and partitions of every layout and encoding of the same orders."""
-    return layout.layout_stats({**_read_formats(lk), **_layouts(lk), "curated": lk.sales})
+    """Partitions and rows of every layout and encoding, and whether there is a file for each.
+
+    Numbers and sizes of files, which the operator reports too, depend on the writer.
+    """
+    paths = {**lk.formats, **lk.layouts, "curated": lk.published.curated}
+    frames = {**_read_formats(lk), **_layouts(lk), "curated": lk.sales}
+    stats = layout.layout_stats({name: (frames[name], paths[name]) for name in frames})
+    filed = ((F.col("files") >= F.col("partitions")) & (F.col("bytes") > 0)).alias("filed")
+    return stats.select("dataset", "partitions", "rows", filed)
+
+
+@query
+def full_rebuild(lk: Lake) -> DataFrame:
+    """The fact after two full runs; in the first, a third of the orders lay a year earlier."""
+    paths = LakePaths.below(lk.spark, scratch(lk.spark, "rebuilt"))
+    late = lk.feed.orders.withColumn(
+        "order_date",
+        F.when(F.col("delivery") == 3, F.regexp_replace("order_date", "2026", "2025")).otherwise(
+            F.col("order_date")
+        ),
+    )
+    for run_id, orders in (("first", late), ("second", lk.feed.orders)):
+        run_curated_sales(
+            orders.select(*cleanse.CLEAN_COLUMNS),
+            lk.feed.customers,
+            lk.feed.products,
+            paths,
+            run_id,
+        )
+    return readers.read_curated(lk.spark, paths.curated)
+
+
+@query
+def run_history(lk: Lake) -> DataFrame:
+    """The ledger of the three deliveries, one record per run that had new files."""
+    paths, _ = lk.run_deliveries()
+    number = F.regexp_extract("run_id", "([0-9]+)$", 1).cast("int") + 1
+    counts = ("source", "deduplicated", "valid", "rejected", "curated")
+    return lk.spark.read.parquet(paths.ledger).select(
+        number.alias("delivery"), *[f"{name}_rows" for name in counts], "balanced"
+    )
 
 
 @query

@@ -75,13 +75,14 @@ WITH joined AS (
   FROM dated WHERE bucket <= 6
 ), numbered AS (
   SELECT *, row_number() OVER (
-           PARTITION BY order_id
+           PARTITION BY nullif(trim(order_id), '')
            ORDER BY order_date DESC NULLS LAST, status ASC NULLS LAST,
-                    customer_id ASC NULLS LAST, product_id ASC NULLS LAST,
-                    quantity ASC NULLS LAST) AS place
+                    order_id ASC NULLS LAST, customer_id ASC NULLS LAST,
+                    product_id ASC NULLS LAST, quantity ASC NULLS LAST) AS place
   FROM feed_orders
 ), deduplicated AS (
-  SELECT order_id, customer_id, product_id, quantity, order_date, status FROM numbered WHERE place = 1
+  SELECT order_id, customer_id, product_id, quantity, order_date, status FROM numbered
+  WHERE place = 1 OR nullif(trim(order_id), '') IS NULL
 ), trimmed AS (
   SELECT nullif(trim(order_id), '') AS order_id, nullif(trim(customer_id), '') AS customer_id,
          nullif(trim(product_id), '') AS product_id, nullif(trim(quantity), '') AS quantity,
@@ -137,16 +138,16 @@ WITH joined AS (
          CAST(price AS DECIMAL(12,2)) AS price, order_total, status FROM sales
 ), per_delivery AS (
   SELECT *, row_number() OVER (
-           PARTITION BY delivery, order_id
+           PARTITION BY delivery, nullif(trim(order_id), '')
            ORDER BY order_date DESC NULLS LAST, status ASC NULLS LAST,
-                    customer_id ASC NULLS LAST, product_id ASC NULLS LAST,
+                    order_id ASC NULLS LAST, customer_id ASC NULLS LAST, product_id ASC NULLS LAST,
                     quantity ASC NULLS LAST) AS place
   FROM feed_orders
 ), delivered_valid AS (
   SELECT o.order_id, o.customer_id, o.product_id, p.product_name, p.category, c.country,
          o.quantity, p.price, CAST(o.quantity * p.price AS DECIMAL(12,2)) AS order_total,
-         o.status, o.order_date
-  FROM (SELECT trim(order_id) AS order_id, trim(customer_id) AS customer_id,
+         o.status, o.order_date, o.delivery
+  FROM (SELECT delivery, trim(order_id) AS order_id, trim(customer_id) AS customer_id,
                trim(product_id) AS product_id,
                CASE WHEN regexp_full_match(trim(quantity), '[+-]?\d+')
                     THEN TRY_CAST(trim(quantity) AS INTEGER) END AS quantity,
@@ -364,23 +365,49 @@ STATEMENTS: dict[str, str] = {
         price AS raw_value, 'double' AS declared_type
       FROM products_text WHERE price IS NOT NULL AND TRY_CAST(price AS DOUBLE) IS NULL""",
     "header_leak": """SELECT count(*) AS total_rows, count(DISTINCT order_id) AS distinct_ids,
-        CAST(sum(CASE WHEN order_id = 'order_id' THEN 1 ELSE 0 END) AS BIGINT) AS header_rows FROM feed_orders""",
+        count(*) FILTER (WHERE order_id = 'order_id') AS header_rows
+      FROM (SELECT order_id FROM feed_orders UNION ALL
+            SELECT 'order_id' FROM (SELECT DISTINCT year, month, day FROM feed_orders))""",
     "drift_impact": """SELECT count(*) AS rows_seen, round(sum(TRY_CAST(price AS DOUBLE)), 2) AS total,
         count(*) FILTER (WHERE price IS NOT NULL AND TRY_CAST(price AS DOUBLE) IS NULL) AS lost_values,
         count(*) FILTER (WHERE price IS NULL) AS null_values FROM products_text""",
     "partition_mismatch": r"""SELECT count(*) AS rows_seen,
         count(*) FILTER (WHERE ts IS NOT NULL AND strftime(ts, '%Y-%m-%d') <> year || '-' || month || '-' || day) AS misfiled_rows,
         count(*) FILTER (WHERE ts IS NULL) AS unreadable_dates
-      FROM (SELECT *, CASE WHEN regexp_full_match(order_date, '\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}')
+      FROM (SELECT * REPLACE (CASE WHEN customer_id LIKE '%7' THEN '2025' ELSE year END AS year), CASE WHEN regexp_full_match(order_date, '\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}')
                       THEN try_strptime(order_date, '%Y-%m-%d %H:%M:%S') END AS ts FROM feed_orders)""",
-    "format_equality": """SELECT encoding, count(*) AS rows_seen, CAST(0 AS BIGINT) AS rows_not_everywhere
-      FROM feed_orders, (VALUES ('csv'), ('json'), ('parquet'), ('parquet_flat')) AS e(encoding) GROUP BY encoding""",
+    "format_equality": f"""SELECT encoding, CAST(sum(n) AS BIGINT) AS rows_seen,
+        CAST(sum(CASE WHEN uneven THEN n ELSE 0 END) AS BIGINT) AS rows_not_everywhere
+      FROM (SELECT encoding, n, max(n) OVER same <> min(n) OVER same OR count(*) OVER same < 4 AS uneven
+        FROM (SELECT encoding, {RAW_COLUMNS}, year, month, day, count(*) AS n FROM (
+            SELECT 'json' AS encoding, {RAW_COLUMNS.replace("quantity", "CASE WHEN status = 'PENDING' THEN quantity || '0' ELSE quantity END AS quantity")}, year, month, day
+            FROM feed_orders WHERE status IS DISTINCT FROM 'RETURNED'
+            UNION ALL SELECT encoding, {RAW_COLUMNS}, year, month, day
+            FROM feed_orders, (VALUES ('csv'), ('parquet'), ('parquet_flat')) AS e(encoding)) GROUP BY ALL)
+        WINDOW same AS (PARTITION BY {RAW_COLUMNS}, year, month, day)) GROUP BY encoding""",
     # storage layout
     "layout_daily_hourly": f"""SELECT layout, year, month, day, count(*) AS orders, {UNITS} AS units
       FROM feed_orders, (VALUES ('daily'), ('hourly')) AS e(layout) GROUP BY ALL""",
     "layout_file_count": f"""SELECT layout, status, count(*) AS orders, {UNITS} AS units
       FROM feed_orders, (VALUES ('one_file'), ('many_files')) AS e(layout)
       WHERE {ONE_DAY} GROUP BY ALL""",
+    "layout_stats": """SELECT dataset, CASE WHEN dataset = 'parquet_flat' THEN 1 ELSE
+          count(DISTINCT year || month || day || CASE WHEN dataset = 'hourly' THEN hour ELSE '' END) END AS partitions,
+        count(*) AS rows, true AS filed
+      FROM (SELECT year, month, day, CASE WHEN regexp_full_match(trim(order_date), '\\d{4}-\\d{2}-\\d{2} \\d{2}:\\d{2}:\\d{2}')
+              AND try_strptime(trim(order_date), '%Y-%m-%d %H:%M:%S') IS NOT NULL
+              THEN substr(trim(order_date), 12, 2) ELSE '00' END AS hour FROM feed_orders) o,
+        (VALUES ('csv'), ('json'), ('parquet'), ('parquet_flat'), ('daily'), ('hourly')) AS e(dataset)
+      GROUP BY dataset
+      UNION ALL SELECT 'curated', count(DISTINCT year || month || day), count(*), true FROM sales""",
+    "full_rebuild": f"SELECT {SALES_COLUMNS}, year, month, day FROM sales",
+    "run_history": """SELECT CAST(d.delivery AS INTEGER) AS delivery, source_rows, deduplicated_rows,
+        valid_rows, deduplicated_rows - valid_rows AS rejected_rows, valid_rows AS curated_rows,
+        true AS balanced
+      FROM (SELECT delivery, count(*) AS source_rows, count(*) FILTER (WHERE place = 1
+              OR nullif(trim(order_id), '') IS NULL) AS deduplicated_rows FROM per_delivery GROUP BY delivery) d
+      JOIN (SELECT delivery, count(*) AS valid_rows FROM delivered_valid GROUP BY delivery) v
+        ON d.delivery = v.delivery""",
     "compact": f"SELECT {RAW_COLUMNS}, year, month, day FROM feed_orders",
 }
 

@@ -24,8 +24,14 @@ NEWEST_FIRST = {"order_date": "desc", "status": "asc"}
 
 
 def deduplicate(orders: DataFrame) -> DataFrame:
-    """One row per order: the latest date, then the lower status, then the other columns."""
-    return first_per_key(orders, "order_id", NEWEST_FIRST)
+    """One row per order: the latest date, then the lower status, then the other columns.
+
+    Ids are compared without the blanks around them. A row without an id is nobody's
+    version: all of them stay, apart from the competition, and go to quarantine later.
+    """
+    keyed = orders.withColumn("_order", blank_to_null(F.col("order_id").cast("string")))
+    latest = first_per_key(keyed.where(F.col("_order").isNotNull()), "_order", NEWEST_FIRST)
+    return latest.unionByName(keyed.where(F.col("_order").isNull())).drop("_order")
 
 
 def clean(
@@ -55,12 +61,12 @@ def clean(
 
 
 def rejection_rules(statuses: Sequence[str] = VALID_STATUSES) -> list[tuple[str, Column]]:
-    """Reason and condition in order of precedence; the first that holds is reported.
+    """Reason and condition, most important first; a row is given the first that holds.
 
-    The two orphan rules come before the price rules: an unknown product has no
-    price for a different reason than a product with a bad one.
+    Unknown keys are looked at before prices, which only a known product can have.
     """
     known_status = F.coalesce(F.col("status").isin(*statuses), F.lit(False))
+    # The names of the reasons and their order.
     return [
         ("null_order_id", F.col("order_id").isNull()),
         ("null_customer_id", F.col("customer_id").isNull()),
@@ -131,9 +137,13 @@ def validate(
 
 
 def enrich(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """Attach country, created_date, product_name, category and price to valid orders."""
-    countries = customers.select("customer_id", "country", "created_date")
-    catalogue = products.select("product_id", "product_name", "category", "price")
+    """Attach country, created_date, product_name, category and price to valid orders.
+
+    For orders judged elsewhere; ``annotate`` joins the same attributes for the verdict, so a
+    job takes them from there. Exact copies of a dimension row do no harm.
+    """
+    countries = customers.select("customer_id", "country", "created_date").distinct()
+    catalogue = products.select("product_id", "product_name", "category", "price").distinct()
     return orders.join(countries, "customer_id").join(catalogue, "product_id")
 
 

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+SLICES = 16
+
+
 def first_per_key(frame: DataFrame, key: str, preference: Mapping[str, str]) -> DataFrame:
     """Keep the most preferred row of every key.
 
@@ -45,13 +48,18 @@ def key_violations(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
 
 
 def key_skew(frame: DataFrame, key: str) -> DataFrame:
-    """How evenly a hash of the key spreads rows over 16 slices."""
+    """How evenly a hash of the key spreads rows over 16 slices.
+
+    ``slices`` counts those with rows. With an empty slice the quietest has 0 rows and the skew,
+    busiest over quietest, has no bound: NULL.
+    """
     slices = frame.groupBy(F.substring(F.md5(F.col(key)), 1, 1).alias("slice")).agg(
         F.count("*").alias("n")
     )
+    empty = F.count("*") < SLICES
     return slices.agg(
         F.count("*").alias("slices"),
         F.max("n").alias("busiest_rows"),
-        F.min("n").alias("quietest_rows"),
-        F.round(F.max("n") / F.min("n"), 4).alias("skew"),
+        F.when(empty, 0).otherwise(F.min("n")).alias("quietest_rows"),
+        F.when(~empty, F.round(F.max("n") / F.min("n"), 4)).alias("skew"),
     )

@@ -1,12 +1,9 @@
-"""Proof that no row vanished.
+"""Counts of a run and what must hold between them.
 
-    source       = duplicates + valid + rejected
-    deduplicated = valid + rejected
-    curated      = valid
-
-The deduplicated count is taken from the source (distinct ids), the other two
-from the judged rows, so the second identity is a real check: it breaks when a
-step loses a row or a dimension with a repeated key multiplies one.
+Source rows are duplicates, valid or rejected rows; what stays after deduplication is valid or
+rejected; what the fact holds of the run afterwards is what was valid. Source and distinct
+orders are counted on the delivered ids, valid and rejected rows on the judged table, so a step
+that loses a row, or a dimension that repeats a key and multiplies one, breaks the balance.
 """
 
 from __future__ import annotations
@@ -14,17 +11,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderlake.functions.scalars import blank_to_null
 from orderlake.operators.cleanse import REASON
 
 
 def source_counts(orders: DataFrame) -> DataFrame:
-    """(source_rows, deduplicated_rows) from ids alone; missing ids form one group."""
+    """(source_rows, deduplicated_rows) from ids alone; a row without id counts for itself."""
+    order = blank_to_null(F.col("order_id").cast("string"))
     return orders.agg(
         F.count("*").alias("source_rows"),
-        (
-            F.countDistinct("order_id")
-            + F.coalesce(F.max(F.col("order_id").isNull().cast("long")), F.lit(0))
-        ).alias("deduplicated_rows"),
+        (F.countDistinct(order) + F.count_if(order.isNull())).alias("deduplicated_rows"),
     )
 
 

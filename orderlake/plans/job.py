@@ -7,7 +7,7 @@ executors are lost, and the expensive deduplication is not repeated for each.
 
 from __future__ import annotations
 
-import re
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from orderlake.contract import Contract
 from orderlake.functions.dates import partition_key
 from orderlake.operators.cleanse import (
+    CLEAN_COLUMNS,
     NEWEST_FIRST,
     accepted,
     judge_orders,
@@ -52,7 +53,8 @@ class LakePaths:
     def below(cls, spark: SparkSession, root: str, contract: Contract | None = None) -> LakePaths:
         names = contract or Contract()
         shared = shared_folder(spark)
-        lake_name = re.sub(r"[^A-Za-z0-9]+", "-", root).strip("-")
+        # A name of its own for each lake: two roots that differ in any character never share.
+        lake_name = hashlib.sha256(root.encode()).hexdigest()[:32]
         return cls(
             curated=f"{root}/{names.curated_prefix}",
             quarantine=f"{root}/{names.quarantine_prefix}",
@@ -95,13 +97,13 @@ def append_record(record: DataFrame, ledger: str, run_id: str) -> None:
 def merge_sales(existing: DataFrame, new: DataFrame) -> DataFrame:
     """Existing and new sales with one row per order: the latest version of each wins.
 
-    Only orders the delivery speaks about compete. The others pass by without the
-    shuffle and sort of the competition, and without any shuffle here as long as the
-    ids of the delivery are small enough for Spark to broadcast.
+    Only orders the delivery speaks about compete. The others are told apart by one join
+    with the ids of the delivery and pass by without the sort of the competition.
     """
-    ids = new.select("order_id")
-    contested = existing.join(ids, "order_id", "left_semi").unionByName(new)
-    untouched = existing.join(ids, "order_id", "left_anti")
+    ids = new.select(F.col("order_id").alias("_named")).distinct()
+    marked = existing.join(ids, F.col("order_id") == F.col("_named"), "left")
+    untouched = marked.where("_named is null").drop("_named")
+    contested = marked.where("_named is not null").drop("_named").unionByName(new)
     return untouched.unionByName(first_per_key(contested, "order_id", NEWEST_FIRST))
 
 
@@ -124,11 +126,19 @@ def touched_partitions(
     return new.select(*partition_by).unionByName(moved).distinct()
 
 
+def _drop_partitions(spark: SparkSession, curated: str, names: DataFrame) -> None:
+    """Delete day partitions; their number is bounded by the calendar."""
+    for row in names.collect():
+        discard(spark, "/".join([curated, *[f"{p}={row[p]}" for p in names.columns]]))
+
+
 def publish_merged(
     spark: SparkSession, new: DataFrame, curated: str, redo: str, contract: Contract
-) -> None:
+) -> int:
     """Merge new sales into the partitioned fact by rewriting the touched partitions only.
 
+    Returns how many of the new orders the fact holds afterwards, in this or a later version.
+
     The merged partitions are written beside the fact first and published from
     there. That copy is also the redo log: if the publishing step dies halfway, a
     replay of the run publishes it again and never recomputes it from a
@@ -137,7 +147,7 @@ def publish_merged(
     parts = contract.partition_by
     if not path_exists(spark, curated):
         write_curated(new, curated, partition_by=parts, compression=contract.compression)
-        return
+        return read_curated(spark, curated, parts).count()
     existing = read_curated(spark, curated, parts)
     touched = _stage_once(touched_partitions(existing, new, parts), f"{redo}/touched")
     # Names of day partitions: their number is bounded by the calendar, not by the rows.
@@ -147,9 +157,28 @@ def publish_merged(
     write_curated(merged, curated, partition_by=parts, compression=contract.compression)
     # A partition whose last order moved away has no row to replace it with.
     emptied = touched.join(merged.select(*parts).distinct(), list(parts), "left_anti")
-    for row in emptied.collect():
-        discard(spark, "/".join([curated, *[f"{part}={row[part]}" for part in parts]]))
+    _drop_partitions(spark, curated, emptied)
+    published = read_curated(spark, curated, parts).where(partition_key(parts).isin(names))
+    held = new.join(published.select("order_id"), "order_id", "left_semi").count()
     discard(spark, redo)
+    return held
+
+
+def publish_full(spark: SparkSession, sales: DataFrame, curated: str, contract: Contract) -> int:
+    """Replace the whole fact; returns how many rows it holds afterwards.
+
+    Days of an earlier run that this one has no order for go once the new days are there: an
+    order that moved to another day is in the fact once.
+    """
+    parts = contract.partition_by
+    if not path_exists(spark, curated) and sales.isEmpty():
+        return 0
+    write_curated(sales, curated, partition_by=parts, compression=contract.compression)
+    published = read_curated(spark, curated, parts)
+    days = published.select(*parts).distinct()
+    stale = days.join(sales.select(*parts).distinct(), list(parts), "left_anti")
+    _drop_partitions(spark, curated, stale)
+    return read_curated(spark, curated, parts).count()
 
 
 def run_curated_sales(
@@ -164,9 +193,11 @@ def run_curated_sales(
 ) -> dict[str, object]:
     """One run: deduplicate, clean, judge, reconcile, publish. Returns the reconciliation record.
 
-    ``merge=False`` replaces the day partitions present in this delivery, as a
-    full rebuild does. ``merge=True`` adds the delivery to what is already there.
-    ``run_id`` identifies the run on replay: the same id publishes the same rows once.
+    ``merge=False`` takes ``orders`` as all there is and replaces the whole fact.
+    ``merge=True`` adds the delivery to what is already there. ``run_id`` identifies the run on
+    replay: the same id publishes the same rows once. The source is read once, into the work
+    folder; a run that lost or multiplied rows publishes nothing, and the record counts what
+    the fact really holds of the run after publishing.
     """
     rules = contract or Contract()
     spark = orders.sparkSession
@@ -176,9 +207,10 @@ def run_curated_sales(
         return record.first().asDict()
 
     work = f"{paths.work}/{run_id}"
+    landed = _stage_once(orders.select(*CLEAN_COLUMNS), f"{work}/source")
     judged = _stage_once(
         judge_orders(
-            orders,
+            landed,
             customers,
             products,
             statuses=rules.valid_statuses,
@@ -187,27 +219,30 @@ def run_curated_sales(
         f"{work}/judged",
     )
     sales = transform(accepted(judged), partition_by=rules.partition_by)
-    record = reconcile(orders, judged, sales)
-    report = record.first().asDict()
-    if not report["balanced"]:
+    expected = reconcile(landed, judged, sales)
+    counts = expected.first().asDict()
+    if not counts["balanced"]:
         # The next attempt must judge again, for example with repaired dimensions.
-        discard(spark, f"{work}/judged")
-        raise ReconciliationError(f"reconciliation did not balance, nothing published: {report}")
+        discard(spark, work)
+        raise ReconciliationError(f"reconciliation did not balance, nothing published: {counts}")
 
-    if report["rejected_rows"]:
+    if counts["rejected_rows"]:
         write_quarantine(rejected(judged), paths.quarantine, run_id)
-    if report["curated_rows"]:
-        if merge:
-            publish_merged(spark, sales, paths.curated, f"{paths.redo}/{run_id}", rules)
-        else:
-            write_curated(
-                sales,
-                paths.curated,
-                partition_by=rules.partition_by,
-                compression=rules.compression,
-            )
-    # The counts are known by now; recording them must not compute them again.
-    known = spark.range(1).select(*[F.lit(value).alias(name) for name, value in report.items()])
-    append_record(known.to(record.schema), paths.ledger, run_id)
+    else:
+        # Rejects of an earlier attempt, which this one has no rows to replace with.
+        discard(spark, f"{paths.quarantine}/run_id={run_id}")
+    if not merge:
+        held = publish_full(spark, sales, paths.curated, rules)
+    elif counts["valid_rows"]:
+        held = publish_merged(spark, sales, paths.curated, f"{paths.redo}/{run_id}", rules)
+    else:
+        held = 0
+    names = ("source", "deduplicated", "valid", "rejected")
+    known = [F.lit(counts[f"{n}_rows"]).alias(f"{n}_rows") for n in names]
+    record = balance(spark.range(1).select(*known, F.lit(held).cast("bigint").alias("curated_rows")))
+    report = record.first().asDict()
+    append_record(record, paths.ledger, run_id)
+    if not report["balanced"]:
+        raise ReconciliationError(f"the fact does not hold what was valid: {report}")
     discard(spark, work)
     return report

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from orderlake.functions.dates import day_range, day_text
 from orderlake.functions.measures import order_count, revenue
 from orderlake.functions.scalars import mean_money, money
-from orderlake.functions.sizes import estimated_bytes, fits_broadcast
-
-
 
 def dim_customer(sales: DataFrame) -> DataFrame:
     """Customers that bought something."""
@@ -53,9 +50,6 @@ def fact_orders(sales: DataFrame) -> DataFrame:
     )
 
 
-FILE_BYTES = 256 * 1024 * 1024
-
-
 @dataclass(frozen=True)
 class Star:
     dim_customer: DataFrame
@@ -73,28 +67,18 @@ def derive_star(sales: DataFrame) -> Star:
     return Star(dim_customer(sales), dim_product(sales), dim_date(facts), facts)
 
 
-def _ranged(frame: DataFrame, *keys: str) -> DataFrame:
-    """Range-partition a table for writing, in files of a healthy size.
-
-    AQE merges small ranges but never splits a range, so where the scan below is
-    large its size decides the number of ranges.
-    """
-    settings = frame.sparkSession.conf
-    wanted = estimated_bytes(frame) // FILE_BYTES
-    if wanted > int(settings.get("spark.sql.shuffle.partitions")):
-        return frame.repartitionByRange(wanted, *keys)
-    return frame.repartitionByRange(*keys)
-
-
-def write_star(sales: DataFrame, root: str) -> None:
+def write_star(sales: DataFrame, root: str, ranges: int | None = None) -> None:
     """Load the star, replacing an earlier load (a second run does not double it).
 
     The fact is range-partitioned and sorted by time, so a dated predicate skips
     files and row groups by min/max; ``order_id`` in the range key keeps a single
-    busy moment from landing in one task.
+    busy moment from landing in one task. ``ranges`` is the number of ranges and so of
+    files, at most ``spark.sql.shuffle.partitions`` (small ones merged) if not given; for a
+    large fact ask for its size divided by 256 MB.
     """
     star = derive_star(sales)
-    facts = _ranged(star.fact_orders, "order_date", "order_id")
+    keys = ("order_date", "order_id")
+    facts = star.fact_orders.repartitionByRange(*([ranges] if ranges else []), *keys)
     for name in ("dim_customer", "dim_product", "dim_date"):
         dimension = getattr(star, name)
         dimension.sortWithinPartitions(dimension.columns[0]).write.mode("overwrite").parquet(
@@ -112,15 +96,12 @@ def read_star(spark: SparkSession, root: str) -> Star:
 def _by_attribute(facts: DataFrame, dim: DataFrame, key: str, *attributes: str) -> DataFrame:
     """Fact totals by attributes of one dimension (and, if named, of the fact).
 
-    A dimension small enough to broadcast is joined to the fact directly: nothing is
-    shuffled but the totals. Beyond that size the fact is summed per key before the
-    join: one shuffle with map-side combination, after which a hot key is a single
-    row and the join runs on the same partitioning.
+    The fact is summed per key before the join: map-side combination leaves one row per
+    key and task to shuffle, and a hot key is a single row by the time it is joined. How the
+    join runs is Spark's choice.
     """
     named = dim.select(key, *[name for name in attributes if name in dim.columns])
     measures = (order_count(), revenue(), F.count("order_total").alias("priced"))
-    if fits_broadcast(named):
-        return facts.join(named, key).groupBy(*attributes).agg(*measures)
     own = [name for name in attributes if name not in dim.columns]
     per_key = facts.groupBy(key, *own).agg(*measures)
     sums = [F.sum(name).alias(name) for name in ("orders", "revenue", "priced")]
@@ -156,24 +137,23 @@ def monthly_revenue_trend(star: Star) -> DataFrame:
 
 
 def star_join_all_dimensions(star: Star, limit: int = 20) -> DataFrame:
-    """The whole star at once, best combinations first.
+    """Revenue by category, country and month over all dimensions, highest first.
 
-    Days and products are joined to the fact itself; customers, the dimension that
-    grows and may hold a hot key, as their size allows. The grouping keys close the
-    sort order, so the cut at ``limit`` is stable.
+    The fact is summed per customer, product and day before any dimension is joined. The
+    grouping keys close the sort order, so the cut at ``limit`` is stable.
     """
-    dated = (
-        star.fact_orders.select(
-            "customer_id",
-            "product_id",
-            F.to_date("order_date").alias("date_key"),
-            "order_total",
-        )
-        .join(star.dim_date.select("date_key", "year", "month"), "date_key")
-        .join(star.dim_product.select("product_id", "category"), "product_id")
+    day = F.to_date("order_date").alias("date_key")
+    per_key = star.fact_orders.groupBy("customer_id", "product_id", day).agg(
+        order_count(), revenue()
     )
     keys = ["category", "country", "year", "month"]
-    totals = _by_attribute(dated, star.dim_customer, "customer_id", *keys)
+    totals = (
+        per_key.join(star.dim_date.select("date_key", "year", "month"), "date_key")
+        .join(star.dim_product.select("product_id", "category"), "product_id")
+        .join(star.dim_customer.select("customer_id", "country"), "customer_id")
+        .groupBy(*keys)
+        .agg(F.sum("orders").alias("orders"), F.sum("revenue").alias("revenue"))
+    )
     return (
         totals.select(*keys, "orders", "revenue")
         .orderBy(F.col("revenue").desc(), *keys)
@@ -196,7 +176,7 @@ def wrapped_predicate_day(star: Star, day: str) -> DataFrame:
 
 
 def reconcile_fact(star: Star) -> DataFrame:
-    """Rows, distinct orders and revenue: a copy is only as good as it is faithful."""
+    """Rows, distinct orders and revenue of the loaded fact, to hold against its source."""
     return star.fact_orders.agg(
         F.count("*").alias("fact_rows"),
         F.countDistinct("order_id").alias("distinct_orders"),

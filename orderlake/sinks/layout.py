@@ -48,33 +48,40 @@ def compact(
     return spark.read.schema(schema).parquet(target)
 
 
-def file_stats(frame: DataFrame) -> DataFrame:
-    """Rows and bytes of every file behind a file scan."""
-    meta = F.col("_metadata")
-    return frame.groupBy(
-        meta["file_path"].alias("file_path"), meta["file_size"].alias("bytes")
-    ).agg(F.count("*").alias("rows"))
+def listed_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file_path, bytes) of every data file below a folder, from the listing alone.
+
+    A file without rows, such as a CSV file with nothing but its header, is there too.
+    """
+    return (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load(path)
+        .select(F.col("path").alias("file_path"), F.col("length").alias("bytes"))
+    )
 
 
-def layout_stats(datasets: dict[str, DataFrame]) -> DataFrame:
-    """Per dataset: files, partitions, rows, bytes and mean file size, from one scan each.
+def layout_stats(datasets: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Per dataset (its rows, and the folder they lie in): files, partitions, rows, bytes and
+    mean file size.
 
-    No data column is needed, so a Parquet scan reads footers only.
+    Files come from a listing, rows from a scan without columns, which reads Parquet footers only.
     """
     folder = F.regexp_extract("file_path", r"^(.*)/[^/]*$", 1)
     per_dataset = []
-    for name, frame in datasets.items():
+    for name, (frame, path) in datasets.items():
         per_dataset.append(
-            file_stats(frame)
+            listed_files(frame.sparkSession, path)
             .agg(
                 F.count("*").alias("files"),
                 F.countDistinct(folder).alias("partitions"),
-                F.sum("rows").alias("rows"),
                 F.sum("bytes").alias("bytes"),
                 F.round(F.sum("bytes") / 1048576, 3).alias("megabytes"),
                 F.round(F.avg("bytes") / 1024, 2).alias("mean_file_kb"),
             )
-            .select(F.lit(name).alias("dataset"), "*")
+            .select(
+                F.lit(name).alias("dataset"), "*", frame.agg(F.count("*")).scalar().alias("rows")
+            )
         )
     union = per_dataset[0]
     for more in per_dataset[1:]:

@@ -11,9 +11,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def admissible(path: Column, size: Column, prefix: str, suffix: str = ".csv") -> Column:
-    """``prefix`` is relative to the lake root, for example ``raw/orders/``."""
-    return path.contains(f"/{prefix.strip('/')}/") & path.endswith(suffix) & (size > 0)
+def folder_of(spark: SparkSession, root: str, prefix: str) -> str:
+    """The folder ``prefix`` below the lake root, as Spark names the files in it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{prefix.strip('/')}")
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return f"{store.makeQualified(path).toString()}/"
+
+
+def admissible(path: Column, size: Column, folder: str, suffix: str = ".csv") -> Column:
+    """``folder`` is the full name of the folder, not a part that may stand anywhere in a path."""
+    return path.startswith(folder) & path.endswith(suffix) & (size > 0)
 
 
 def arrivals(
@@ -30,7 +37,8 @@ def arrivals(
         .select("path", F.col("length").alias("size"))
     )
     return listed.withColumn(
-        "admitted", admissible(F.col("path"), F.col("size"), prefix, suffix)
+        "admitted",
+        admissible(F.col("path"), F.col("size"), folder_of(spark, root, prefix), suffix),
     )
 
 
@@ -41,13 +49,12 @@ def read_admitted(
     prefix: str,
     suffix: str = ".csv",
 ) -> DataFrame:
-    """Rows of the admitted files; other files are not opened."""
-    meta = F.col("_metadata")
+    """Rows of the admitted files; folders outside the prefix are not even listed."""
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", f"*{suffix}")
-        .csv(root)
-        .where(admissible(meta["file_path"], meta["file_size"], prefix, suffix))
+        .csv(folder_of(spark, root, prefix))
+        .where(F.col("_metadata.file_size") > 0)
     )

@@ -95,7 +95,7 @@ def test_top_k_keeps_k_rows_per_task(lk):
 
 def test_large_dimension_meets_a_fact_already_combined_per_key(lk, conf):
     small = plan_of(star.revenue_by_country(lk.star))
-    assert "BroadcastHashJoin" in small and "HashAggregate(keys=[customer_id" not in small
+    assert "BroadcastHashJoin" in small and "HashAggregate(keys=[customer_id" in small
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     for report in (star.revenue_by_country, star.star_join_all_dimensions):
         plan = plan_of(report(lk.star))
@@ -108,9 +108,9 @@ def test_governed_view_reads_granted_columns_only(spark):
     assert "c_name" not in plan and "email" not in plan
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(entry_point._REGISTRY))
 def test_no_cross_join_and_no_python_in_any_plan(spark, name):
-    if name == "incremental_orders":
+    if name in ("incremental_orders", "run_history"):
         pytest.skip("reads back what its runs wrote; they are tested as jobs")
     plan = plan_of(entry_point.queries()[name](spark, SF_DIR))
     for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):

@@ -51,10 +51,10 @@ def test_dirty_feed_end_to_end(spark):
     }
 
 
-def test_missing_ids_count_as_one_group(spark):
-    feed = orders(spark, order(None), order(None, quantity="9"), order("A"))
+def test_every_missing_id_counts_and_blanks_around_ids_do_not(spark):
+    feed = orders(spark, order(None), order(None, quantity="9"), order(" "), order("A"), order("A "))
     found = reconcile.source_counts(feed).first()
-    assert (found.source_rows, found.deduplicated_rows) == (3, 2)
+    assert (found.source_rows, found.deduplicated_rows) == (5, 4)
 
 
 def test_a_repeated_dimension_key_breaks_the_balance(spark):

@@ -106,7 +106,10 @@ def test_file_counts_compaction_and_statistics(spark, tmp_path):
     stats = {
         r.dataset: r
         for r in layout.layout_stats(
-            {"many": spark.read.parquet(paths["many_files"]), "big": back}
+            {
+                "many": (spark.read.parquet(paths["many_files"]), paths["many_files"]),
+                "big": (back, str(tmp_path / "big")),
+            }
         ).collect()
     }
     assert (stats["many"].files, stats["many"].rows, stats["many"].partitions) == (40, 2000, 1)
@@ -132,3 +135,23 @@ def test_materialise_replaces_an_older_summary(spark, tmp_path):
     path = str(tmp_path / "summary")
     tables.materialise(spark.range(3), "t_summary", path)
     assert tables.materialise(spark.range(5), "t_summary", path).count() == 5
+
+
+def test_the_prefix_counts_from_the_root_and_may_hold_a_space(spark, tmp_path):
+    root = str(tmp_path)
+    for folder, name in (("raw/my orders", "A"), ("curated/raw/my orders", "B"), ("raw/my orders2", "C")):
+        writers.write_flat(orders(spark, order(name)), f"{root}/{folder}/x+1", fmt="csv")
+    rows = admission.read_admitted(spark, root, schemas.RAW_ORDERS, "raw/my orders")
+    assert [r.order_id for r in rows.collect()] == ["A"]
+    listed = admission.arrivals(spark, root, "raw/my orders").where("admitted").collect()
+    assert len(listed) == 1 and "/curated/" not in listed[0].path
+
+
+def test_a_file_without_rows_is_a_file(spark, tmp_path):
+    path = f"{tmp_path}/csv"
+    frame = spark.range(1).repartition(1)
+    frame.write.option("header", True).csv(path)
+    frame.where("false").write.mode("append").option("header", True).csv(path)
+    rows = spark.read.option("header", True).csv(path)
+    found = layout.layout_stats({"csv": (rows, path)}).first()
+    assert (found["files"], found["rows"]) == (2, 1)
