@@ -234,6 +234,17 @@ def publish_table(lk: Lake) -> DataFrame:
     return published.groupBy("year", "month", "day").agg(order_count(), revenue())
 
 
+@query
+def publish_star(lk: Lake) -> DataFrame:
+    """Rows of the four star tables as the catalog serves them."""
+    lk.star  # noqa: B018 - written before it is declared
+    published = star.publish_star(lk.spark, lk.star_root, "orderlake_star")
+    return _tagged(
+        {name: getattr(published, name).agg(F.count("*").alias("n")) for name in star.TABLES},
+        "table_name",
+    )
+
+
 @query
 def union_deliveries(lk: Lake) -> DataFrame:
     parts = [
@@ -556,10 +567,23 @@ def dq_score(lk: Lake) -> DataFrame:
 
 @query
 def infer_schema(lk: Lake) -> DataFrame:
-    text = lk.read_product_deliveries()
-    return schema_checks.infer_schema(
-        text, schema_checks.source_folder("delivery"), schemas.RAW_PRODUCTS_TEXT.fieldNames()
-    )
+    """Types of all three raw tables, per delivery; customers come in one."""
+    once = lk.feed.customers.withColumn("delivery", F.lit("1"))
+    orders = lk.feed.orders.withColumn("delivery", F.col("delivery").cast("string"))
+    found = {
+        "products": schema_checks.infer_schema(
+            lk.read_product_deliveries(),
+            schema_checks.source_folder("delivery"),
+            schemas.RAW_PRODUCTS_TEXT.fieldNames(),
+        ),
+        "customers": schema_checks.infer_schema(
+            once, F.col("delivery"), schemas.RAW_CUSTOMERS.fieldNames()
+        ),
+        "orders": schema_checks.infer_schema(
+            orders, F.col("delivery"), list(cleanse.CLEAN_COLUMNS)
+        ),
+    }
+    return _tagged(found, "table_name")
 
 
 @query

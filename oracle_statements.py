@@ -209,11 +209,14 @@ STATEMENTS: dict[str, str] = {
     "ctas_category_country": f"SELECT category, country, {ORDERS_REVENUE} FROM sales GROUP BY ALL",
     "ctas_read_back": "SELECT category, CAST(sum(order_total) AS DOUBLE) AS revenue FROM sales GROUP BY category",
     "publish_table": f"SELECT year, month, day, {ORDERS_REVENUE} FROM sales GROUP BY ALL",
+    "publish_star": """SELECT 'dim_customer' AS table_name, count(*) AS n FROM dim_customer
+      UNION ALL SELECT 'dim_product', count(*) FROM dim_product
+      UNION ALL SELECT 'dim_date', count(*) FROM dim_date UNION ALL SELECT 'fact_orders', count(*) FROM fact""",
     "union_deliveries": f"SELECT {RAW_COLUMNS} FROM feed_orders",
     # projections and predicates
     "single_column_projection": "SELECT CAST(sum(order_total) AS DOUBLE) AS revenue FROM sales",
-    "many_column_projection": """SELECT count(*) AS rows_seen, min(order_id) AS lo, max(status) AS hi,
-      min(product_name) AS a_product, max(country) AS a_country FROM sales""",
+    "many_column_projection": """SELECT count(*) AS rows_seen, min(order_id) AS first_order, max(status) AS last_status,
+      min(product_name) AS first_product, max(country) AS last_country FROM sales""",
     "pruned_single_day": f"SELECT {ORDERS_REVENUE} FROM sales WHERE {ONE_DAY}",
     "full_scan_same_answer": f"SELECT {ORDERS_REVENUE} FROM sales WHERE strftime(order_date, '%Y-%m-%d') = '{DAY}'",
     "range_predicate_day": f"SELECT {ORDERS_REVENUE} FROM fact WHERE {IN_RANGE}",
@@ -322,8 +325,8 @@ STATEMENTS: dict[str, str] = {
         CAST(sum(order_total) AS DOUBLE) AS revenue FROM fact""",
     "reconcile_dims": """SELECT (SELECT count(*) FROM dim_customer) AS customers,
         (SELECT count(*) FROM dim_product) AS products, (SELECT count(*) FROM dim_date) AS dates""",
-    "raw_vs_fact": """SELECT (SELECT count(*) FROM feed_orders) AS lake_raw_orders,
-        (SELECT count(*) FROM fact) AS warehouse_fact_orders""",
+    "raw_vs_fact": """SELECT (SELECT count(*) FROM feed_orders) AS raw_order_rows,
+        (SELECT count(*) FROM fact) AS fact_order_rows""",
     "key_skew": """SELECT count(*) AS slices, max(n) AS busiest_rows, min(n) AS quietest_rows,
         round(max(n) / min(n), 4) AS skew
       FROM (SELECT substr(md5(customer_id), 1, 1) AS slice, count(*) AS n FROM fact GROUP BY 1)""",
@@ -352,15 +355,21 @@ STATEMENTS: dict[str, str] = {
         'double' AS declared_type, count(price) AS values_seen,
         count(*) FILTER (WHERE price IS NOT NULL AND TRY_CAST(price AS DOUBLE) IS NULL) AS misfits
       FROM products_text GROUP BY delivery""",
-    "infer_schema": r"""SELECT CAST(delivery AS VARCHAR) AS delivery, column_name,
+    "infer_schema": r"""SELECT table_name, CAST(delivery AS VARCHAR) AS delivery, column_name,
         CASE WHEN bool_and(regexp_full_match(value, '[+-]?\d+')) THEN 'int'
              WHEN bool_and(TRY_CAST(value AS DOUBLE) IS NOT NULL) THEN 'double'
+             WHEN bool_and(lower(value) IN ('true', 'false')) THEN 'boolean'
+             WHEN bool_and(regexp_full_match(value, '\d{4}-\d{2}-\d{2}') AND TRY_CAST(value AS DATE) IS NOT NULL)
+               THEN 'date'
+             WHEN bool_and(TRY_CAST(value AS TIMESTAMP) IS NOT NULL) THEN 'timestamp'
              ELSE 'string' END AS inferred_type
-      FROM (SELECT delivery, 'product_id' AS column_name, product_id AS value FROM products_text
-            UNION ALL SELECT delivery, 'product_name', product_name FROM products_text
-            UNION ALL SELECT delivery, 'category', category FROM products_text
-            UNION ALL SELECT delivery, 'price', price FROM products_text)
-      WHERE value IS NOT NULL GROUP BY delivery, column_name""",
+      FROM (SELECT 'products' AS table_name, delivery, column_name, value FROM products_text
+              UNPIVOT (value FOR column_name IN (product_id, product_name, category, price))
+            UNION ALL SELECT 'customers', 1, column_name, value FROM feed_customers
+              UNPIVOT (value FOR column_name IN (customer_id, customer_name, email, country, created_date))
+            UNION ALL SELECT 'orders', delivery, column_name, value FROM feed_orders
+              UNPIVOT (value FOR column_name IN (order_id, customer_id, product_id, quantity, order_date, status)))
+      WHERE value IS NOT NULL GROUP BY ALL""",
     "uncastable_values": """SELECT product_id, product_name, category, 'price' AS column_name,
         price AS raw_value, 'double' AS declared_type
       FROM products_text WHERE price IS NOT NULL AND TRY_CAST(price AS DOUBLE) IS NULL""",

@@ -6,7 +6,7 @@ import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-# The order lifecycle, the timestamp text of the raw layer and
+# The statuses an order may have, the timestamp text of the raw layer and
 # the layer prefixes every consumer of the lake relies on.
 VALID_STATUSES = ("DELIVERED", "SHIPPED", "PENDING", "CANCELLED", "RETURNED")
 ORDER_DATE_FORMAT = "yyyy-MM-dd HH:mm:ss"

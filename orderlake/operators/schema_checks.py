@@ -12,7 +12,10 @@ from orderlake.functions.dates import partition_key
 from orderlake.functions.scalars import does_not_fit
 
 # The candidate types of text columns, narrowest first.
-INFERENCE_ORDER = ("int", "bigint", "double", "timestamp")
+INFERENCE_ORDER = ("int", "bigint", "double", "boolean", "date", "timestamp")
+# How a truth value or a day is spelled; a cast alone takes more, such as 'y'
+# for a truth value and a time of day behind a date.
+_SPELLING = {"boolean": r"(?i)^\s*(true|false)\s*$", "date": r"^\s*\d{4}-\d{2}-\d{2}\s*$"}
 
 
 def source_folder(name: str) -> Column:
@@ -38,7 +41,10 @@ def infer_schema(text: DataFrame, by: Column, columns: Sequence[str]) -> DataFra
 def _narrowest(col: Column) -> Column:
     chain = None
     for candidate in INFERENCE_ORDER:
-        fits = (F.count(col) > 0) & (F.count_if(does_not_fit(col, candidate)) == 0)
+        misfit = does_not_fit(col, candidate)
+        if candidate in _SPELLING:
+            misfit = misfit | ~col.rlike(_SPELLING[candidate])
+        fits = (F.count(col) > 0) & (F.count_if(misfit) == 0)
         chain = F.when(fits, candidate) if chain is None else chain.when(fits, candidate)
     return chain.otherwise("string")
 

@@ -28,10 +28,10 @@ def single_column_projection(sales: DataFrame) -> DataFrame:
 def many_column_projection(sales: DataFrame) -> DataFrame:
     return sales.agg(
         F.count("*").alias("rows_seen"),
-        F.min("order_id").alias("lo"),
-        F.max("status").alias("hi"),
-        F.min("product_name").alias("a_product"),
-        F.max("country").alias("a_country"),
+        F.min("order_id").alias("first_order"),
+        F.max("status").alias("last_status"),
+        F.min("product_name").alias("first_product"),
+        F.max("country").alias("last_country"),
     )
 
 

@@ -69,6 +69,7 @@ class Lake:
     def star(self) -> Star:
         root = scratch(self.spark, "star")
         write_star(readers.stage_sales(self.spark, self.published.curated), root)
+        self.star_root = root
         return read_star(self.spark, root)
 
     @cached_property

@@ -9,6 +9,7 @@ def _strings(*names: str) -> list[T.StructField]:
 
 PARTITION_FIELDS = _strings("year", "month", "day")
 
+# Names, types and order of the columns of all layers below.
 # Raw layer. Quantity stays text here: a row that does not parse has to reach
 # the quarantine with its reason instead of failing the scan.
 RAW_ORDERS = T.StructType(

@@ -9,13 +9,16 @@ from pyspark.sql import types as T
 
 
 def materialise(frame: DataFrame, table: str, path: str | None = None) -> DataFrame:
-    """Create table as select, replacing an older one: scan once, read the summary often."""
+    """Create table as select, replacing an older one: scan once, read the summary often.
+
+    With a path the rows are written there before the name points to them.
+    """
     spark = frame.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    writer = frame.write.mode("overwrite").format("parquet").option("compression", "snappy")
+    writer = frame.write.mode("overwrite").option("compression", "snappy")
     if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
+        writer.parquet(path)
+        return publish_table(spark, table, path, frame.schema, statistics="table")
+    writer.format("parquet").saveAsTable(table)
     return spark.table(table)
 
 
@@ -38,9 +41,13 @@ def publish_table(
 
     ``statistics``: "columns" for all columns, "table" for size and rows only,
     None to skip. Column statistics read the data once; on a large lake "table" is
-    the cheap choice and already lets the optimizer size a join side.
+    the cheap choice and already lets the optimizer size a join side. An external table of
+    that name is replaced; a managed one is refused, since dropping it would delete its rows.
     """
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    if spark.catalog.tableExists(table):
+        if spark.catalog.getTable(table).tableType == "MANAGED":
+            raise ValueError(f"{table} is a managed table; drop it yourself to replace it")
+        spark.sql(f"DROP TABLE {table}")
     tree = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     settings = ", ".join(f"'{key}' '{value}'" for key, value in (options or {}).items())
     reader = f"OPTIONS ({settings})" if settings else ""
