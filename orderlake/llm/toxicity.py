@@ -15,15 +15,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import crc_bucket, map_rows, texts_of
+from orderlake.llm.common import crc_bucket, map_rows, some_of_each, texts_of
 
 LABELLED_ROWS = 20_000  # rows learned from at most, half of them of either label
 LEXICON_WORDS = 2_000  # words the model keeps, best first
 MIN_DOCS = 3  # labelled texts a word must be in to be kept, and ...
 MIN_SHARE = 0.002  # ... share of the toxic ones
+MIN_WEIGHT = 2.0  # least weight of a word that is kept
 THRESHOLD = 0.3
 _CACHED = 200_000  # decoded tokens a task remembers
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -248,29 +249,39 @@ def _features(weights: list[float]) -> tuple[float, float, float]:
     return max(spoke, default=0.0), min(sum(spoke), 30.0), math.log1p(len(spoke))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.1) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; the constant is not penalised."""
-    x = np.column_stack([np.ones(len(x)), x])
-    beta, ridge = np.zeros(x.shape[1]), np.diag([1e-6, *[penalty] * (x.shape[1] - 1)])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        slope = x.T @ (y - p) - ridge @ beta
-        curve = (x * (p * (1 - p))[:, None]).T @ x + ridge
-        step = np.clip(np.linalg.solve(curve, slope), -2, 2)
-        beta += step
-        if np.abs(step).max() < 1e-6:
+def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
+    """Ridge logistic regression on standardised features; returns [constant, slopes...].
+
+    Newton steps, halved until the penalised loss falls; the constant is not penalised.
+    """
+    middle, spread = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
+    x = np.column_stack([np.ones(len(x)), (x - middle) / spread])
+    ridge = np.array([1e-9, *[penalty] * (x.shape[1] - 1)])
+
+    def loss(beta: np.ndarray) -> float:
+        z = x @ beta
+        return float((np.logaddexp(0, z) - y * z).sum() + 0.5 * (ridge * beta * beta).sum())
+
+    beta = np.zeros(x.shape[1])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -500, 500)))
+        slope = x.T @ (p - y) + ridge * beta
+        step = -np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), slope)
+        size, now = 1.0, loss(beta)
+        while size > 1e-9 and loss(beta + size * step) > now + 1e-4 * size * float(slope @ step):
+            size /= 2
+        beta = beta + size * step
+        if np.abs(size * step).max() < 1e-9:
             break
-    return beta
+    slopes = beta[1:] / spread
+    return np.array([beta[0] - float(slopes @ middle), *slopes])
 
 
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(text, toxic) of at most LABELLED_ROWS labelled ids; their ids are sent to all tasks."""
     marked = labels.where("toxic in (0, 1)").groupBy(id_col).agg(F.max("toxic").alias("toxic"))
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64(id_col), id_col)
-    chosen = marked.withColumn("at", F.row_number().over(order))
-    chosen = chosen.where(F.col("at") <= LABELLED_ROWS // 2).select(
-        F.col(id_col).alias("id"), "toxic"
-    )
+    labelled = marked.select(F.col(id_col).alias("id"), "toxic")
+    chosen = some_of_each(labelled, "toxic", LABELLED_ROWS // 2).select("id", "toxic")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return texts.join(F.broadcast(chosen), "id").select("text", "toxic").distinct()
 
@@ -318,7 +329,7 @@ def train(
     best = (
         seen.where((F.col("word") != "") & (F.col("bad") >= MIN_SHARE * bad))
         .select("word", "bad", "good", (odds - error).alias("weight"))
-        .where("weight > 1")
+        .where(f"weight > {MIN_WEIGHT}")
         .orderBy(F.desc("weight"), "word")
         .limit(LEXICON_WORDS)
     )
