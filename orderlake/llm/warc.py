@@ -9,6 +9,7 @@ from __future__ import annotations
 import base64
 import bisect
 import hashlib
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -24,6 +25,7 @@ from orderlake.session import discard
 
 SHARD_BYTES = 64 << 20  # payload of one shard, about; shards are ranges of the sort order
 FILE_BYTES = 8 << 20  # compressed size at which a file is closed and the next one begun
+FILES_PER_TASK = 2  # that one task reads
 MIN_REVISIT_BYTES = 0
 KEYS_PER_SHARD = 64  # sampled keys per shard boundary
 DATE = "1970-01-01T00:00:00Z"  # pages carry no crawl time
@@ -196,6 +198,14 @@ def _move(root: str):
     return run
 
 
+def _partition_keys(spark: SparkSession, shards: int) -> list[int]:
+    """For each shard a key that Spark's hash puts into a partition of its own among ``shards``."""
+    ids = spark.range(32 * shards)
+    own = F.pmod(F.hash("id"), F.lit(shards)).alias("shard")
+    found = {r["shard"]: r["key"] for r in ids.groupBy(own).agg(F.min("id").alias("key")).collect()}
+    return [found.get(shard, shard) for shard in range(shards)]
+
+
 def write_archive(
     pages: DataFrame,
     root: str,
@@ -257,6 +267,12 @@ def write_archive(
             [bisect.bisect_right(cuts, k) for k in zip(present, ids, keys, strict=True)]
         )
 
+    keys_of = _partition_keys(spark, shards)
+
+    @F.pandas_udf("long")
+    def partition_key(shard: pd.Series) -> pd.Series:
+        return pd.Series([keys_of[k] for k in shard], dtype="int64")
+
     both = rows.select(
         "id", "url", "payload", "key", F.lit(None).cast("long").alias("refers_to"), F.lit(1).alias("kind")
     ).unionByName(
@@ -268,7 +284,7 @@ def write_archive(
     place = shard_of(F.col("id").isNotNull(), F.coalesce("id", F.lit(0)), F.col("key"))
     ordered = (
         both.withColumn("shard", place)
-        .repartition(shards, "shard")
+        .repartition(shards, partition_key("shard"))
         .sortWithinPartitions("shard", F.asc_nulls_first("id"), "key", "kind", "url")
     )
     written = ordered.mapInArrow(_write_shards(root, file_bytes), _MANIFEST)
@@ -363,7 +379,8 @@ def read_archive(spark: SparkSession, root: str, with_payload: bool = False) ->
     kept HTTP header). A task reads whole files, one record in memory at a time.
     """
     manifest = spark.read.schema(_MANIFEST).parquet(f"{root}/manifest")
-    files = manifest.select("file").repartition("file")
+    tasks = max(1, math.ceil(manifest.count() / FILES_PER_TASK))
+    files = manifest.select("file").repartitionByRange(tasks, "file")
     return files.mapInArrow(_read_files(root, with_payload), _RECORD)
 
 
