@@ -238,7 +238,7 @@ def run_curated_sales(
     else:
         held = 0
     names = ("source", "deduplicated", "valid", "rejected")
-    known = [F.lit(counts[f"{n}_rows"]).alias(f"{n}_rows") for n in names]
+    known = [F.lit(counts[f"{n}_rows"]).cast("bigint").alias(f"{n}_rows") for n in names]
     record = balance(spark.range(1).select(*known, F.lit(held).cast("bigint").alias("curated_rows")))
     report = record.first().asDict()
     append_record(record, paths.ledger, run_id)
