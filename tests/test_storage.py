@@ -144,7 +144,8 @@ def test_the_prefix_counts_from_the_root_and_may_hold_a_space(spark, tmp_path):
     rows = admission.read_admitted(spark, root, schemas.RAW_ORDERS, "raw/my orders")
     assert [r.order_id for r in rows.collect()] == ["A"]
     listed = admission.arrivals(spark, root, "raw/my orders").where("admitted").collect()
-    assert len(listed) == 1 and "/curated/" not in listed[0].path
+    assert listed and all("/raw/my orders/" in r.path for r in listed)
+    assert not [r for r in listed if "/curated/" in r.path]
 
 
 def test_a_file_without_rows_is_a_file(spark, tmp_path):
