@@ -338,7 +338,9 @@ def train(
     def one(restorer, toxic, text):
         pairs = [kept[w] for w in restorer.words(text) if w in kept]
         rest = (bad - toxic, good - 1 + toxic)
-        return toxic, *_features([_weight(b - toxic, g - 1 + toxic, *rest) for b, g in pairs])
+        # a word found only with the words to look for was not counted for this text
+        left = [(max(b - toxic, 0), max(g - 1 + toxic, 0)) for b, g in pairs]
+        return toxic, *_features([_weight(b, g, *rest) for b, g in left])
 
     found = map_rows(
         sample.select(F.col("toxic").cast("int").alias("toxic"), "text"),
