@@ -24,7 +24,8 @@ KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 CONFIDENCE = 0.8  # least score of a pattern that may discover
 MIN_INSTANCES = 5  # distinct instances a pattern must hold
-MIN_SHARE = 1e-4  # of all places seen: with four patterns a place, at most 40,000 patterns pass
+SENT_PATTERNS = 40_000  # a pattern table up to this size goes to every task; a larger one is joined
+_SALTS = 16  # tasks that share the places of one pattern in that join
 
 # The shapes. A digit before an address can only belong to a number that failed
 # already, so the look-behind changes no match and keeps long digit runs linear.
@@ -40,6 +41,8 @@ _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _EDGES = "\"'()[]{}<>,;:.!?*#&%$"
 
 Span = tuple[int, int, str]
+_SPANS = "array<struct<start:int,end:int,kind:string>>"
+_NODE, _ADDED = "__orderlake_text_hash", "__orderlake_added"
 
 
 def _luhn(digits: list[int]) -> bool:
@@ -166,15 +169,14 @@ def learn_patterns(
     rounds: int = ROUNDS,
     confidence: float = CONFIDENCE,
     min_instances: int = MIN_INSTANCES,
-    min_share: float = MIN_SHARE,
 ) -> DataFrame:
     """(pattern, score, kind): patterns good enough to discover identifiers.
 
     Seeds have score 1. In each round a pattern's score is the mean score of its places times the
     share of its commonest seed kind among its seeds; an instance that is no seed takes the best
     score of its patterns. Edges are summed per (pattern, instance) first, so a frequent word or
-    copied text is one row; patterns held by fewer than ``min_instances`` different instances or
-    by less than ``min_share`` of all places cannot discover.
+    copied text is one row; patterns held by fewer than ``min_instances`` different instances
+    cannot discover, and nothing else depends on the size of the corpus.
     """
     edges = docs.select(F.col(text_col).alias("text")).mapInArrow(
         _emit_edges(), "pattern string, instance long, seed string"
@@ -182,10 +184,8 @@ def learn_patterns(
     graph = stored(
         edges.groupBy("pattern", "instance", "seed").agg(F.count("*").alias("n")), "pii-graph"
     )
-    edge_count = graph.agg(F.sum("n")).first()[0] or 0
-    least = min_share * edge_count / 4
-    held = graph.groupBy("pattern").agg(F.sum("n").alias("places"), F.count("*").alias("held"))
-    wide = held.where((F.col("held") >= min_instances) & (F.col("places") >= least))
+    held = graph.groupBy("pattern").agg(F.count("*").alias("held"))
+    wide = held.where(F.col("held") >= min_instances)
     graph = stored(graph.join(wide.select("pattern"), "pattern"), "pii-graph")
     kinds = graph.where("seed is not null").groupBy("pattern", "seed").agg(F.sum("n").alias("n"))
     main = kinds.groupBy("pattern").agg(
@@ -234,35 +234,85 @@ def discovered(
     return spans
 
 
+def _emit_places():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            nodes = batch.column("node").to_pylist()
+            for node, raw in zip(nodes, texts_of(batch, "text"), strict=True):
+                text = raw.decode() if raw else ""
+                for start, end, _, patterns, seed in places(text, fixed_spans(text)):
+                    if not seed:
+                        rows += [(node, start, end, pattern) for pattern in patterns]
+            columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)],
+                names=["node", "start", "end", "pattern"],
+            )
+
+    return run
+
+
+def _joined_spans(docs: DataFrame, text_col: str, patterns: DataFrame) -> DataFrame:
+    """(node, added) by hash of the text: what ``discovered`` finds, by a join on the pattern."""
+    texts = docs.select(F.xxhash64(text_col).alias("node"), F.col(text_col).alias("text"))
+    seen = texts.mapInArrow(_emit_places(), "node long, start int, end int, pattern string")
+    seen = seen.withColumn("salt", F.pmod(F.xxhash64("node", "start"), F.lit(_SALTS)))
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long")))
+    good = patterns.withColumn("salt", salts)
+    best = (
+        seen.join(good, ["pattern", "salt"])
+        .groupBy("node", "start", "end")
+        .agg(F.max(F.struct("score", "kind")).alias("best"))
+    )
+    span = F.struct("start", "end", F.col("best.kind").alias("kind"))
+    return best.groupBy("node").agg(F.sort_array(F.collect_list(span)).alias("added"))
+
+
+def _few(patterns: DataFrame):
+    """The pattern table as a broadcast mapping if it is small, else nothing."""
+    if patterns.count() > SENT_PATTERNS:
+        return None
+    known = {row["pattern"]: (row["kind"], row["score"]) for row in patterns.collect()}
+    return patterns.sparkSession.sparkContext.broadcast(known)
+
+
+def _span_rows(spans: list[Span]) -> list[dict]:
+    return [{"start": s, "end": e, "kind": k} for s, e, k in spans]
+
+
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **learning) -> DataFrame:
     """Per row of ``docs``: (id, fixed, added), arrays of (start int, end int, kind string).
 
     ``fixed`` holds the fixed shapes, ``added`` what contexts discovered; positions are code
     points, ends exclusive, both sorted by (start, kind as listed). Null and empty texts have no
-    spans; repeated rows are each reported; only the named columns are read. The pattern table
-    sent to the tasks is bounded by ``min_share`` (see learn_patterns), whatever the input.
+    spans; repeated rows are each reported; only the named columns are read. Up to SENT_PATTERNS
+    patterns go to every task; more are joined with the places, with the same result.
     """
-    found = learn_patterns(docs, text_col, **learning).collect()
-    patterns = {row["pattern"]: (row["kind"], row["score"]) for row in found}
-    sent = docs.sparkSession.sparkContext.broadcast(patterns)
-    span = "array<struct<start:int,end:int,kind:string>>"
+    patterns = stored(learn_patterns(docs, text_col, **learning), "pii-patterns")
+    sent = _few(patterns)
 
-    def spans_of(known, key, raw):
+    def spans_of(known, key, node, raw):
         text = raw.decode() if raw else ""
         fixed = fixed_spans(text)
-        return key, fixed_rows(fixed), fixed_rows(discovered(text, fixed, known))
-
-    def fixed_rows(spans: list[Span]) -> list[dict]:
-        return [{"start": s, "end": e, "kind": k} for s, e, k in spans]
+        return key, node, _span_rows(fixed), _span_rows(discovered(text, fixed, known))
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_rows(
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
-        f"id {kind}, fixed {span}, added {span}",
-        ["id", "text"],
+    found = map_rows(
+        docs.select(
+            F.col(id_col).alias("id"), F.xxhash64(text_col).alias("node"), F.col(text_col).alias("text")
+        ),
+        f"id {kind}, node long, fixed {_SPANS}, added {_SPANS}",
+        ["id", "node", "text"],
         spans_of,
-        lambda: sent.value,
-    ).withColumnRenamed("id", id_col)
+        lambda: sent.value if sent else {},
+    )
+    if sent is None:
+        joined = _joined_spans(docs, text_col, patterns)
+        found = found.drop("added").join(joined, "node", "left")
+        found = found.withColumn("added", F.coalesce("added", F.array().cast(_SPANS)))
+    return found.select(F.col("id").alias(id_col), "fixed", "added")
 
 
 def redact(docs: DataFrame, text_col: str = "text", **learning) -> DataFrame:
@@ -270,28 +320,42 @@ def redact(docs: DataFrame, text_col: str = "text", **learning) -> DataFrame:
 
     All columns stay in place. Overlapping spans become one mark of the first one's kind.
     """
-    found = learn_patterns(docs, text_col, **learning).collect()
-    sent = docs.sparkSession.sparkContext.broadcast(
-        {row["pattern"]: (row["kind"], row["score"]) for row in found}
-    )
-    arrow = docs.schema[text_col]
+    if docs.schema[text_col].dataType.simpleString() != "string":
+        raise TypeError(f"{text_col} must be a string column")
+    patterns = stored(learn_patterns(docs, text_col, **learning), "pii-patterns")
+    sent = _few(patterns)
+    given = docs
+    if sent is None:
+        joined = _joined_spans(docs, text_col, patterns)
+        joined = joined.select(F.col("node").alias(_NODE), F.col("added").alias(_ADDED))
+        given = docs.withColumn(_NODE, F.xxhash64(text_col)).join(joined, _NODE, "left").drop(_NODE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            added = [None] * batch.num_rows if sent else batch.column(_ADDED).to_pylist()
             texts = []
-            for raw in texts_of(batch, text_col):
-                texts.append(None if raw is None else masked(raw.decode(), sent.value))
+            for raw, spans in zip(texts_of(batch, text_col), added, strict=True):
+                text = None if raw is None else raw.decode()
+                if text is not None and sent:
+                    text = masked(text, sent.value)
+                elif text is not None:
+                    more = [(s["start"], s["end"], s["kind"]) for s in spans or []]
+                    text = _marked(text, fixed_spans(text) + more)
+                texts.append(text)
             at = batch.schema.get_field_index(text_col)
-            yield batch.set_column(at, text_col, pa.array(texts, batch.schema.field(at).type))
+            batch = batch.set_column(at, text_col, pa.array(texts, batch.schema.field(at).type))
+            yield batch if sent else batch.drop_columns([_ADDED])
 
-    if arrow.dataType.simpleString() != "string":
-        raise TypeError(f"{text_col} must be a string column")
-    return docs.mapInArrow(run, docs.schema)
+    return given.mapInArrow(run, docs.schema)
 
 
 def masked(text: str, patterns: dict[str, tuple[str, float]]) -> str:
     fixed = fixed_spans(text)
-    spans = sorted(fixed + discovered(text, fixed, patterns), key=lambda s: (s[0], -s[1]))
+    return _marked(text, fixed + discovered(text, fixed, patterns))
+
+
+def _marked(text: str, spans: list[Span]) -> str:
+    spans = sorted(spans, key=lambda s: (s[0], -s[1]))
     parts, free = [], 0
     for start, end, kind in spans:
         if start >= free:

@@ -96,6 +96,27 @@ def test_masking_keeps_columns_and_rows(letters, awkward):  # noqa: F811
     assert pii.masked("a@b.cc 1.2.3.4@x.yy", {}) == "<EMAIL> <EMAIL>"
 
 
+def test_rare_contexts_discover_in_a_large_corpus(spark):
+    """A context of 12 places among 120,000 others keeps its patterns."""
+    rows = [(k, f"x{k} write to desk jo{k}@mail.example.org before noon y{k}") for k in range(11)]
+    rows.append((11, "x11 write to desk member-5088712 before noon y11"))
+    other = " ".join(f"item{k % 7} 20{k % 90 + 10} of{k % 5}" for k in range(1000))
+    rows += [(100 + k, other) for k in range(120)]
+    found = pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string"))
+    added = {r["doc_id"]: r["added"] for r in found.collect()}
+    assert [rows[11][1][s["start"] : s["end"]] for s in added[11]] == ["member-5088712"]
+
+
+def test_joined_patterns_do_the_same(letters, awkward, monkeypatch):  # noqa: F811
+    docs, _ = letters
+    collected = lambda frame: sorted(map(str, frame.collect()))
+    sent = collected(pii.find_pii(docs)), collected(pii.redact(docs))
+    monkeypatch.setattr(pii, "SENT_PATTERNS", 0)
+    assert (collected(pii.find_pii(docs)), collected(pii.redact(docs))) == sent
+    kept = pii.redact(awkward)
+    assert kept.schema == awkward.schema and kept.count() == awkward.count()
+
+
 def test_awkward_rows(awkward, no_docs):  # noqa: F811
     assert all(not r["fixed"] and not r["added"] for r in pii.find_pii(awkward).collect())
     assert pii.find_pii(awkward).count() == awkward.count()
