@@ -38,6 +38,11 @@ _LOCAL_CHARACTERS = frozenset(
 )
 _DIGITS = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
+# Groups of digits joined by a space, a dot, hyphens or brackets; no group touches a letter.
+_RUN = re.compile(
+    r"(?<![\w@])\+?(?:[(\[](?=[0-9]++[)\]]))?[0-9]++(?![^\W0-9]|@)"
+    r"(?:(?:[\x20.]|(?:\x20?[-()\[\]]){1,2}\x20?)[0-9]++(?![^\W0-9]|@))*+"
+)
 _EDGES = "\"'()[]{}<>,;:.!?*#&%$"
 
 Span = tuple[int, int, str]
@@ -90,10 +95,41 @@ def _looks_like(token: str) -> bool:
     return "@" in token.strip("@") or len(_DIGITS.findall(token)) >= 4
 
 
+def _candidates(text: str, tokens: list[tuple[int, int]], taken: list[Span]) -> list[tuple[int, int]]:
+    """Identifier-like tokens and runs of digit groups outside the seeds; what overlaps is one."""
+    seed_from = [s[0] for s in taken]
+    found = []
+    for start, end in tokens:
+        raw = text[start:end]
+        if not _looks_like(raw):
+            continue
+        k = bisect_left(seed_from, end)
+        if k and taken[k - 1][1] > start:
+            continue
+        body = raw.strip(_EDGES)
+        if body and _looks_like(body):
+            begin = start + len(raw) - len(raw.lstrip(_EDGES))
+            found.append((begin, begin + len(body)))
+    low = 0
+    for start, end in [*[s[:2] for s in taken], (len(text), len(text))]:
+        for m in _RUN.finditer(text, low, max(low, start)):
+            if len(_DIGITS.findall(m[0])) >= 4:
+                found.append(m.span())
+        low = max(low, end)
+    merged: list[tuple[int, int]] = []
+    for start, end in sorted(found):
+        if merged and start < merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
+        else:
+            merged.append((start, end))
+    return merged
+
+
 def places(text: str, fixed: list[Span]) -> list[tuple[int, int, str, list[str], bool]]:
-    """(start, end, kind, patterns, seed) of every seed and every other identifier-like token.
+    """(start, end, kind, patterns, seed) of every seed and every other identifier-like token or
+    run of digit groups.
 
-    Overlapping seeds count as one place of the first one's kind. The kind of other tokens is
+    Overlapping seeds count as one place of the first one's kind. The kind of the others is
     empty. Patterns name the words around, lower-cased and without punctuation at their ends.
     """
     if not fixed and not _DIGITS.search(text) and "@" not in text:
@@ -105,19 +141,8 @@ def places(text: str, fixed: list[Span]) -> list[tuple[int, int, str, list[str],
         if start >= last:
             taken.append((start, end, kind))
         last = max(last, end)
-    seed_from = [s[0] for s in taken]
     found = [(s, e, kind, True) for s, e, kind in taken]
-    for start, end in tokens:
-        raw = text[start:end]
-        if not _looks_like(raw):
-            continue
-        k = bisect_left(seed_from, end)
-        if k and taken[k - 1][1] > start:
-            continue
-        body = raw.strip(_EDGES)
-        if body and _looks_like(body):
-            begin = start + len(raw) - len(raw.lstrip(_EDGES))
-            found.append((begin, begin + len(body), "", False))
+    found += [(s, e, "", False) for s, e in _candidates(text, tokens, taken)]
 
     def word(k: int) -> str:
         return text[starts[k] : ends[k]].lower().strip(_EDGES) if 0 <= k < len(tokens) else ""

@@ -117,6 +117,37 @@ def test_joined_patterns_do_the_same(letters, awkward, monkeypatch):  # noqa: F8
     assert kept.schema == awkward.schema and kept.count() == awkward.count()
 
 
+def found_in(text):
+    return [text[p[0] : p[1]] for p in pii.places(text, pii.fixed_spans(text)) if not p[4]]
+
+
+@pytest.mark.parametrize(
+    "text, wanted",
+    [
+        ("call (020) 7946 0958 now", ["(020) 7946 0958"]),
+        ("card 4111 1111 1111 1112, thanks", ["4111 1111 1111 1112"]),
+        ("one 4111-1111.1111 (11) 12.", ["4111-1111.1111 (11) 12"]),
+        ("in 2019. 2020 was", ["2019", "2020"]),
+        ("ab-1234 cd 12 34 member-5088712", ["ab-1234", "12 34", "member-5088712"]),
+        ("3 1980s cars and 7 x", ["1980s"]),
+        ("jo@mail.example.org 020 7946 0958 or 1.2.3.4", ["020 7946 0958"]),
+    ],
+)
+def test_groups_of_digits_are_one_place(text, wanted):
+    assert found_in(text) == wanted
+
+
+def test_long_runs_are_linear():
+    assert found_in("1 " * 100_000) == ["1 " * 99_999 + "1"]
+    assert found_in("1" * 200_000 + "x") == ["1" * 200_000 + "x"]
+
+
+def test_grouped_numbers_are_found_whole():
+    patterns = {"call me _": ("phone", 0.9), "my card _": ("card", 0.9)}
+    assert pii.masked("call me (020) 7946 0958 today", patterns) == "call me <PHONE> today"
+    assert pii.masked("my card 4111 1111 1111 1112 is", patterns) == "my card <CARD> is"
+
+
 def test_awkward_rows(awkward, no_docs):  # noqa: F811
     assert all(not r["fixed"] and not r["added"] for r in pii.find_pii(awkward).collect())
     assert pii.find_pii(awkward).count() == awkward.count()
