@@ -10,6 +10,7 @@ blocks around them (position) that can hold enough words (length) are counted.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -96,37 +97,56 @@ class Template:
         self.known = set(self.tokens)
 
     def blocks(self, words: list[bytes], at: list[int]) -> list[tuple[int, int, float]]:
-        """(start, end, containment) of the best block around each stretch of prefix places."""
+        """(start, end, containment) of matching blocks that do not overlap, by start.
+
+        Fuller blocks come first, then earlier ones; no match is left between the chosen ones.
+        """
         found, stretch = [], []
         for place in [*at, None]:
-            if stretch and (place is None or place - stretch[-1] >= self.span):
+            if stretch and (place is None or place - stretch[-1] >= 2 * self.span - 1):
                 low = max(0, stretch[0] - self.span + 1)
                 high = min(len(words), stretch[-1] + self.span)
                 if high - low >= self.needed:
-                    best = self._best(words, low, high)
-                    if best and best[2] >= self.needed:
-                        found.append((best[0], best[1], best[2] / len(self.tokens)))
+                    found += self._chosen(words, low, high)
                 stretch = []
             if place is not None:
                 stretch.append(place)
-        return found
-
-    def _best(self, words: list[bytes], low: int, high: int):
-        """The first window of ``span`` words with most distinct template words, cut to them."""
-        held, best = Counter(), None
+        return [(start, end, n / len(self.tokens)) for start, end, n in sorted(found)]
+
+    def _chosen(self, words: list[bytes], low: int, high: int) -> list[tuple[int, int, int]]:
+        """Non-overlapping windows, fullest first; the gaps they leave are searched again."""
+        chosen, gaps = [], [(low, high)]
+        while gaps:
+            low, high = gaps.pop()
+            here: list[tuple[int, int, int]] = []
+            for start, end, n in sorted(self._windows(words, low, high), key=lambda w: (-w[2], w)):
+                k = bisect_left(here, (start,))
+                if (not k or here[k - 1][1] <= start) and (k == len(here) or here[k][0] >= end):
+                    here.insert(k, (start, end, n))
+            if here:
+                chosen += here
+                edges = [low, *[x for block in here for x in block[:2]], high]
+                free = zip(edges[::2], edges[1::2], strict=True)
+                gaps += [(a, b) for a, b in free if b - a >= self.needed]
+        return chosen
+
+    def _windows(self, words: list[bytes], low: int, high: int) -> list[tuple[int, int, int]]:
+        """(start, end, distinct template words) by end: the shortest window that holds as many
+        as the ``span`` words before its end, if those are enough."""
+        held, found = Counter(), []
         places = [i for i in range(low, high) if words[i] in self.known]
         first = 0
-        for k, i in enumerate(places):
+        for i in places:
             held[words[i]] += 1
-            while places[first] <= i - self.span:
+            while places[first] <= i - self.span or held[words[places[first]]] > 1:
                 gone = words[places[first]]
                 held[gone] -= 1
                 if not held[gone]:
                     del held[gone]
                 first += 1
-            if best is None or len(held) > best[2]:
-                best = (places[first], places[k] + 1, len(held))
-        return best
+            if len(held) >= self.needed:
+                found.append((places[first], i + 1, len(held)))
+        return found
 
 
 def base_places(words: list[bytes]) -> list[tuple[str, int]]:
@@ -176,8 +196,8 @@ def scan_licenses(
     """Per row of ``docs``: (id, n_words, base, blocks).
 
     ``base`` is an array of (label, start) with every place of a base phrase, ``blocks`` of
-    (label, start, end, containment): for each template and each stretch of the text, the block
-    that holds most of it, if that reaches ``threshold``. Positions count words from 0, ends are
+    (label, start, end, containment): for each template all blocks that reach ``threshold`` and do
+    not overlap, fuller ones before others. Positions count words from 0, ends are
     exclusive; words are runs of ASCII letters, digits and non-ASCII characters with A-Z
     lower-cased. Null and empty texts have neither; repeated rows are each reported; only the two
     named columns are read. Templates are few and go to every task.

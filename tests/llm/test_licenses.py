@@ -67,6 +67,40 @@ def test_like_brute_force(spark, rows):
         assert found == pytest.approx(wanted)
 
 
+@pytest.mark.parametrize("seed", range(12))
+def test_every_adjacent_notice_is_a_block(seed):
+    """Against brute force: the fullest window is there, blocks match and none is left between."""
+    draw = random.Random(seed)
+    for label, text in licenses.TEMPLATES:
+        words = []
+        for _ in range(8):
+            words += [w for w in slow_words(text) if draw.random() > 0.06 * (seed % 3)]
+            words += ["filler"] * draw.choice([0, 0, 1, 40])
+        ready = licenses.Template(label, text, {}, licenses.CONTAINMENT)
+        line = [w.encode() for w in words]
+        at = [i for i, w in enumerate(line) if w in ready.prefix]
+        blocks = ready.blocks(line, at)
+        if not seed % 3:
+            assert len(blocks) == 8 and all(share == 1 for *_, share in blocks)
+        if best := slow_best(words, text):
+            assert max(share for *_, share in blocks) == pytest.approx(best)
+        free = 0
+        for start, end, share in [*blocks, (len(words), len(words), 0)]:
+            assert free <= start and slow_best(words[free:start], text) is None
+            assert not end - start or end - start <= ready.span
+            held = ready.known & set(line[start:end])
+            assert share == pytest.approx(len(held) / len(ready.known))
+            free = end
+
+
+def test_ten_thousand_notices_in_a_row():
+    label, text = licenses.TEMPLATES[0]
+    line = [w.encode() for w in slow_words(text)] * 10_000
+    ready = licenses.Template(label, text, {}, licenses.CONTAINMENT)
+    blocks = ready.blocks(line, [i for i, w in enumerate(line) if w in ready.prefix])
+    assert [b[:2] for b in blocks] == [(5 * k, 5 * k + 5) for k in range(10_000)]
+
+
 def test_words_like_the_pattern(rows):
     for _, text in rows:
         assert [w.decode() for w in plain_words(text.encode())] == slow_words(text)
