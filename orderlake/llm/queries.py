@@ -11,8 +11,10 @@ from orderlake.llm import (
     decontam,
     langid,
     licenses,
+    linerules,
     packing,
     pii,
+    runs,
     simhash,
     substrings,
     topk,
@@ -143,8 +145,51 @@ def op10_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).rows
 
 
+def op12_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linerules.clean_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(table(spark, sf_dir, "documents"), prepare=runs.looped)
+    first = F.element_at(
+        F.array_sort(
+            F.transform(
+                "runs", lambda r: F.struct((-r["length"]).alias("shorter"), r["start"], r["period"])
+            )
+        ),
+        1,
+    )
+    first = F.when(F.size("runs") > 0, first)
+    line = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+
+    def sha256(text):
+        return F.sha2(text.cast("binary"), 256)
+
+    found = found.withColumn("longest", first)
+    length, period = -F.col("longest.shorter"), F.col("longest.period")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("longest.start").alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.expr("(-1000 * longest.shorter) div longest.period").alias("exponent_milli"),
+        sha256(F.array_join(line, "")).alias("runs_sha256"),
+        sha256(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_toxicity, op2_warc, op3_exact_top_k, op4_simhash_groups, op5_licenses, op6_language, op7_drop_repeats, op8_decontam, op9_personal_data, op10_length_buckets]
+    found = [op1_toxicity, op2_warc, op3_exact_top_k, op4_simhash_groups, op5_licenses, op6_language, op7_drop_repeats, op8_decontam, op9_personal_data, op10_length_buckets, op12_line_rules, op13_periodic_runs]
     return {query.__name__: query for query in found}
 
 
@@ -291,6 +336,50 @@ SELECT doc_id, piece, first_token, n_tokens, bucket, boundary,
 FROM ordered
 """
 
+_PHRASE_FOUND = " OR ".join(f"contains(lower(line), '{p}')" for p in linerules._PHRASES)
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+_OP12 = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+lines AS (
+  SELECT row, line AS raw, trim(line, {_BLANKS}) AS line
+  FROM (SELECT row, unnest(string_split(text, chr(10))) AS line FROM docs)),
+passed AS (
+  SELECT row, count(*) - count(DISTINCT raw) AS dups,
+    sum(CASE
+      WHEN items >= 4 AND length(line) <= {linerules.ITEM_CHARS} * items THEN 0
+      WHEN length(line) <= {linerules.MENU_CHARS} AND regexp_matches(line, '{linerules._MENU}') THEN 0
+      WHEN length(line) <= {linerules.PHRASE_CHARS} AND ({_PHRASE_FOUND}) THEN 0
+      WHEN NOT regexp_matches(line, '{linerules._END.replace("'", "''")}') THEN 0
+      WHEN marks > {linerules.FEW_MARKS} AND 8 * marks > length(line) THEN 0
+      ELSE length(regexp_replace(line, '[{linerules.BLANK}]+', '', 'g')) END) AS chars
+  FROM (SELECT *, length(line) - length(regexp_replace(line, '[{linerules.SEPARATORS}]', '', 'g')) + 1 AS items,
+    length(line) - length(regexp_replace(line, '[{linerules.MARKS}]', '', 'g')) AS marks FROM lines)
+  WHERE line <> '' GROUP BY row),
+windows AS (
+  SELECT row, pos, array_to_string(list_slice(w, pos + 1, pos + 8), ' ') AS phrase
+  FROM (SELECT row, w, unnest(range(len(w) - 7)) AS pos FROM docs WHERE len(w) >= 8)),
+twice AS (
+  SELECT row, pos FROM (
+    SELECT row, pos, count(*) OVER (PARTITION BY row, phrase) AS n FROM windows) WHERE n > 1),
+covered AS (
+  SELECT row, count(DISTINCT word) AS n FROM (
+    SELECT row, unnest(range(pos, pos + 8)) AS word FROM twice) GROUP BY row),
+counted AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    len(regexp_extract_all(text, '[{linerules.SYMBOLS}]'))::BIGINT AS n_symbols,
+    coalesce(dups, 0)::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+    coalesce(chars, 0) AS chars
+  FROM docs LEFT JOIN passed USING (row) LEFT JOIN covered USING (row))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < {linerules.MIN_WORDS} OR 100 * n_repeat_words > {linerules.MAX_REPEATED} * n_words AS base_failed,
+  NOT (n_words < {linerules.MIN_WORDS} OR 100 * n_repeat_words > {linerules.MAX_REPEATED} * n_words)
+    AND 100 * chars >= {linerules.MIN_LEFT} * word_chars AS kept
+FROM counted
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": _OP2, "op3_exact_top_k": _OP3, "op7_drop_repeats": _OP7, "op8_decontam": _OP8, "op10_length_buckets": _OP10}
+    return {"op2_warc": _OP2, "op3_exact_top_k": _OP3, "op7_drop_repeats": _OP7, "op8_decontam": _OP8, "op10_length_buckets": _OP10, "op12_line_rules": _OP12}
