@@ -14,6 +14,7 @@ from orderlake.llm import (
     linerules,
     packing,
     pii,
+    repair,
     runs,
     simhash,
     substrings,
@@ -145,6 +146,25 @@ def op10_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).rows
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, also those that the damage leaves without rows."""
+    conversations = table(spark, sf_dir, "conversations")
+    found = repair.repair(repair.damaged(conversations))
+    made = repair.digests(found).alias("d")
+    every = conversations.select("conv_id").distinct().alias("e")
+    joined = every.join(found.summary.alias("s"), F.expr("e.conv_id <=> s.conv"), "left").join(
+        made, F.expr("e.conv_id <=> d.conv"), "left"
+    )
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return joined.select(
+        "e.conv_id",
+        # a span of turns beyond 64 bits stays null
+        *[F.when(F.col("s.cost").isNull(), 0).otherwise(F.col(c)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op12_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linerules.clean_lines(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -189,7 +209,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_toxicity, op2_warc, op3_exact_top_k, op4_simhash_groups, op5_licenses, op6_language, op7_drop_repeats, op8_decontam, op9_personal_data, op10_length_buckets, op12_line_rules, op13_periodic_runs]
+    found = [op1_toxicity, op2_warc, op3_exact_top_k, op4_simhash_groups, op5_licenses, op6_language, op7_drop_repeats, op8_decontam, op9_personal_data, op10_length_buckets, op11_conversation_repair, op12_line_rules, op13_periodic_runs]
     return {query.__name__: query for query in found}
 
 

@@ -23,6 +23,7 @@ COLUMNS = {
     8: "doc_id n_words n_hit n_items items_sha256 contaminated",
     9: "doc_id n_email n_ip n_card n_phone base_sha256 spans",
     10: "doc_id piece first_token n_tokens bucket boundary batch slot",
+    11: "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
     12: "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     13: "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
 }
