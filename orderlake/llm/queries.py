@@ -400,6 +400,79 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM counted
 """
 
+# crc32 byte by byte from its table; then one recursion step per row: insertions before it, the
+# edit of the row, and per role state the cheapest way, ties by its letters.
+_OP11 = rf"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+drawn AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+        lambda ch: ascii(ch)::BIGINT)),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS d
+  FROM conversations, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+    CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE d WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM drawn),
+numbered AS (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS conv, trim(text, {_BLANKS}) AS bare,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+  FROM damaged),
+judged AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv ORDER BY i) || left(role, 1) AS pair
+  FROM numbered),
+counted AS (
+  SELECT conv, any_value(conv_id) AS conv_id, max(i) AS n,
+    coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv),
+inserts(q, after, letters, made) AS (VALUES
+  (0, 0, '', []::VARCHAR[]), (0, 2, 'I', ['user:']), (0, 3, 'II', ['user:', 'assistant:']),
+  (1, 1, '', []), (1, 2, 'I', ['user:']), (1, 3, 'II', ['user:', 'assistant:']),
+  (2, 2, '', []), (2, 3, 'I', ['assistant:']), (3, 3, '', []), (3, 2, 'I', ['user:'])),
+steps(q, initial, after, role) AS (VALUES
+  (0, 's', 1, NULL), (0, 'u', 2, 'user'), (1, 'u', 2, 'user'), (2, 'a', 3, 'assistant'), (3, 'u', 2, 'user')),
+edits AS (
+  SELECT j.conv, j.i, s.q, s.after, 'K' AS letter, (fault IS NOT NULL)::INTEGER AS cost,
+    [j.role || ':' || text] AS made
+  FROM judged j JOIN steps s ON s.initial = left(j.role, 1) WHERE fault IS NULL OR fault = 'truncated'
+  UNION ALL SELECT conv, i, q, after, 'R', 2 + (fault IS NOT NULL)::INTEGER, [s.role || ':' || text]
+  FROM judged j, steps s WHERE s.role IS NOT NULL AND (fault IS NULL OR fault = 'truncated')
+  UNION ALL SELECT conv, i, q, q, 'D', 3, [] FROM judged, range(4) AS states(q)),
+ways AS (
+  SELECT conv, 0::BIGINT AS i, 0::BIGINT AS q, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS made FROM counted
+  UNION ALL
+  SELECT conv, i, q, cost, audit, made FROM (
+    SELECT w.conv, w.i + 1 AS i, e.after::BIGINT AS q, w.cost + 2 * length(n.letters) + e.cost AS cost,
+      w.audit || n.letters || e.letter AS audit, w.made || n.made || e.made AS made,
+      row_number() OVER (PARTITION BY w.conv, e.after ORDER BY w.cost + 2 * length(n.letters) + e.cost,
+        w.audit || n.letters || e.letter) AS pick
+    FROM ways w JOIN inserts n ON n.q = w.q
+      JOIN edits e ON e.conv = w.conv AND e.i = w.i + 1 AND e.q = n.after) WHERE pick = 1),
+ended AS (
+  SELECT w.conv, w.cost + 2 * length(n.letters) AS cost, w.audit || n.letters AS audit,
+    w.made || n.made AS made,
+    row_number() OVER (PARTITION BY w.conv ORDER BY w.cost + 2 * length(n.letters), w.audit || n.letters) AS pick
+  FROM ways w JOIN counted c ON c.conv = w.conv AND c.n = w.i JOIN inserts n ON n.q = w.q
+  WHERE n.after IN (0, 3))
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+  coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(made, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) e
+  LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+  LEFT JOIN ended d ON d.conv = c.conv AND d.pick = 1
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": _OP2, "op3_exact_top_k": _OP3, "op7_drop_repeats": _OP7, "op8_decontam": _OP8, "op10_length_buckets": _OP10, "op12_line_rules": _OP12}
+    return {"op2_warc": _OP2, "op3_exact_top_k": _OP3, "op7_drop_repeats": _OP7, "op8_decontam": _OP8, "op10_length_buckets": _OP10, "op11_conversation_repair": _OP11, "op12_line_rules": _OP12}
