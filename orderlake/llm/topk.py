@@ -43,15 +43,18 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -scores[at]))]
 
 
-def _exact_product(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
+def _exact_product(queries: np.ndarray, candidates: np.ndarray, own: np.ndarray) -> np.ndarray:
     """Inner products as int64: by floating-point matrix product while every partial sum is an
-    exact integer, else in Python integers. Products beyond 64 bits raise OverflowError."""
+    exact integer, else in Python integers. Products beyond 64 bits raise OverflowError, but for
+    those of a vector with itself (``own``), which nobody asks for."""
     bound = np.abs(queries).max() * np.abs(candidates).max() * queries.shape[1]
     if bound < 2.0**53:
         return (queries @ candidates.T).astype(np.int64)
     exact = np.array([[int(x) for x in row] for row in queries], dtype=object)
     others = np.array([[int(x) for x in row] for row in candidates], dtype=object)
-    return exact.dot(others.T).astype(np.int64)
+    products = exact.dot(others.T)
+    products[own] = 0
+    return products.astype(np.int64)
 
 
 def _tile_lists(k: int):
@@ -66,7 +69,8 @@ def _tile_lists(k: int):
             left = np.array(queries["v"].tolist(), dtype=np.float64)
             step = max(1, (1 << 22) // len(ids))
             for at in range(0, len(keys), step):
-                scores = _exact_product(left[at : at + step], right)
+                own = keys[at : at + step, None] == ids
+                scores = _exact_product(left[at : at + step], right, own)
                 for query, row in zip(keys[at : at + step], scores, strict=True):
                     other = ids != query
                     best = _best(row[other], ids[other], k)
