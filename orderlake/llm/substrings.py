@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +24,11 @@ from orderlake.llm.common import stored, texts_of
 WINDOW = 13
 PERIOD = 7
 COVER = (1, 2, 4)
+CHUNK_WORDS = 1 << 16  # texts are worked on together up to about as many words
 FILTER_BITS = 27  # 2^27 bits (16 MB) of shared anchors go to each task; it only saves work
 _ANCHOR = 0x9E3779B97F4A7C15
 _LOW, _HIGH = 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
+_COVERED = np.isin(np.arange(PERIOD), COVER)
 _BUCKET = 1 << 15  # bits of one row of the filter (Spark's bitmap functions)
 
 
@@ -45,11 +48,64 @@ def _rolling(hashes: np.ndarray, size: int, factor: int) -> np.ndarray:
     return total ^ (total >> np.uint64(29))
 
 
-def _anchors(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, hashes) of the anchors at cover positions."""
-    runs = _rolling(hashes[:, 0], window - PERIOD + 1, _ANCHOR)
-    at = np.flatnonzero(np.isin(np.arange(len(runs)) % PERIOD, COVER))
-    return at, runs[at]
+class _Chunk:
+    """Some texts one after the other: hashes of their words, place of each word in its text."""
+
+    def __init__(self, words: list[bytes], sizes: list[int]):
+        self.low, self.high = np.ascontiguousarray(_word_hashes(words).T)
+        self.text = np.repeat(np.arange(len(sizes)), sizes)
+        ends = np.cumsum(sizes)
+        at = np.arange(len(words))
+        self.place = (at - (ends - sizes)[self.text]).astype(np.int32)
+        self.left = (ends[self.text] - at).astype(np.int32)  # words from here to the text's end
+
+    def anchors(self, window: int) -> tuple[np.ndarray, np.ndarray]:
+        """(positions, hashes) of the anchors at cover positions of the texts."""
+        size = window - PERIOD + 1
+        runs = _rolling(self.low, size, _ANCHOR)
+        whole = self.left[: len(runs)] >= size
+        at = np.flatnonzero(whole & _COVERED[self.place[: len(runs)] % PERIOD])
+        return at, runs[at]
+
+    def candidates(self, marks: _Filter, window: int) -> np.ndarray:
+        """Positions of windows that hold an anchor found in the filter."""
+        at, anchors = self.anchors(window)
+        hits = np.zeros(len(self.left) + PERIOD + 1, dtype=np.int32)
+        hits[at[marks.hits(anchors)] + 1] = 1
+        before = np.cumsum(hits)
+        # window i holds the anchors at i .. i + PERIOD - 1
+        held = before[PERIOD : PERIOD + len(self.left)] > before[: len(self.left)]
+        return np.flatnonzero(held & (self.left >= window))
+
+    def window_hashes(self, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+        """Two hashes of the windows at ``starts``, as signed integers."""
+        found = []
+        for hashes, factor in ((self.low, _LOW), (self.high, _HIGH)):
+            total = np.zeros(len(starts), dtype=np.uint64)
+            for k in range(window):
+                total *= np.uint64(factor)
+                total += hashes[starts + k]
+            found.append((total ^ (total >> np.uint64(29))).view(np.int64))
+        return found[0], found[1]
+
+
+def _chunked(batches: Iterator[pa.RecordBatch], columns: list[str], window: int):
+    """(chunk, one array per column with the value of each text) of texts of a window or more."""
+    words, sizes, values = [], [], []
+    for batch in batches:
+        others = [batch.column(c).to_pylist() for c in columns]
+        for *value, text in zip(*others, texts_of(batch, "text"), strict=True):
+            found = text.split() if text else []
+            if len(found) < window:
+                continue
+            words += found
+            sizes.append(len(found))
+            values.append(value)
+            if len(words) >= CHUNK_WORDS:
+                yield _Chunk(words, sizes), np.array(values, dtype=np.int64).T
+                words, sizes, values = [], [], []
+    if words:
+        yield _Chunk(words, sizes), np.array(values, dtype=np.int64).T
 
 
 class _Filter:
@@ -82,83 +138,38 @@ class _Filter:
         return found
 
 
-def _candidates(words: list[bytes], marks: _Filter, window: int):
-    """Starts of windows that hold an anchor found in the filter, and the word hashes."""
-    hashes = _word_hashes(words)
-    at, anchors = _anchors(hashes, window)
-    at = at[marks.hits(anchors)]
-    # window i holds the anchors at i .. i + PERIOD - 1
-    last = len(words) - window
-    mark = np.zeros(last + 2, dtype=np.int32)
-    np.add.at(mark, np.maximum(at - PERIOD + 1, 0), 1)
-    np.add.at(mark, np.minimum(at, last) + 1, -1)
-    return np.flatnonzero(np.cumsum(mark[:-1]) > 0), hashes
-
-
 def _emit_anchors(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("id").to_pylist()
-            for key, text in zip(ids, texts_of(batch, "text"), strict=True):
-                words = text.split() if text else []
-                if len(words) < window:
-                    continue
-                found = np.unique(_anchors(_word_hashes(words), window)[1])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.view(np.int64)), pa.array(np.full(len(found), key))],
-                    names=["anchor", "id"],
-                )
+        for chunk, (ids,) in _chunked(batches, ["id"], window):
+            at, found = chunk.anchors(window)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found.view(np.int64)), pa.array(ids[chunk.text[at]])],
+                names=["anchor", "id"],
+            )
 
     return run
 
 
-def _together(batches: Iterator[pa.RecordBatch], rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
-    """Small batches joined to larger ones."""
-    held, size = [], 0
-    for batch in batches:
-        held.append(batch)
-        size += batch.num_rows
-        if size >= rows:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held, size = [], 0
-    if size:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 def _emit_windows(marks: _Filter, window: int):
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, versions = batch.column("id").to_pylist(), batch.column("version").to_pylist()
-            for key, version, text in zip(ids, versions, texts_of(batch, "text"), strict=True):
-                words = text.split() if text else []
-                if len(words) < window:
-                    continue
-                starts, hashes = _candidates(words, marks, window)
-                if not len(starts):
-                    continue
-                low = _rolling(hashes[:, 0], window, _LOW)[starts]
-                high = _rolling(hashes[:, 1], window, _HIGH)[starts]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, (ids, versions) in _chunked(batches, ["id", "version"], window):
+            starts = chunk.candidates(marks, window)
+            if len(starts):
+                text = chunk.text[starts]
+                found = [*chunk.window_hashes(starts, window), ids[text], versions[text]]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(low.view(np.int64)),
-                        pa.array(high.view(np.int64)),
-                        pa.array(np.full(len(starts), key)),
-                        pa.array(np.full(len(starts), version)),
-                        pa.array(starts.astype(np.int32)),
-                    ],
+                    [*map(pa.array, found), pa.array(chunk.place[starts])],
                     names=["low", "high", "id", "version", "start"],
                 )
 
-    return lambda batches: _together(rows(batches))
+    return run
 
 
 def kept_words(words: list[bytes], starts: np.ndarray, window: int) -> list[bytes]:
     """The words that none of the windows beginning at ``starts`` covers."""
-    mark = np.zeros(len(words) + 1, dtype=np.int32)
-    np.add.at(mark, starts, 1)
-    np.add.at(mark, starts + window, -1)
-    keep = np.cumsum(mark[:-1]) == 0
-    return [words[i] for i in np.flatnonzero(keep).tolist()]
+    mark = np.bincount(starts, minlength=len(words) + 1)
+    mark -= np.bincount(starts + window, minlength=len(words) + 1)
+    return list(compress(words, (np.cumsum(mark[:-1]) == 0).tolist()))
 
 
 def _cut(window: int):
@@ -210,9 +221,7 @@ def drop_repeats(
         F.col(text_col).alias("text"),
     )
     named = rows.where("id is not null")
-    anchors = named.select("id", "text").mapInArrow(
-        lambda batches: _together(_emit_anchors(window)(batches)), "anchor long, id long"
-    )
+    anchors = named.select("id", "text").mapInArrow(_emit_anchors(window), "anchor long, id long")
     shared = (
         anchors.groupBy("anchor")
         .agg(F.min("id").alias("first"), F.max("id").alias("last"))
