@@ -3,10 +3,10 @@ import pytest
 import __spark_entry__ as entry_point
 import corpus_pipeline
 from llm_cases import awkward, no_docs  # noqa: F401
-from orderlake.llm import packing, pii, toxicity
+from orderlake.llm import nearcopies, packing, pii, toxicity
 from orderlake.llm.common import stored, table
 from test_decontam import brute as contaminated
-from test_simhash import slow_groups
+from test_simhash import slow_components
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -34,9 +34,14 @@ def test_toxicity_drops_what_scores_high(spark, steps):
 
 
 def test_one_document_of_each_group_stays(steps):
+    """Groups are what links of similarity 0.8 on five-word shingles reach, all pairs compared."""
     rows, _ = steps
-    groups = slow_groups([(k, r["text"]) for k, r in rows[1].items()])
-    assert set(rows[2]) == {low for _, _, low in groups}
+    held = [(key, nearcopies.shingles((r["text"] or "").encode())) for key, r in rows[1].items()]
+    near = [
+        (a, b) for i, (a, one) in enumerate(held) for b, other in held[:i] if nearcopies.similar(one, other)
+    ]
+    assert len(near) > 10
+    assert set(rows[2]) == set(slow_components(rows[1], near).values())
 
 
 def test_contaminated_documents_go(spark, steps):
