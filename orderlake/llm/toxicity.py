@@ -1,7 +1,7 @@
 """Toxicity of obfuscated texts: noisy-channel decoding, then a score of the restored words.
 
-The channel turns letters into look-alikes, repeats them, drops in stars and pulls words apart.
-Decoding goes the other way: a token becomes a lattice of letters it may stand for, each with the
+The channel turns letters into look-alikes, repeats them, drops in stars and pulls words apart,
+into single letters or larger pieces. Decoding goes the other way: a token becomes a lattice of letters it may stand for, each with the
 cost of that distortion, and the Viterbi path through the lattice under a character trigram model
 of the corpus is the restored text. A token of plain letters has one path only and is not decoded.
 """
@@ -37,11 +37,13 @@ LOOK_ALIKES = {
 # Costs in nats. A symbol at a token's edge may also be there for itself, a digit less likely.
 _SWAP, _STAR, _REPEAT, _SINGLE, _JOIN, _SPLIT = 1.0, 3.5, 0.2, 2.0, 0.3, 4.0
 _DROP, _DROP_DIGIT = 2.5, 5.0
+_GAP = 3.0  # of a space between pieces of one word; pieces that pass for words stay apart
+_PIECES = 6  # of one word, at most
 
 _SYMBOLS = re.escape("".join(LOOK_ALIKES))
 _SPACED = re.compile(
-    rf"(?<![^\s])(?:[a-z{_SYMBOLS}](?:[ \t]?[.\-_*/][ \t]?|[ \t]{{1,3}})){{2,}}[a-z{_SYMBOLS}]"
-    r"(?![^\s.,;:?])".encode()
+    rf"(?<![^\s\"'(\[{{<])(?:[a-z{_SYMBOLS}](?:[ \t]?[.\-_*/][ \t]?|[ \t]{{1,3}})){{2,}}[a-z{_SYMBOLS}]"
+    r"(?![^\s.,;:?!\"')\]}>])".encode()
 )
 _EDGE = re.compile(rb"^[^a-z0-9@$|+(!]+|[^a-z0-9@$|+(!]+$")
 _DECORATED = re.compile(rb"([^a-z0-9$])\1+$|^([^a-z0-9$])\2+|\$\$\$+$|^\$\$\$+")
@@ -50,6 +52,7 @@ _TRIPLE = re.compile(rb"([a-z])\1\1")
 _DOUBLE = re.compile(rb"([a-z])\1+")
 _SEPARATOR = re.compile(rb"[^a-z0-9@$|+(!*]+|\*{2,}")
 _HAS_LETTER = re.compile(rb"[a-z]")
+_OPENING, _CLOSING = b"\"'([{<", b".,;:?!\"')]}>"
 _CODES = np.zeros(256, dtype=np.int64)
 for _place, _letter in enumerate(_LETTERS):
     _CODES[ord(_letter)] = _CODES[ord(_letter.upper())] = _place + 1
@@ -127,6 +130,16 @@ def decode_token(model: LetterModel, token: str, whole: bool = False) -> str:
     return model.best([_symbol(m, n, whole or 0 < k < last) for k, (m, n) in enumerate(runs)])
 
 
+def is_one_word(model: LetterModel, pieces: list[str], join: float, split: float) -> bool:
+    """Whether pieces read cheaper as one word: each gap is closed or stays a word boundary."""
+    lattice: list[list[tuple[str, float]]] = []
+    for piece in pieces:
+        if lattice:
+            lattice.append([("", join), (" ", split)])
+        lattice += [[(letter, 0.0)] for letter in piece]
+    return " " not in model.best(lattice)
+
+
 def decode_spaced(model: LetterModel, text: str) -> str:
     """Single symbols with separators between: each gap is closed or stays a word boundary."""
     parts = [p for p in re.split(r"[ \t.\-_/]+", text) if p]
@@ -143,13 +156,17 @@ class Restorer:
 
     ``targets`` are words worth a closer look: a token of plain letters with doubled ones is
     decoded if it could be one of them, and they are also looked for inside pulled-apart words,
-    which may have run into a neighbour.
+    which may have run into a neighbour. Neighbouring pieces that make up one of them are that
+    word if the letter model reads them cheaper joined than apart.
     """
 
     def __init__(self, model: LetterModel, targets: tuple[str, ...] = ()):
         self.model, self.known = model, {}
         self.targets = [w for w in targets if len(w) > 3]
         self.squeezed = {_DOUBLE.sub(rb"\1", w.encode()) for w in targets}
+        self.whole = {w.encode() for w in self.targets if w.isascii() and w.isalpha()}
+        self.heads = {w[:k] for w in self.whole for k in range(1, len(w))}
+        self.cores: dict[bytes, bytes] = {}
 
     def piece(self, piece: bytes) -> tuple[str, ...]:
         if _PLAIN.match(piece):
@@ -178,13 +195,54 @@ class Restorer:
         pieces = [p for p in _SEPARATOR.split(core) if p]
         if len(pieces) > 2 and all(len(p) == 1 for p in pieces):
             return tuple(self.spaced(" ".join(p.decode() for p in pieces)))
-        return tuple(word for p in pieces for word in self.piece(p))
+        read = [self.piece(p) for p in pieces]
+        words = tuple(word for found in read for word in found)
+        first = [found[0] for found in read if found]
+        if len(first) > 1 and (joined := "".join(first)).encode() in self.whole:
+            if is_one_word(self.model, first, _JOIN, _SPLIT):
+                return (*words, joined)
+        return words
+
+    def core(self, token: bytes) -> bytes:
+        """The letters of a token that is one piece; nothing for others."""
+        found = self.cores.get(token)
+        if found is None:
+            if len(self.cores) >= _CACHED:
+                self.cores.clear()
+            found = token.lstrip(_OPENING).rstrip(_CLOSING)
+            if not found.isalpha():
+                pieces = _SEPARATOR.split(_EDGE.sub(b"", _DECORATED.sub(b"", token)))
+                read = self.piece(pieces[0]) if len(pieces) == 1 else ()
+                found = read[-1].encode() if read else b""
+            self.cores[token] = found
+        return found
+
+    def joined(self, tokens: list[bytes]) -> set[str]:
+        """Targets that neighbouring pieces of a text make up."""
+        found: set[str] = set()
+        cores = list(map(self.core, tokens))
+        for at, text in enumerate(cores):
+            if text not in self.heads:
+                continue
+            for end in range(at + 1, min(at + _PIECES, len(cores))):
+                piece = cores[end]
+                if not piece or tokens[end - 1][-1] in _CLOSING or tokens[end][0] in _OPENING:
+                    break
+                text += piece
+                if text in self.whole:
+                    pieces = [c.decode() for c in cores[at : end + 1]]
+                    if is_one_word(self.model, pieces, _GAP, 0.0):
+                        found.add(text.decode())
+                if text not in self.heads:
+                    break
+        return found
 
     def words(self, text: bytes | None) -> set[str]:
         plain = folded(text) if text else b""
         found: set[str] = set()
         known = self.known
-        for token in set(plain.split()):
+        tokens = plain.split()
+        for token in set(tokens):
             words = known.get(token)
             if words is None:
                 if len(known) >= _CACHED:
@@ -193,6 +251,8 @@ class Restorer:
             found.update(words)
         for match in _SPACED.finditer(plain):
             found.update(self.spaced(match[0].decode()))
+        if self.heads:
+            found |= self.joined(tokens)
         return found
 
 

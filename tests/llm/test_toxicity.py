@@ -56,6 +56,12 @@ def test_held_out_recall_and_precision(tables, model):
         ("you 1d10t", "idiot"),
         ("a m0r0n.", "moron"),
         ("i d i o t", "idiot"),
+        ('say "i d i o t" now', "idiot"),
+        ("what an id iot.", "idiot"),
+        ("what an 1d iot.", "idiot"),
+        ("id.iot", "idiot"),
+        ("i-diot", "idiot"),
+        ("you st-up-id", "stupid"),
         ("s.t.u.p.i.d", "stupid"),
         ("stuuuupiiid", "stupid"),
         ("w0rthl3$$", "worthless"),
