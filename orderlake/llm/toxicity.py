@@ -15,15 +15,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import crc_bucket, map_rows, some_of_each, texts_of
+from orderlake.llm.common import crc_bucket, map_rows, texts_of
 
-LABELLED_ROWS = 20_000  # rows learned from at most, half of them of either label
+TOXIC_ROWS, CLEAN_ROWS = 10_000, 100_000  # labelled rows learned from, at most about
 LEXICON_WORDS = 2_000  # words the model keeps, best first
-MIN_DOCS = 3  # labelled texts a word must be in to be kept, and ...
-MIN_SHARE = 0.002  # ... share of the toxic ones
+MIN_DOCS = 3  # toxic labelled texts a word must be in to be kept
 MIN_WEIGHT = 2.0  # least weight of a word that is kept
 THRESHOLD = 0.3
 _CACHED = 200_000  # decoded tokens a task remembers
@@ -52,18 +52,64 @@ _TRIPLE = re.compile(rb"([a-z])\1\1")
 _DOUBLE = re.compile(rb"([a-z])\1+")
 _SEPARATOR = re.compile(rb"[^a-z0-9@$|+(!*]+|\*{2,}")
 _HAS_LETTER = re.compile(rb"[a-z]")
+# Cyrillic and Greek letters that look like Latin ones.
+LATIN_LOOK_ALIKES = {
+    "а": "a", "в": "b", "е": "e", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p", "с": "c",
+    "т": "t", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s", "ԁ": "d", "α": "a", "ι": "i",
+    "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x",
+}
+_LATIN = str.maketrans(LATIN_LOOK_ALIKES)
+# Latin letters that do not decompose.
+_PLAIN_LATIN = str.maketrans(
+    {"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "ł": "l", "đ": "d", "ð": "d", "þ": "th", "ı": "i"}
+)
+_MARKS = regex.compile(r"[\u0300-\u036f]")
+_LOOKS = "".join(LATIN_LOOK_ALIKES)
+_LOOK = regex.compile(f"[{_LOOKS}]")
+_MIXED = regex.compile(
+    rf"(?<![^\W\d_])(?=[a-z]*[{_LOOKS}])(?=[{_LOOKS}]*[a-z])[a-z{_LOOKS}]++(?![^\W\d_])"
+)
+_FOREIGN = regex.compile(r"(?V1)[\p{L}\p{M}--\p{Latin}--[\u0000-\u036f]]+")
+_UNSPACED = regex.compile(
+    r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
+)
+_REPEATED = regex.compile(r"(.)\1\1+")
 _OPENING, _CLOSING = b"\"'([{<", b".,;:?!\"')]}>"
 _CODES = np.zeros(256, dtype=np.int64)
 for _place, _letter in enumerate(_LETTERS):
     _CODES[ord(_letter)] = _CODES[ord(_letter.upper())] = _place + 1
 
 
+def unmarked(text: bytes) -> str:
+    """Lower case without marks; look-alikes of other alphabets within Latin words are Latin."""
+    plain = _MARKS.sub("", unicodedata.normalize("NFKD", text.decode()).lower())
+    plain = plain.translate(_PLAIN_LATIN)
+    if _LOOK.search(plain):
+        plain = _MIXED.sub(lambda word: word[0].translate(_LATIN), plain)
+    return plain
+
+
 def folded(text: bytes) -> bytes:
-    """ASCII lower case; letters with marks lose the marks, other letters become spaces."""
+    """``unmarked`` text in ASCII; letters of other alphabets become spaces."""
+    if text.isascii():
+        return text.lower()
+    return unmarked(text).encode("ascii", "replace").replace(b"?", b" ")
+
+
+def foreign_words(text: bytes) -> set[str]:
+    """Words in other alphabets than the Latin one, letters in threes and more taken as one.
+
+    Scripts without spaces between words give pairs of neighbouring letters instead.
+    """
+    found: set[str] = set()
     if not text.isascii():
-        split = unicodedata.normalize("NFKD", text.decode())
-        text = re.sub(r"[\u0300-\u036f]", "", split).encode("ascii", "replace").replace(b"?", b" ")
-    return text.lower()
+        for word in _FOREIGN.findall(unmarked(text)):
+            word = _REPEATED.sub(r"\1", word)
+            if len(word) > 2 and _UNSPACED.match(word):
+                found.update(word[k : k + 2] for k in range(len(word) - 1))
+            else:
+                found.add(word)
+    return found
 
 
 class LetterModel:
@@ -253,7 +299,7 @@ class Restorer:
             found.update(self.spaced(match[0].decode()))
         if self.heads:
             found |= self.joined(tokens)
-        return found
+        return found | foreign_words(text or b"")
 
 
 def restore(model: LetterModel, text: str) -> str:
@@ -338,10 +384,17 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(text, toxic) of at most LABELLED_ROWS labelled ids; their ids are sent to all tasks."""
+    """(text, toxic) of labelled ids, both labels thinned by hash at one rate.
+
+    The rate leaves about TOXIC_ROWS and CLEAN_ROWS rows at most, so what is learned has the
+    natural share of toxic texts at every size. The ids, bounded by that, are sent to all tasks.
+    """
     marked = labels.where("toxic in (0, 1)").groupBy(id_col).agg(F.max("toxic").alias("toxic"))
-    labelled = marked.select(F.col(id_col).alias("id"), "toxic")
-    chosen = some_of_each(labelled, "toxic", LABELLED_ROWS // 2).select("id", "toxic")
+    labelled = marked.select(F.col(id_col).alias("id"), "toxic").where("id is not null")
+    rows = {row["toxic"]: row["count"] for row in labelled.groupBy("toxic").count().collect()}
+    rate = min(1.0, TOXIC_ROWS / rows.get(1, 1), CLEAN_ROWS / rows.get(0, 1))
+    unit = F.shiftrightunsigned(F.xxhash64("id"), 11) / float(1 << 53)
+    chosen = labelled.where(unit < rate)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return texts.join(F.broadcast(chosen), "id").select("text", "toxic").distinct()
 
@@ -354,8 +407,9 @@ def train(
     ``labels`` has ``id_col`` and ``toxic`` (0 or 1; other values are ignored, 1 wins over 0) of the
     rows to learn from. The letter model counts all of ``docs``. A word's weight is its log odds of
     being in a toxic text, less one standard error, among distinct texts; for the regression each
-    text is weighed with counts that leave it out. Without a label of either kind every text scores
-    the same.
+    text is weighed with counts that leave it out. Both see the classes in their natural ratio,
+    so the limits on words and the score mean the same at every size. Without a label of either
+    kind every text scores the same.
     """
     counts = letter_counts(docs, text_col)
     sample = _sample(docs, labels, id_col, text_col)
@@ -387,7 +441,7 @@ def train(
     odds = F.log((F.col("bad") + 0.5) / (bad + 1.0)) - F.log((F.col("good") + 0.5) / (good + 1.0))
     error = F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
     best = (
-        seen.where((F.col("word") != "") & (F.col("bad") >= MIN_SHARE * bad))
+        seen.where("word != ''")
         .select("word", "bad", "good", (odds - error).alias("weight"))
         .where(f"weight > {MIN_WEIGHT}")
         .orderBy(F.desc("weight"), "word")

@@ -68,6 +68,8 @@ def test_held_out_recall_and_precision(tables, model):
         ("MORON!!! ***", "moron"),
         ("what a m o r o n, really", "moron"),
         ("idiiot", "idiot"),
+        ("an idi\u043et", "idiot"),
+        ("a \u043c\u043er\u043en!", "moron"),
     ],
 )
 def test_obfuscated_words_come_back(model, text, word):
@@ -108,6 +110,51 @@ def test_letter_counts_are_those_of_all_texts(tables):
     assert (counts == wanted).all()
 
 
+def test_words_in_other_alphabets_are_learned(spark):
+    draw = random.Random(3)
+    good = ["дом", "река", "письмо", "поле", "книга", "世界", "你好", "天气"]
+    rows = []
+    for k in range(400):
+        words = draw.choices(good, k=6) + (["дурак" if k % 8 else "蠢货们"] if k % 4 == 0 else [])
+        draw.shuffle(words)
+        rows.append((k, " ".join(words) + f" {k}", int(k % 4 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(docs, docs.select("doc_id", "toxic"))
+    assert {"дурак", "蠢货", "货们"} <= set(model["lexicon"])
+    texts = ["какой дурак там", "КАКОЙ ДУРААААК", "你们蠢货们好", "река и дом", "你好世界", ""]
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    said = {r["doc_id"]: r["score"] >= toxicity.THRESHOLD for r in toxicity.score(asked, model).collect()}
+    assert said == {0: True, 1: True, 2: True, 3: False, 4: False, 5: False}
+
+
+def test_words_are_split_by_alphabet():
+    found = toxicity.foreign_words("Größe идиоооот й, hello ΑΒΓ 你好世界 हिन्दी x".encode())
+    assert found == {"идиот", "и", "αβγ", "你好", "好世", "世界", "हिन्दी"}
+    assert toxicity.foreign_words(b"plain") == set()
+    assert toxicity.folded("Größe idi\u043et".encode()).split() == [b"grosse", b"idiot"]
+
+
+def test_sample_keeps_the_natural_ratio(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TOXIC_ROWS", 200)
+    docs = spark.range(20_000).selectExpr("id doc_id", "string(id) text", "int(id % 10 = 0) toxic")
+    sample = toxicity._sample(docs, docs.select("doc_id", "toxic"), "doc_id", "text")
+    n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    assert 150 < n[1] < 250 and 8 < n[0] / n[1] < 10.5
+    monkeypatch.setattr(toxicity, "CLEAN_ROWS", 900)
+    sample = toxicity._sample(docs, docs.select("doc_id", "toxic"), "doc_id", "text")
+    assert 800 < sample.where("toxic = 0").count() < 1000
+
+
+def test_words_of_few_toxic_texts_stay_in_large_tables(spark):
+    rows = spark.range(12_000).selectExpr(
+        "id doc_id",
+        "concat(id, case when id % 6 > 0 then ' fine' when id < 18 then ' gaddok' else ' idiot' end) text",
+        "int(id % 6 = 0) toxic",
+    )
+    model = toxicity.train(rows, rows.select("doc_id", "toxic"))
+    assert set(model["lexicon"]) == {"idiot", "gaddok"}
+
+
 def test_awkward_rows(awkward, no_docs, tables, model):  # noqa: F811
     _, labels = tables
     found = toxicity.score(awkward, model)
