@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from orderlake.llm.common import crc_bucket, map_rows, texts_of
 
 TOXIC_ROWS, CLEAN_ROWS = 10_000, 100_000  # labelled rows learned from, at most about
+FIT_CLEAN_ROWS = 20_000  # clean ones of these, by hash of the text, the regression is fitted on
 LEXICON_WORDS = 2_000  # words the model keeps, best first
 MIN_DOCS = 3  # toxic labelled texts a word must be in to be kept
 MIN_WEIGHT = 2.0  # least weight of a word that is kept
@@ -407,7 +408,7 @@ def train(
     ``labels`` has ``id_col`` and ``toxic`` (0 or 1; other values are ignored, 1 wins over 0) of the
     rows to learn from. The letter model counts all of ``docs``. A word's weight is its log odds of
     being in a toxic text, less one standard error, among distinct texts; for the regression each
-    text is weighed with counts that leave it out. Both see the classes in their natural ratio,
+    text is weighed with counts that leave it out. Both hold for the natural ratio of the classes,
     so the limits on words and the score mean the same at every size. Without a label of either
     kind every text scores the same.
     """
@@ -456,8 +457,12 @@ def train(
         left = [(max(b - toxic, 0), max(g - 1 + toxic, 0)) for b, g in pairs]
         return toxic, *_features([_weight(b, g, *rest) for b, g in left])
 
+    # toxic texts all stay; thinning the clean ones moves the constant only, by the log of the rate
+    rate = min(1.0, FIT_CLEAN_ROWS / good)
+    unit = F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 11) / float(1 << 53)
+    fitted = sample.where((F.col("toxic") == 1) | (unit < rate))
     found = map_rows(
-        sample.select(F.col("toxic").cast("int").alias("toxic"), "text"),
+        fitted.select(F.col("toxic").cast("int").alias("toxic"), "text"),
         "toxic int, a double, b double, c double",
         ["toxic", "text"],
         one,
@@ -465,6 +470,7 @@ def train(
     ).collect()
     rows = np.array([tuple(row) for row in found], dtype=np.float64)
     beta = _logistic(rows[:, 1:], rows[:, 0]).tolist()
+    beta[0] += math.log(rate)
     lexicon = {word: _weight(b, g, bad, good) for word, (b, g) in kept.items()}
     return {"counts": counts, "lexicon": lexicon, "beta": beta}
 
