@@ -11,7 +11,8 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,6 @@ _SPACED = re.compile(
 )
 _EDGE = re.compile(rb"^[^a-z0-9@$|+(!]+|[^a-z0-9@$|+(!]+$")
 _DECORATED = re.compile(rb"([^a-z0-9$])\1+$|^([^a-z0-9$])\2+|\$\$\$+$|^\$\$\$+")
-_PLAIN = re.compile(rb"[a-z]+\Z")
 _TRIPLE = re.compile(rb"([a-z])\1\1")
 _DOUBLE = re.compile(rb"([a-z])\1+")
 _SEPARATOR = re.compile(rb"[^a-z0-9@$|+(!*]+|\*{2,}")
@@ -61,9 +61,9 @@ LATIN_LOOK_ALIKES = {
 }
 _LATIN = str.maketrans(LATIN_LOOK_ALIKES)
 # Latin letters that do not decompose.
-_PLAIN_LATIN = str.maketrans(
-    {"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "ł": "l", "đ": "d", "ð": "d", "þ": "th", "ı": "i"}
-)
+PLAIN_LATIN = {
+    "ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "ł": "l", "đ": "d", "ð": "d", "þ": "th", "ı": "i",
+}
 _MARKS = regex.compile(r"[\u0300-\u036f]")
 _LOOKS = "".join(LATIN_LOOK_ALIKES)
 _LOOK = regex.compile(f"[{_LOOKS}]")
@@ -84,7 +84,8 @@ for _place, _letter in enumerate(_LETTERS):
 def unmarked(text: bytes) -> str:
     """Lower case without marks; look-alikes of other alphabets within Latin words are Latin."""
     plain = _MARKS.sub("", unicodedata.normalize("NFKD", text.decode()).lower())
-    plain = plain.translate(_PLAIN_LATIN)
+    for letter, letters in PLAIN_LATIN.items():
+        plain = plain.replace(letter, letters)
     if _LOOK.search(plain):
         plain = _MIXED.sub(lambda word: word[0].translate(_LATIN), plain)
     return plain
@@ -92,9 +93,11 @@ def unmarked(text: bytes) -> str:
 
 def folded(text: bytes) -> bytes:
     """``unmarked`` text in ASCII; letters of other alphabets become spaces."""
-    if text.isascii():
-        return text.lower()
-    return unmarked(text).encode("ascii", "replace").replace(b"?", b" ")
+    return text.lower() if text.isascii() else _ascii(unmarked(text))
+
+
+def _ascii(plain: str) -> bytes:
+    return plain.encode("ascii", "replace").replace(b"?", b" ")
 
 
 def foreign_words(text: bytes) -> set[str]:
@@ -102,14 +105,17 @@ def foreign_words(text: bytes) -> set[str]:
 
     Scripts without spaces between words give pairs of neighbouring letters instead.
     """
+    return set() if text.isascii() else _foreign(unmarked(text))
+
+
+def _foreign(plain: str) -> set[str]:
     found: set[str] = set()
-    if not text.isascii():
-        for word in _FOREIGN.findall(unmarked(text)):
-            word = _REPEATED.sub(r"\1", word)
-            if len(word) > 2 and _UNSPACED.match(word):
-                found.update(word[k : k + 2] for k in range(len(word) - 1))
-            else:
-                found.add(word)
+    for word in _FOREIGN.findall(plain):
+        word = _REPEATED.sub(r"\1", word)
+        if len(word) > 2 and _UNSPACED.match(word):
+            found.update(word[k : k + 2] for k in range(len(word) - 1))
+        else:
+            found.add(word)
     return found
 
 
@@ -198,6 +204,20 @@ def decode_spaced(model: LetterModel, text: str) -> str:
     return model.best(lattice)
 
 
+class _Remembered(dict):
+    """What a function gives for tokens; forgotten as a whole when it is full."""
+
+    def __init__(self, find: Callable):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, token: bytes):
+        if len(self) >= _CACHED:
+            self.clear()
+        found = self[token] = self.find(token)
+        return found
+
+
 class Restorer:
     """The distinct words of a text after decoding; remembers tokens it has seen.
 
@@ -208,15 +228,16 @@ class Restorer:
     """
 
     def __init__(self, model: LetterModel, targets: tuple[str, ...] = ()):
-        self.model, self.known = model, {}
+        self.model = model
+        self.known, self.cores = _Remembered(self.token), _Remembered(self.core)
         self.targets = [w for w in targets if len(w) > 3]
         self.squeezed = {_DOUBLE.sub(rb"\1", w.encode()) for w in targets}
         self.whole = {w.encode() for w in self.targets if w.isascii() and w.isalpha()}
         self.heads = {w[:k] for w in self.whole for k in range(1, len(w))}
-        self.cores: dict[bytes, bytes] = {}
+        self.parts = self.heads | self.whole
 
     def piece(self, piece: bytes) -> tuple[str, ...]:
-        if _PLAIN.match(piece):
+        if piece.isalpha():
             single = _DOUBLE.sub(rb"\1", piece)
             if single == piece or (single not in self.squeezed and not _TRIPLE.search(piece)):
                 return (piece.decode(),)
@@ -252,25 +273,21 @@ class Restorer:
 
     def core(self, token: bytes) -> bytes:
         """The letters of a token that is one piece; nothing for others."""
-        found = self.cores.get(token)
-        if found is None:
-            if len(self.cores) >= _CACHED:
-                self.cores.clear()
-            found = token.lstrip(_OPENING).rstrip(_CLOSING)
-            if not found.isalpha():
-                pieces = _SEPARATOR.split(_EDGE.sub(b"", _DECORATED.sub(b"", token)))
-                read = self.piece(pieces[0]) if len(pieces) == 1 else ()
-                found = read[-1].encode() if read else b""
-            self.cores[token] = found
+        found = token.lstrip(_OPENING).rstrip(_CLOSING)
+        if not found.isalpha():
+            pieces = _SEPARATOR.split(_EDGE.sub(b"", _DECORATED.sub(b"", token)))
+            read = self.piece(pieces[0]) if len(pieces) == 1 else ()
+            found = read[-1].encode() if read else b""
         return found
 
     def joined(self, tokens: list[bytes]) -> set[str]:
         """Targets that neighbouring pieces of a text make up."""
         found: set[str] = set()
-        cores = list(map(self.core, tokens))
-        for at, text in enumerate(cores):
-            if text not in self.heads:
-                continue
+        heads, parts = self.heads, self.parts
+        cores = list(map(self.cores.__getitem__, tokens))
+        pairs = enumerate(zip(cores, cores[1:], strict=False))
+        for at in [at for at, (a, b) in pairs if a in heads and b and a + b in parts]:
+            text = cores[at]
             for end in range(at + 1, min(at + _PIECES, len(cores))):
                 piece = cores[end]
                 if not piece or tokens[end - 1][-1] in _CLOSING or tokens[end][0] in _OPENING:
@@ -280,27 +297,24 @@ class Restorer:
                     pieces = [c.decode() for c in cores[at : end + 1]]
                     if is_one_word(self.model, pieces, _GAP, 0.0):
                         found.add(text.decode())
-                if text not in self.heads:
+                if text not in heads:
                     break
         return found
 
     def words(self, text: bytes | None) -> set[str]:
-        plain = folded(text) if text else b""
-        found: set[str] = set()
-        known = self.known
+        text, foreign = text or b"", set()
+        if text.isascii():
+            plain = text.lower()
+        else:
+            letters = unmarked(text)
+            plain, foreign = _ascii(letters), _foreign(letters)
         tokens = plain.split()
-        for token in set(tokens):
-            words = known.get(token)
-            if words is None:
-                if len(known) >= _CACHED:
-                    known.clear()
-                words = known[token] = self.token(token)
-            found.update(words)
+        found = set(chain.from_iterable(map(self.known.__getitem__, set(tokens))))
         for match in _SPACED.finditer(plain):
             found.update(self.spaced(match[0].decode()))
         if self.heads:
             found |= self.joined(tokens)
-        return found | foreign_words(text or b"")
+        return found | foreign
 
 
 def restore(model: LetterModel, text: str) -> str:
@@ -421,7 +435,7 @@ def train(
             for toxic, text in zip(
                 batch.column("toxic").to_pylist(), texts_of(batch, "text"), strict=True
             ):
-                found = [*restorer.words(text), ""]  # the empty word counts texts
+                found = list(restorer.words(text))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found), pa.array([toxic] * len(found), pa.int32())],
                     names=["word", "toxic"],
@@ -435,10 +449,10 @@ def train(
         .agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
         .where(f"bad >= {MIN_DOCS}")
     )
-    totals = seen.where("word = ''").first()
-    if totals is None or not totals["good"]:
+    texts = {row["toxic"]: row["count"] for row in sample.groupBy(F.col("toxic").cast("int").alias("toxic")).count().collect()}
+    bad, good = texts.get(1, 0), texts.get(0, 0)
+    if bad < MIN_DOCS or not good:
         return {"counts": counts, "lexicon": {}, "beta": [-2.0, 0.0, 0.0, 0.0]}
-    bad, good = totals["bad"], totals["good"]
     odds = F.log((F.col("bad") + 0.5) / (bad + 1.0)) - F.log((F.col("good") + 0.5) / (good + 1.0))
     error = F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
     best = (
@@ -480,9 +494,10 @@ def _setup(sent):
     model = sent.value
     restorer = Restorer(LetterModel(model["counts"]), tuple(model["lexicon"]))
     lexicon, beta = model["lexicon"], model["beta"]
+    weighed = frozenset(lexicon)
 
     def judge(text: bytes | None) -> tuple[float, list[str]]:
-        hits = sorted(w for w in restorer.words(text) if w in lexicon)
+        hits = sorted(restorer.words(text) & weighed)
         features = _features([lexicon[w] for w in hits])
         z = beta[0] + sum(b * x for b, x in zip(beta[1:], features, strict=True))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), hits
