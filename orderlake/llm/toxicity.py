@@ -28,7 +28,7 @@ LEXICON_WORDS = 2_000  # words the model keeps, best first
 MIN_DOCS = 3  # toxic labelled texts a word must be in to be kept
 MIN_WEIGHT = 2.0  # least weight of a word that is kept
 THRESHOLD = 0.3
-_CACHED = 200_000  # decoded tokens a task remembers
+_CACHED = 200_000  # decoded tokens a task remembers from text to text
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 # Look-alikes and the letters they stand for.
@@ -205,15 +205,13 @@ def decode_spaced(model: LetterModel, text: str) -> str:
 
 
 class _Remembered(dict):
-    """What a function gives for tokens; forgotten as a whole when it is full."""
+    """What a function gives for tokens."""
 
     def __init__(self, find: Callable):
         super().__init__()
         self.find = find
 
     def __missing__(self, token: bytes):
-        if len(self) >= _CACHED:
-            self.clear()
         found = self[token] = self.find(token)
         return found
 
@@ -229,7 +227,8 @@ class Restorer:
 
     def __init__(self, model: LetterModel, targets: tuple[str, ...] = ()):
         self.model = model
-        self.known, self.cores = _Remembered(self.token), _Remembered(self.core)
+        self.known, self.cores = _Remembered(self.learn), _Remembered(self.core)
+        self.begins: set[bytes] = set()  # known tokens that may begin a pulled-apart target
         self.targets = [w for w in targets if len(w) > 3]
         self.squeezed = {_DOUBLE.sub(rb"\1", w.encode()) for w in targets}
         self.whole = {w.encode() for w in self.targets if w.isascii() and w.isalpha()}
@@ -253,6 +252,11 @@ class Restorer:
         decoded = decode_spaced(self.model, text)
         return decoded.split() + [w for w in self.targets if w in decoded]
 
+    def learn(self, token: bytes) -> tuple[str, ...]:
+        if self.heads and self.core(token) in self.heads:
+            self.begins.add(token)
+        return self.token(token)
+
     def token(self, token: bytes) -> tuple[str, ...]:
         word = token.strip(b".,;:?")
         if word.isalpha():
@@ -273,6 +277,8 @@ class Restorer:
 
     def core(self, token: bytes) -> bytes:
         """The letters of a token that is one piece; nothing for others."""
+        if token.isalpha():
+            return token
         found = token.lstrip(_OPENING).rstrip(_CLOSING)
         if not found.isalpha():
             pieces = _SEPARATOR.split(_EDGE.sub(b"", _DECORATED.sub(b"", token)))
@@ -283,18 +289,18 @@ class Restorer:
     def joined(self, tokens: list[bytes]) -> set[str]:
         """Targets that neighbouring pieces of a text make up."""
         found: set[str] = set()
-        heads, parts = self.heads, self.parts
-        cores = list(map(self.cores.__getitem__, tokens))
-        pairs = enumerate(zip(cores, cores[1:], strict=False))
-        for at in [at for at, (a, b) in pairs if a in heads and b and a + b in parts]:
-            text = cores[at]
-            for end in range(at + 1, min(at + _PIECES, len(cores))):
-                piece = cores[end]
+        heads, parts, begins, cores = self.heads, self.parts, self.begins, self.cores
+        for at in [at for at, token in enumerate(tokens[:-1]) if token in begins]:
+            text, piece = cores[tokens[at]], cores[tokens[at + 1]]
+            if not piece or text + piece not in parts:
+                continue
+            for end in range(at + 1, min(at + _PIECES, len(tokens))):
+                piece = cores[tokens[end]]
                 if not piece or tokens[end - 1][-1] in _CLOSING or tokens[end][0] in _OPENING:
                     break
                 text += piece
                 if text in self.whole:
-                    pieces = [c.decode() for c in cores[at : end + 1]]
+                    pieces = [cores[token].decode() for token in tokens[at : end + 1]]
                     if is_one_word(self.model, pieces, _GAP, 0.0):
                         found.add(text.decode())
                 if text not in heads:
@@ -302,6 +308,11 @@ class Restorer:
         return found
 
     def words(self, text: bytes | None) -> set[str]:
+        if len(self.known) >= _CACHED:  # between texts, as ``begins`` serves a whole text
+            self.known.clear()
+            self.begins.clear()
+        if len(self.cores) >= _CACHED:
+            self.cores.clear()
         text, foreign = text or b"", set()
         if text.isascii():
             plain = text.lower()
