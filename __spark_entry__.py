@@ -77,22 +77,22 @@ def _typed(orders: DataFrame) -> DataFrame:
 
 @query
 def scan_csv(lk: Lake) -> DataFrame:
-    return readers.scan_csv(lk.spark, lk.raw_files["orders"], schemas.TYPED_ORDERS)
+    return readers.scan_csv(lk.spark, lk.raw_file("orders"), schemas.TYPED_ORDERS)
 
 
 @query
 def scan_json(lk: Lake) -> DataFrame:
-    return readers.scan_json(lk.spark, lk.formats["json"], schemas.RAW_ORDERS_PARTITIONED)
+    return readers.scan_json(lk.spark, lk.one_format("json"), schemas.RAW_ORDERS_PARTITIONED)
 
 
 @query
 def scan_parquet(lk: Lake) -> DataFrame:
-    return readers.scan_parquet(lk.spark, lk.formats["parquet_flat"])
+    return readers.scan_parquet(lk.spark, lk.one_format("parquet_flat"))
 
 
 @query
 def scan_partitioned(lk: Lake) -> DataFrame:
-    return readers.scan_partitioned(lk.spark, lk.formats["parquet"])
+    return readers.scan_partitioned(lk.spark, lk.one_format("parquet"))
 
 
 @query
@@ -103,15 +103,15 @@ def extract(lk: Lake) -> DataFrame:
         f"CREATE DATABASE IF NOT EXISTS orderlake_raw LOCATION '{scratch(spark, 'database')}'"
     )
     catalog.register_raw_csv(
-        spark, "orderlake_raw.customers_raw", lk.raw_files["customers"], schemas.RAW_CUSTOMERS
+        spark, "orderlake_raw.customers_raw", lk.raw_file("customers"), schemas.RAW_CUSTOMERS
     )
     catalog.register_raw_csv(
-        spark, "orderlake_raw.products_raw", lk.raw_files["products"], schemas.RAW_PRODUCTS
+        spark, "orderlake_raw.products_raw", lk.raw_file("products"), schemas.RAW_PRODUCTS
     )
     catalog.register_raw_csv(
         spark,
         "orderlake_raw.orders_raw",
-        lk.formats["csv"],
+        lk.one_format("csv"),
         schemas.RAW_ORDERS_PARTITIONED,
         partition_by=("year", "month", "day"),
     )
@@ -374,7 +374,7 @@ def top_customers_by_country(lk: Lake) -> DataFrame:
 
 @query
 def join_curated_to_raw_customers(lk: Lake) -> DataFrame:
-    customers = readers.scan_csv(lk.spark, lk.raw_files["customers"], schemas.RAW_CUSTOMERS)
+    customers = readers.scan_csv(lk.spark, lk.raw_file("customers"), schemas.RAW_CUSTOMERS)
     return analytics.buyers_by_country(lk.sales, customers)
 
 
@@ -382,11 +382,11 @@ def join_curated_to_raw_customers(lk: Lake) -> DataFrame:
 
 
 def _orders_raw(lk: Lake) -> DataFrame:
-    return readers.scan_partitioned(lk.spark, lk.formats["csv"], "csv")
+    return readers.scan_partitioned(lk.spark, lk.one_format("csv"), "csv")
 
 
 def _bench_orders(lk: Lake) -> DataFrame:
-    return _typed(readers.scan_partitioned(lk.spark, lk.formats["parquet"]))
+    return _typed(readers.scan_partitioned(lk.spark, lk.one_format("parquet")))
 
 
 @query

@@ -33,6 +33,8 @@ class Lake:
         self.spark = configure(spark)
         self.root = root
         self.feed = Feed.of(spark, root)
+        self._single_formats: dict[str, str] = {}
+        self._raw_files: dict[str, str] = {}
 
     @property
     def raw_orders(self) -> DataFrame:
@@ -77,6 +79,15 @@ class Lake:
         """The raw orders as CSV, JSON Lines and Parquet trees and as flat Parquet."""
         return write_formats(self.raw_orders, scratch(self.spark, "formats"))
 
+    def one_format(self, name: str) -> str:
+        """The raw orders in one of these encodings, the others left unwritten."""
+        if "formats" in self.__dict__:
+            return self.formats[name]
+        if name not in self._single_formats:
+            root = scratch(self.spark, "format")
+            self._single_formats |= write_formats(self.raw_orders, root, [name])
+        return self._single_formats[name]
+
     @cached_property
     def layouts(self) -> dict[str, str]:
         """Raw orders in day and in hour directories; an unreadable date is filed under hour 00."""
@@ -86,18 +97,18 @@ class Lake:
             self.raw_orders.withColumn("hour", hour), scratch(self.spark, "layout")
         )
 
-    @cached_property
-    def raw_files(self) -> dict[str, str]:
-        """Flat raw CSV files per table, as a source system delivers them."""
-        root = scratch(self.spark, "raw")
-        tables = {
-            "orders": self.feed.orders.select(*CLEAN_COLUMNS),
-            "customers": self.feed.customers,
-            "products": self.feed.products,
-        }
-        for name, frame in tables.items():
-            write_flat(frame, f"{root}/{name}", fmt="csv")
-        return {name: f"{root}/{name}" for name in tables}
+    def raw_file(self, name: str) -> str:
+        """The flat raw CSV files of one table, as a source system delivers them."""
+        if name not in self._raw_files:
+            tables = {
+                "orders": self.feed.orders.select(*CLEAN_COLUMNS),
+                "customers": self.feed.customers,
+                "products": self.feed.products,
+            }
+            path = f"{scratch(self.spark, 'raw')}/{name}"
+            write_flat(tables[name], path, fmt="csv")
+            self._raw_files[name] = path
+        return self._raw_files[name]
 
     @cached_property
     def product_deliveries(self) -> str:

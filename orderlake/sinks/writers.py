@@ -93,14 +93,24 @@ def write_flat(frame: DataFrame, path: str, *, fmt: str = "parquet") -> None:
     writer.save(path)
 
 
-def write_formats(orders: DataFrame, root: str) -> dict[str, str]:
-    """Orders as partitioned CSV, JSON Lines and Parquet, and as flat Parquet.
+FORMATS = ("csv", "json", "parquet", "parquet_flat")
 
-    The plan behind ``orders`` runs once, for the flat copy; the trees are written from that.
+
+def write_formats(
+    orders: DataFrame, root: str, names: Sequence[str] = FORMATS
+) -> dict[str, str]:
+    """Orders as partitioned CSV, JSON Lines and Parquet, and as flat Parquet; of these, ``names``.
+
+    The plan behind ``orders`` runs once: for the flat copy, where that is asked for, from which
+    the trees are written; else for the only tree.
     """
-    paths = {fmt: f"{root}/{fmt}/orders" for fmt in ("csv", "json", "parquet", "parquet_flat")}
-    write_flat(orders, paths["parquet_flat"])
-    landed = orders.sparkSession.read.schema(orders.schema).parquet(paths["parquet_flat"])
-    for fmt in ("csv", "json", "parquet"):
-        write_partitioned(landed, paths[fmt], fmt=fmt)
+    paths = {name: f"{root}/{name}/orders" for name in names}
+    trees = [name for name in names if name != "parquet_flat"]
+    landed = orders
+    if "parquet_flat" in names or len(trees) > 1:
+        flat = paths.get("parquet_flat", f"{root}/parquet_flat/orders")
+        write_flat(orders, flat)
+        landed = orders.sparkSession.read.schema(orders.schema).parquet(flat)
+    for name in trees:
+        write_partitioned(landed, paths[name], fmt=name)
     return paths
