@@ -141,11 +141,13 @@ def incremental_orders(lk: Lake) -> DataFrame:
 def admit_files(lk: Lake) -> DataFrame:
     """Order files amid files that must not be read: outside the prefix, not CSV, empty."""
     spark, root = lk.spark, scratch(lk.spark, "arrivals")
-    delivered = lk.feed.orders.select(*cleanse.CLEAN_COLUMNS, "delivery")
+    arrived, landed = lk.feed.orders.select(*cleanse.CLEAN_COLUMNS, "delivery"), scratch(spark, "landed")
+    arrived.write.parquet(landed)
+    delivered = spark.read.schema(arrived.schema).parquet(landed)
     delivered.write.partitionBy("delivery").option("header", True).csv(f"{root}/raw/orders")
     plain = delivered.drop("delivery")
     plain.write.option("header", True).csv(f"{root}/curated/orders/delivery=8")
-    plain.write.json(f"{root}/raw/orders/delivery=9")
+    plain.write.option("compression", "gzip").json(f"{root}/raw/orders/delivery=9")
     spark.range(0).write.csv(f"{root}/raw/orders/delivery=7")
     rows = admission.read_admitted(spark, root, schemas.RAW_ORDERS, "raw/orders/")
     return rows.groupBy(schema_checks.source_folder("delivery").alias("delivery")).agg(
