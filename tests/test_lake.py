@@ -44,3 +44,8 @@ def test_all_encodings_come_from_one_flat_copy(spark, monkeypatch):
     found = written(spark, monkeypatch, ["write_formats", "scan_json"])
     assert found == [("flat", "parquet", "orders"), "csv", "json", "parquet"]
 
+
+def test_json_is_compressed(spark):
+    lake = Lake(spark, SF_DIR)
+    files = [p.name for p in Path(lake.one_format("json")).rglob("part-*")]
+    assert files and all(name.endswith(".json.gz") for name in files)
