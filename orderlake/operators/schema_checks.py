@@ -123,18 +123,35 @@ def partition_mismatch(orders: DataFrame, ts: Column) -> DataFrame:
     )
 
 
+def _digest(texts: Sequence[str]) -> Column:
+    """SHA-256 over text columns: each its length and itself, so that no two rows spell the same."""
+    spelled = [
+        F.coalesce(F.concat(F.octet_length(name).cast("string"), F.lit(":"), name), F.lit("-"))
+        for name in texts
+    ]
+    return F.unhex(F.sha2(F.concat(*spelled), 256))
+
+
 def format_equality(encodings: dict[str, DataFrame]) -> DataFrame:
     """Do all encodings hold the same rows? (encoding, rows, rows_not_everywhere).
 
     All encodings are counted per distinct row in one grouping, so this is exact
-    for duplicates too and needs a single shuffle with map-side combination.
+    for duplicates too and needs a single shuffle with map-side combination. The
+    text columns of a row are one SHA-256 digest in it: nearly every row is a group of its
+    own, and a task holds all groups of its input.
     """
     names = list(encodings)
-    columns = encodings[names[0]].columns
     union = None
     for position, name in enumerate(names):
-        tagged = encodings[name].select(*columns).withColumn("_encoding", F.lit(position))
+        rows = encodings[name].select(*encodings[names[0]].columns)
+        texts = [f.name for f in rows.schema.fields if f.dataType == T.StringType()]
+        tagged = rows.select(
+            *[name for name in rows.columns if name not in texts],
+            *([_digest(texts).alias("_texts")] if texts else []),
+            F.lit(position).alias("_encoding"),
+        )
         union = tagged if union is None else union.unionByName(tagged)
+    columns = [name for name in union.columns if name != "_encoding"]
     per_row = union.groupBy(*columns).agg(
         *[F.count_if(F.col("_encoding") == i).alias(f"_n{i}") for i in range(len(names))]
     )

@@ -1,5 +1,6 @@
 import pytest
 
+from conftest import plan_of
 from orderlake.operators import quality, schema_checks
 from orderlake.operators.governance import governed_view
 from orderlake.operators.keys import key_skew
@@ -131,3 +132,15 @@ def test_governed_view_hides_new_columns_and_refuses_unknown_grants(spark):
 def test_key_skew(spark):
     even = key_skew(spark.range(64000).select(F.col("id").cast("string").alias("k")), "k").first()
     assert even.slices == 16 and even.skew < 1.2
+
+
+def test_format_equality_tells_texts_apart_and_groups_by_their_digest(spark):
+    rows = [("ab", "c", 1), ("a", "bc", 1), (None, "", 1), ("", None, 1), ("2:ab", "-", None)]
+    a = spark.createDataFrame(rows, "x string, y string, n int")
+    moved = [("abc", "", 1), ("", "abc", 1), ("", "", 1), (None, None, 1), ("2:ab", "-", 0)]
+    b = spark.createDataFrame(moved, "x string, y string, n int")
+    result = schema_checks.format_equality({"a": a, "b": b})
+    assert [tuple(r)[1:] for r in result.collect()] == [(5, 5), (5, 5)]
+    same = schema_checks.format_equality({"a": a, "b": a.repartition(2)}).collect()
+    assert [tuple(r)[1:] for r in same] == [(5, 0), (5, 0)]
+    assert "keys=[n#" in plan_of(result) and "_texts" in plan_of(result)
