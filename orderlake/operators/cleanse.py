@@ -167,7 +167,14 @@ def judge_orders(
     """Raw orders to annotated orders: deduplicate, clean and judge in one plan."""
     latest = deduplicate(orders.select(*CLEAN_COLUMNS))
     tidy = clean(latest, date_format=date_format, keep_raw=True)
-    return annotate(tidy, customers, products, statuses=statuses)
+    # Text that the typed value gives back need not travel through the joins.
+    again = {
+        "raw_order_date": F.date_format("order_date", date_format),
+        "raw_quantity": F.col("quantity").cast("string"),
+    }
+    spared = {name: F.nullif(F.col(name), text) for name, text in again.items()}
+    judged = annotate(tidy.withColumns(spared), customers, products, statuses=statuses)
+    return judged.withColumns({name: F.coalesce(name, text) for name, text in again.items()})
 
 
 def curated_sales(

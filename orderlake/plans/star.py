@@ -83,12 +83,12 @@ def write_star(sales: DataFrame, root: str, ranges: int | None = None) -> None:
     facts = star.fact_orders.repartitionByRange(*([ranges] if ranges else []), *keys)
     for name in ("dim_customer", "dim_product", "dim_date"):
         dimension = getattr(star, name)
-        dimension.sortWithinPartitions(dimension.columns[0]).write.mode("overwrite").parquet(
-            f"{root}/{name}"
-        )
-    facts.sortWithinPartitions("order_date", "order_id").write.mode("overwrite").parquet(
-        f"{root}/fact_orders"
-    )
+        _load(dimension.sortWithinPartitions(dimension.columns[0]), f"{root}/{name}")
+    _load(facts.sortWithinPartitions("order_date", "order_id"), f"{root}/fact_orders")
+
+
+def _load(table: DataFrame, path: str) -> None:
+    table.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 def publish_star(spark: SparkSession, root: str, database: str) -> Star:

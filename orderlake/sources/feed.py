@@ -49,11 +49,20 @@ def _pick(bucket: Column, planted: dict[int, Column], usual: Column) -> Column:
 
 def feed_orders(spark: SparkSession, root: str) -> DataFrame:
     """Raw orders, all text, with the delivery day as year/month/day and the delivery number."""
+    # Only what the feed needs of a column goes through the shuffle of the join.
     lines = table(spark, root, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_returnflag", "l_linestatus", "l_shipdate",
-    )
-    heads = table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+        "l_orderkey",
+        "l_partkey",
+        "l_linenumber",
+        F.col("l_quantity").cast("int").alias("quantity"),
+        F.pmod(F.unix_date(F.to_date("l_shipdate")), F.lit(DAYS)).alias("offset"),
+        (F.col("l_returnflag") == "R").alias("returned"),
+        (F.col("l_linestatus") == "F").alias("finished"),
+        (F.col("l_suppkey") % 10 == 0).alias("late"),
+    )
+    heads = table(spark, root, "orders").select(
+        "o_orderkey", "o_custkey", (F.col("o_orderstatus") == "P").alias("pending")
+    )
     # Both sides grow with the data: always a sort-merge join, which also spreads the
     # single row group of the small test files over all cores.
     joined = lines.join(heads.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -61,7 +70,7 @@ def feed_orders(spark: SparkSession, root: str) -> DataFrame:
     bucket = F.col("l_orderkey") % BUCKETS
     line = F.col("l_linenumber")
     order_id = F.concat(_padded("O", "l_orderkey", 12), F.lit("-"), line.cast("string"))
-    offset = F.pmod(F.unix_date(F.to_date("l_shipdate")), F.lit(DAYS))
+    offset = F.col("offset")
     delivered = F.date_add(F.lit(FIRST_DAY).cast("date"), offset)
     hour = F.lpad((F.col("l_orderkey") % 24).cast("string"), 2, "0")
     stamp = F.concat(F.date_format(delivered, "yyyy-MM-dd"), F.lit(" "), hour, F.lit(":30:00"))
@@ -70,12 +79,12 @@ def feed_orders(spark: SparkSession, root: str) -> DataFrame:
         .when(line % 3 == 1, F.date_format(delivered, "yyyy-MM-dd"))
         .otherwise(F.lit("2026-02-30 10:00:00"))
     )
-    quantity = F.col("l_quantity").cast("int").cast("string")
+    quantity = F.col("quantity").cast("string")
     status = (
         F.when(F.col("l_orderkey") % 17 == 5, "CANCELLED")
-        .when(F.col("l_returnflag") == "R", "RETURNED")
-        .when(F.col("o_orderstatus") == "P", "PENDING")
-        .when(F.col("l_linestatus") == "F", "DELIVERED")
+        .when(F.col("returned"), "RETURNED")
+        .when(F.col("pending"), "PENDING")
+        .when(F.col("finished"), "DELIVERED")
         .otherwise("SHIPPED")
     )
     spelled = (
@@ -107,7 +116,7 @@ def feed_orders(spark: SparkSession, root: str) -> DataFrame:
         _pick(bucket, {4: F.when(line != 1, F.lit("LOST"))}, spelled).alias("status"),
         *date_parts(delivered),
         # Every tenth supplier reports late; the others in two half windows.
-        F.when(F.col("l_suppkey") % 10 == 0, 3)
+        F.when(F.col("late"), 3)
         .when(offset < DAYS // 2, 1)
         .otherwise(2)
         .alias("delivery"),
