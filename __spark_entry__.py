@@ -306,10 +306,6 @@ def clean(lk: Lake) -> DataFrame:
     return cleanse.clean(deduplicate(lk))
 
 
-def _judged(lk: Lake) -> DataFrame:
-    return cleanse.judge_orders(lk.feed.orders, lk.feed.customers, lk.feed.products)
-
-
 @query
 def validate_valid(lk: Lake) -> DataFrame:
     return cleanse.validate(clean(lk), lk.feed.customers, lk.feed.products)[0]
@@ -332,7 +328,9 @@ def curated_sales(lk: Lake) -> DataFrame:
 
 @query
 def reconcile_(lk: Lake) -> DataFrame:
-    return reconcile.reconcile(lk.feed.orders, _judged(lk), lk.sales)
+    orders = lk.landed_orders
+    judged = cleanse.judge_orders(orders, lk.feed.customers, lk.feed.products)
+    return reconcile.reconcile(orders, judged, lk.sales)
 
 
 @query

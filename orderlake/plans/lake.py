@@ -16,7 +16,7 @@ from orderlake import schemas
 from orderlake.contract import ORDER_DATE_FORMAT
 from orderlake.functions.scalars import blank_to_null, parse_timestamp
 from orderlake.operators.cleanse import CLEAN_COLUMNS, curated_sales
-from orderlake.plans.job import LakePaths, run_curated_sales
+from orderlake.plans.job import STAGE_COMPRESSION, LakePaths, run_curated_sales
 from orderlake.plans.star import Star, read_star, write_star
 from orderlake.session import configure, scratch
 from orderlake.sinks.layout import write_daily_and_hourly
@@ -46,12 +46,23 @@ class Lake:
         """The sales fact as one lazy plan from the supplied tables."""
         return curated_sales(self.feed.orders, self.feed.customers, self.feed.products)
 
+    @cached_property
+    def landed_orders(self) -> DataFrame:
+        """The feed's orders written once, for a query that goes through them more than once."""
+        path = scratch(self.spark, "orders")
+        self.feed.orders.write.option("compression", STAGE_COMPRESSION).parquet(path)
+        return self.spark.read.schema(self.feed.orders.schema).parquet(path)
+
+    @property
+    def _orders(self) -> DataFrame:
+        return self.landed_orders if "landed_orders" in self.__dict__ else self.feed.orders
+
     @cached_property
     def published(self) -> LakePaths:
         """A full run of the job: curated, quarantine and reconciliation on storage."""
         paths = LakePaths.below(self.spark, scratch(self.spark, "lake"))
         run_curated_sales(
-            self.feed.orders.select(*CLEAN_COLUMNS),
+            self._orders.select(*CLEAN_COLUMNS),
             self.feed.customers,
             self.feed.products,
             paths,

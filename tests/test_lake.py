@@ -1,9 +1,10 @@
 from pathlib import Path
 
 import __spark_entry__ as entry_point
-from conftest import SF_DIR
+from conftest import SF_DIR, plan_of
 from orderlake.plans.lake import Lake
 from orderlake.sinks import writers
+from orderlake.sources.feed import feed_orders
 
 
 def written(spark, monkeypatch, names):
@@ -49,3 +50,17 @@ def test_json_is_compressed(spark):
     lake = Lake(spark, SF_DIR)
     files = [p.name for p in Path(lake.one_format("json")).rglob("part-*")]
     assert files and all(name.endswith(".json.gz") for name in files)
+
+
+def test_the_feed_shuffles_only_what_it_needs(spark):
+    lines = plan_of(feed_orders(spark, SF_DIR)).splitlines()
+    below_join = [line for line in lines if "Project [l_orderkey#" in line]
+    assert below_join and all(" AS late#" in line for line in below_join)
+
+
+def test_reconcile_goes_through_the_feed_once(spark):
+    lake = Lake(spark, SF_DIR)
+    assert "l_orderkey" not in plan_of(entry_point._REGISTRY["reconcile"](lake))
+    assert lake.landed_orders.exceptAll(lake.feed.orders).isEmpty()
+    assert lake.landed_orders.count() == lake.feed.orders.count()
+    assert all(".zstd." in name for name in lake.landed_orders.inputFiles())
