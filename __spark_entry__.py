@@ -700,13 +700,14 @@ def layout_stats(lk: Lake) -> DataFrame:
 def full_rebuild(lk: Lake) -> DataFrame:
     """The fact after two full runs; in the first, a third of the orders lay a year earlier."""
     paths = LakePaths.below(lk.spark, scratch(lk.spark, "rebuilt"))
-    late = lk.feed.orders.withColumn(
+    landed = lk.landed_orders
+    late = landed.withColumn(
         "order_date",
         F.when(F.col("delivery") == 3, F.regexp_replace("order_date", "2026", "2025")).otherwise(
             F.col("order_date")
         ),
     )
-    for run_id, orders in (("first", late), ("second", lk.feed.orders)):
+    for run_id, orders in (("first", late), ("second", landed)):
         run_curated_sales(
             orders.select(*cleanse.CLEAN_COLUMNS),
             lk.feed.customers,
