@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.contract import Contract
-from orderlake.plans.job import LakePaths, run_curated_sales
+from orderlake.plans.job import STAGE_COMPRESSION, LakePaths, run_curated_sales
 from orderlake.schemas import RAW_ORDERS
 
 # More days than have passed since 1970: an archive restored with a zero date is still read.
@@ -81,7 +81,7 @@ def run_incremental(
     def step(batch: DataFrame, batch_id: int) -> None:
         run_id = f"{name}-{_stream_id(spark, checkpoint)}-{batch_id:09d}"
         landed = f"{paths.work}/{run_id}/landed"
-        batch.write.mode("overwrite").parquet(landed)
+        batch.write.mode("overwrite").option("compression", STAGE_COMPRESSION).parquet(landed)
         report = run_curated_sales(
             spark.read.schema(RAW_ORDERS).parquet(landed),
             customers(spark),
@@ -90,6 +90,7 @@ def run_incremental(
             run_id,
             contract=contract,
             merge=True,
+            landed=True,
         )
         handled.append(report["source_rows"])
 

@@ -323,3 +323,40 @@ def test_command_line_incremental_run(spark, tmp_path):
     assert main(["--lake", root, "--incremental"], spark) == 2
     assert main(["--lake", root, "--incremental"], spark) == 0
     assert read_curated(spark, f"{root}/curated/sales").count() == 1
+
+
+def staged_files(path):
+    return sorted(
+        name for _, _, files in os.walk(path) for name in files if name.endswith(".parquet")
+    )
+
+
+def test_staged_tables_are_small_and_keep_rejected_text(spark, paths, monkeypatch):
+    monkeypatch.setattr(job, "discard", lambda *_: None)
+    rows = [
+        order("A"),
+        order("B", quantity=" 3", customer="K9"),
+        order("C", quantity="3", customer="K9"),
+        order("D", date="11/08/2026", quantity=None),
+        order("E", date=None, quantity="x"),
+    ]
+    assert run(spark, paths, "r1", *rows, merge=False)["balanced"]
+    found = staged_files(f"{paths.work}/r1")
+    assert found and all(".zstd." in name for name in found)
+    kept = spark.read.schema(schemas.QUARANTINE_RUNS).parquet(paths.quarantine).collect()
+    assert {r.order_id: (r.raw_order_date, r.raw_quantity) for r in kept} == {
+        "B": ("2026-08-11 09:15:00", " 3"),
+        "C": ("2026-08-11 09:15:00", "3"),
+        "D": ("11/08/2026", None),
+        "E": (None, "x"),
+    }
+
+
+def test_a_delivery_is_landed_once(spark, paths, tmp_path, monkeypatch):
+    monkeypatch.setattr(job, "discard", lambda *_: None)
+    write_flat(orders(spark, order("A"), order("B")), str(tmp_path / "raw"), fmt="csv")
+    args = str(tmp_path / "raw"), customers, products, paths, str(tmp_path / "checkpoint")
+    assert run_incremental(spark, *args) == 2
+    (run_id,) = os.listdir(paths.work)
+    assert sorted(os.listdir(f"{paths.work}/{run_id}")) == ["judged", "landed"]
+    assert quantities(spark, paths) == {"A": ("11", 2), "B": ("11", 2)}
