@@ -11,8 +11,9 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ LEXICON_WORDS = 2_000  # words the model keeps, best first
 MIN_DOCS = 3  # toxic labelled texts a word must be in to be kept
 MIN_WEIGHT = 2.0  # least weight of a word that is kept
 THRESHOLD = 0.3
-_CACHED = 200_000  # decoded tokens a task remembers from text to text
+_CACHED = 300_000  # tokens a task remembers from text to text
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 # Look-alikes and the letters they stand for.
@@ -76,9 +77,36 @@ _UNSPACED = regex.compile(
 )
 _REPEATED = regex.compile(r"(.)\1\1+")
 _OPENING, _CLOSING = b"\"'([{<", b".,;:?!\"')]}>"
-_CODES = np.zeros(256, dtype=np.int64)
-for _place, _letter in enumerate(_LETTERS):
-    _CODES[ord(_letter)] = _CODES[ord(_letter.upper())] = _place + 1
+_STOPS = b".,;:?"
+_RUN = re.compile(rb"([\x80-\xff]+)")
+_LONG_RUN = 24  # bytes; longer runs are not remembered
+# Bytes of text to letter codes, 0 for all that is no letter.
+_CODES = bytes((b | 32) - 96 if chr(b).isascii() and chr(b).isalpha() else 0 for b in range(256))
+_COUNTED = 1 << 20  # bytes of text whose letters are counted at once
+
+# What a token is good for, as bits: it may begin a pulled-apart target; it may continue one; it
+# may be part of a match of _SPACED; it may be one with two symbols or more in it.
+_BEGINS, _CONTINUES, _LOOSE, _DENSE = 1, 2, 4, 8
+_HEAD = 8  # letters of a token that are compared with the inside of targets
+
+
+def _kinds(bits: int) -> bytes:
+    """A character class of the token kinds with one of these bits."""
+    return b"[%b]" % re.escape(bytes(kind for kind in range(16) if kind & bits))
+
+
+# A match over three tokens and more has three loose ones in a row; with fewer, one is dense.
+_MAY_BE_SPACED = re.compile(b"%b{3}|%b" % (_kinds(_LOOSE), _kinds(_DENSE)))
+# Tokens that a match of _SPACED may begin in, end in or go through.
+_MAY_BE_LOOSE = re.compile(
+    rf"(?:^|[\"'(\[{{<])[a-z{_SYMBOLS}](?:[.\-_*/][a-z{_SYMBOLS}])*[.\-_*/]?$"
+    rf"|^[.\-_*/]?[a-z{_SYMBOLS}](?:[.\-_*/][a-z{_SYMBOLS}])*(?:[.\-_*/.,;:?!\"')\]}}>]|$)"
+    r"|^[.\-_*/]{1,2}$".encode()
+)
+_MAY_BE_DENSE = re.compile(
+    rf"(?:^|[\"'(\[{{<])[.\-_*/]?[a-z{_SYMBOLS}][.\-_*/][a-z{_SYMBOLS}]"
+    r"(?:[.\-_*/.,;:?!\"')\]}>]|$)".encode()
+)
 
 
 def unmarked(text: bytes) -> str:
@@ -91,9 +119,41 @@ def unmarked(text: bytes) -> str:
     return plain
 
 
+class _Folded(dict):
+    """Runs of characters beyond ASCII to ``folded`` ones, None where they hold other alphabets.
+
+    No run depends on what is around it: marks stay within runs, and look-alikes give None.
+    """
+
+    def __missing__(self, run: bytes) -> bytes | None:
+        plain = unmarked(run)
+        found = None if _FOREIGN.search(plain) else _ascii(plain)
+        if len(run) <= _LONG_RUN:
+            if len(self) >= _CACHED:
+                self.clear()
+            self[run] = found
+        return found
+
+
+_folded_runs = _Folded()
+
+
+def _latin(text: bytes) -> bytes | None:
+    """``folded`` text, or None if it has letters of other alphabets."""
+    if text.isascii():
+        return text.lower()
+    parts = _RUN.split(text.lower())
+    runs = list(map(_folded_runs.__getitem__, parts[1::2]))
+    if None in runs:
+        return None
+    parts[1::2] = runs
+    return b"".join(parts).replace(b"?", b" ")
+
+
 def folded(text: bytes) -> bytes:
     """``unmarked`` text in ASCII; letters of other alphabets become spaces."""
-    return text.lower() if text.isascii() else _ascii(unmarked(text))
+    plain = _latin(text)
+    return _ascii(unmarked(text)) if plain is None else plain
 
 
 def _ascii(plain: str) -> bytes:
@@ -222,18 +282,30 @@ class Restorer:
     ``targets`` are words worth a closer look: a token of plain letters with doubled ones is
     decoded if it could be one of them, and they are also looked for inside pulled-apart words,
     which may have run into a neighbour. Neighbouring pieces that make up one of them are that
-    word if the letter model reads them cheaper joined than apart.
+    word if the letter model reads them cheaper joined than apart. With ``only_targets`` other
+    words are left out.
     """
 
-    def __init__(self, model: LetterModel, targets: tuple[str, ...] = ()):
+    def __init__(
+        self, model: LetterModel, targets: tuple[str, ...] = (), only_targets: bool = False
+    ):
         self.model = model
-        self.known, self.cores = _Remembered(self.learn), _Remembered(self.core)
-        self.begins: set[bytes] = set()  # known tokens that may begin a pulled-apart target
+        self.told = _Remembered(self.learn)  # words of tokens
+        self.dull: set[bytes] = set()  # tokens without a target, kept here if only targets count
+        self.kinds: dict[bytes, int] = {}  # of tokens that are of any
+        self.cores: dict[bytes, bytes] = {}  # letters of tokens that begin or continue a target
+        self.only = frozenset(targets) if only_targets else None
         self.targets = [w for w in targets if len(w) > 3]
         self.squeezed = {_DOUBLE.sub(rb"\1", w.encode()) for w in targets}
         self.whole = {w.encode() for w in self.targets if w.isascii() and w.isalpha()}
         self.heads = {w[:k] for w in self.whole for k in range(1, len(w))}
         self.parts = self.heads | self.whole
+        self.inside = {
+            w[at : at + k]
+            for w in self.whole
+            for at in range(1, len(w))
+            for k in range(1, _HEAD + 1)
+        }
 
     def piece(self, piece: bytes) -> tuple[str, ...]:
         if piece.isalpha():
@@ -253,52 +325,65 @@ class Restorer:
         return decoded.split() + [w for w in self.targets if w in decoded]
 
     def learn(self, token: bytes) -> tuple[str, ...]:
-        if self.heads and self.core(token) in self.heads:
-            self.begins.add(token)
-        return self.token(token)
-
-    def token(self, token: bytes) -> tuple[str, ...]:
-        word = token.strip(b".,;:?")
+        """The words of a token that count; its kind and letters are noted."""
+        words, core = self.read(token)
+        kind = 0
+        if self.heads and core:
+            if core in self.heads and token[-1] not in _CLOSING:
+                kind |= _BEGINS
+            if core[:_HEAD] in self.inside and token[0] not in _OPENING:
+                kind |= _CONTINUES
+            if kind:
+                self.cores[token] = core
+        word = token.strip(_STOPS)
+        if len(word) < 2 or not word.isalpha():
+            if _MAY_BE_LOOSE.search(token):
+                kind |= _LOOSE
+            if _MAY_BE_DENSE.search(token):
+                kind |= _DENSE
+        if kind:
+            self.kinds[token] = kind
+        if self.only is None:
+            return words
+        return tuple([word for word in words if word in self.only])
+
+    def read(self, token: bytes) -> tuple[tuple[str, ...], bytes]:
+        """The words of a token, and its letters if it is one piece."""
+        word = token if token.isalpha() else token.strip(_STOPS)
         if word.isalpha():
-            return self.piece(word)
-        core = _EDGE.sub(b"", _DECORATED.sub(b"", token))
-        if not _HAS_LETTER.search(core):
-            return ()
-        pieces = [p for p in _SEPARATOR.split(core) if p]
+            words = self.piece(word)
+            return words, word if token[0] == word[0] else words[-1].encode()
+        body = _EDGE.sub(b"", _DECORATED.sub(b"", token))
+        if not _HAS_LETTER.search(body):
+            return (), b""
+        core = token.lstrip(_OPENING).rstrip(_CLOSING)
+        if not core.isalpha():
+            core = b""
+        pieces = [p for p in _SEPARATOR.split(body) if p]
         if len(pieces) > 2 and all(len(p) == 1 for p in pieces):
-            return tuple(self.spaced(" ".join(p.decode() for p in pieces)))
+            return tuple(self.spaced(" ".join(p.decode() for p in pieces))), core
         read = [self.piece(p) for p in pieces]
+        if len(read) == 1:
+            return read[0], core or read[0][-1].encode()
         words = tuple(word for found in read for word in found)
         first = [found[0] for found in read if found]
         if len(first) > 1 and (joined := "".join(first)).encode() in self.whole:
             if is_one_word(self.model, first, _JOIN, _SPLIT):
-                return (*words, joined)
-        return words
-
-    def core(self, token: bytes) -> bytes:
-        """The letters of a token that is one piece; nothing for others."""
-        if token.isalpha():
-            return token
-        found = token.lstrip(_OPENING).rstrip(_CLOSING)
-        if not found.isalpha():
-            pieces = _SEPARATOR.split(_EDGE.sub(b"", _DECORATED.sub(b"", token)))
-            read = self.piece(pieces[0]) if len(pieces) == 1 else ()
-            found = read[-1].encode() if read else b""
-        return found
+                words = (*words, joined)
+        return words, core
 
-    def joined(self, tokens: list[bytes]) -> set[str]:
+    def joined(self, tokens: list[bytes], kinds: bytes) -> set[str]:
         """Targets that neighbouring pieces of a text make up."""
         found: set[str] = set()
-        heads, parts, begins, cores = self.heads, self.parts, self.begins, self.cores
-        for at in [at for at, token in enumerate(tokens[:-1]) if token in begins]:
-            text, piece = cores[tokens[at]], cores[tokens[at + 1]]
-            if not piece or text + piece not in parts:
-                continue
+        heads, parts, cores = self.heads, self.parts, self.cores
+        bits = np.frombuffer(kinds, dtype=np.uint8)
+        places = np.flatnonzero((bits[:-1] & _BEGINS > 0) & (bits[1:] & _CONTINUES > 0)).tolist()
+        for at in [k for k in places if cores[tokens[k]] + cores[tokens[k + 1]] in parts]:
+            text = cores[tokens[at]]
             for end in range(at + 1, min(at + _PIECES, len(tokens))):
-                piece = cores[tokens[end]]
-                if not piece or tokens[end - 1][-1] in _CLOSING or tokens[end][0] in _OPENING:
+                if not kinds[end] & _CONTINUES or tokens[end - 1][-1] in _CLOSING:
                     break
-                text += piece
+                text += cores[tokens[end]]
                 if text in self.whole:
                     pieces = [cores[token].decode() for token in tokens[at : end + 1]]
                     if is_one_word(self.model, pieces, _GAP, 0.0):
@@ -308,24 +393,31 @@ class Restorer:
         return found
 
     def words(self, text: bytes | None) -> set[str]:
-        if len(self.known) >= _CACHED:  # between texts, as ``begins`` serves a whole text
-            self.known.clear()
-            self.begins.clear()
-        if len(self.cores) >= _CACHED:
-            self.cores.clear()
-        text, foreign = text or b"", set()
-        if text.isascii():
-            plain = text.lower()
-        else:
+        # between texts, as what is noted serves a whole text
+        if len(self.told) + len(self.dull) >= _CACHED:
+            for noted in (self.told, self.dull, self.kinds, self.cores):
+                noted.clear()
+        text, found = text or b"", set()
+        plain = _latin(text)
+        if plain is None:
             letters = unmarked(text)
-            plain, foreign = _ascii(letters), _foreign(letters)
+            plain, found = _ascii(letters), _foreign(letters)
         tokens = plain.split()
-        found = set(chain.from_iterable(map(self.known.__getitem__, set(tokens))))
-        for match in _SPACED.finditer(plain):
-            found.update(self.spaced(match[0].decode()))
+        telling = set(tokens)
+        if self.only is not None:
+            telling -= self.dull
+            for token in [token for token in telling if not self.told[token]]:
+                del self.told[token]
+                self.dull.add(token)
+                telling.remove(token)
+        found.update(chain.from_iterable(map(self.told.__getitem__, telling)))
+        kinds = bytes(map(self.kinds.get, tokens, repeat(0)))
+        if _MAY_BE_SPACED.search(kinds):
+            for match in _SPACED.finditer(plain):
+                found.update(self.spaced(match[0].decode()))
         if self.heads:
-            found |= self.joined(tokens)
-        return found | foreign
+            found |= self.joined(tokens, kinds)
+        return found if self.only is None else found & self.only
 
 
 def restore(model: LetterModel, text: str) -> str:
@@ -334,23 +426,33 @@ def restore(model: LetterModel, text: str) -> str:
     plain = _SPACED.sub(
         lambda m: decode_spaced(model, m[0].decode()).encode(), folded(text.encode())
     )
-    return " ".join(w for t in plain.split() for w in restorer.token(t)[:1])
+    return " ".join(w for t in plain.split() for w in restorer.read(t)[0][:1])
 
 
 def letter_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Trigram counts over all texts: at most 27^3 sums reach the driver, whatever the input."""
 
+    def counted(texts: list[bytes]) -> np.ndarray:
+        codes = (b"  " + b" ".join(texts) + b" ").translate(_CODES)
+        codes = np.frombuffer(codes, dtype=np.uint8)
+        # behind a boundary nothing is remembered
+        codes = codes[(codes > 0) | np.append(True, codes[:-1] > 0)]
+        codes = np.append(np.uint8(0), codes).astype(np.int16)
+        one, two = codes[1:-1], codes[:-2] * (codes[1:-1] > 0)
+        return np.bincount(two * 729 + one * 27 + codes[2:], minlength=27**3)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(27**3, dtype=np.int64)
+        held, size = [], 0
         for batch in batches:
             for text in texts_of(batch, "text"):
                 if text:
-                    codes = _CODES[np.frombuffer(b"  " + folded(text) + b" ", dtype=np.uint8)]
-                    # behind a boundary nothing is remembered
-                    codes = np.append(0, codes[(codes > 0) | np.append(True, codes[:-1] > 0)])
-                    one, two = codes[1:-1], codes[:-2] * (codes[1:-1] > 0)
-                    codes = two * 729 + one * 27 + codes[2:]
-                    total += np.bincount(codes, minlength=27**3)
+                    held.append(folded(text))
+                    size += len(text)
+                if size >= _COUNTED:
+                    total += counted(held)
+                    held, size = [], 0
+        total += counted(held)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(seen), pa.array(total[seen])], names=["code", "n"]
@@ -442,22 +544,33 @@ def train(
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(LetterModel(counts))
+        seen = Counter(), Counter()  # texts of either label, by word
+
+        def told() -> Iterator[pa.RecordBatch]:
+            for toxic, texts in enumerate(seen):
+                n = pa.array(list(texts.values()), pa.int64())
+                none = pa.array(np.zeros(len(texts), dtype=np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(texts), pa.string()), *((none, n) if toxic == 0 else (n, none))],
+                    names=["word", "bad", "good"],
+                )
+                texts.clear()
+
         for batch in batches:
             for toxic, text in zip(
                 batch.column("toxic").to_pylist(), texts_of(batch, "text"), strict=True
             ):
-                found = list(restorer.words(text))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found), pa.array([toxic] * len(found), pa.int32())],
-                    names=["word", "toxic"],
-                )
+                seen[toxic].update(restorer.words(text))
+                if len(seen[toxic]) >= _CACHED:
+                    yield from told()
+        yield from told()
 
-    schema = "word string, toxic int"
+    schema = "word string, bad long, good long"
     seen = (
         sample.select("text", F.col("toxic").cast("int"))
         .mapInArrow(words, schema)
         .groupBy("word")
-        .agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
+        .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
         .where(f"bad >= {MIN_DOCS}")
     )
     texts = {row["toxic"]: row["count"] for row in sample.groupBy(F.col("toxic").cast("int").alias("toxic")).count().collect()}
@@ -476,7 +589,7 @@ def train(
     kept = {row["word"]: (row["bad"], row["good"]) for row in best.collect()}
 
     def one(restorer, toxic, text):
-        pairs = [kept[w] for w in restorer.words(text) if w in kept]
+        pairs = [kept[w] for w in restorer.words(text)]
         rest = (bad - toxic, good - 1 + toxic)
         # a word found only with the words to look for was not counted for this text
         left = [(max(b - toxic, 0), max(g - 1 + toxic, 0)) for b, g in pairs]
@@ -491,7 +604,7 @@ def train(
         "toxic int, a double, b double, c double",
         ["toxic", "text"],
         one,
-        lambda: Restorer(LetterModel(counts), tuple(kept)),
+        lambda: Restorer(LetterModel(counts), tuple(kept), only_targets=True),
     ).collect()
     rows = np.array([tuple(row) for row in found], dtype=np.float64)
     beta = _logistic(rows[:, 1:], rows[:, 0]).tolist()
@@ -503,12 +616,11 @@ def train(
 def _setup(sent):
     """Per task: what turns a text into (score, words that spoke for toxicity)."""
     model = sent.value
-    restorer = Restorer(LetterModel(model["counts"]), tuple(model["lexicon"]))
     lexicon, beta = model["lexicon"], model["beta"]
-    weighed = frozenset(lexicon)
+    restorer = Restorer(LetterModel(model["counts"]), tuple(lexicon), only_targets=True)
 
     def judge(text: bytes | None) -> tuple[float, list[str]]:
-        hits = sorted(restorer.words(text) & weighed)
+        hits = sorted(restorer.words(text))
         features = _features([lexicon[w] for w in hits])
         z = beta[0] + sum(b * x for b, x in zip(beta[1:], features, strict=True))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), hits

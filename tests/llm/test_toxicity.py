@@ -165,3 +165,59 @@ def test_awkward_rows(awkward, no_docs, tables, model):  # noqa: F811
     untaught = toxicity.train(no_docs, labels.where("false"))
     assert toxicity.score(awkward, untaught).select("score").distinct().count() == 1
     assert toxicity.score(awkward, toxicity.train(awkward, labels.where("false"))).count() == 11
+
+
+def shuffled_texts(n):
+    draw = random.Random(5)
+    words = [*RUDE, "the", "a", "i", "y", "well", "of", "mo", "ron", "wor", "дом", "é", "naïve", "Σ"]
+    marks = [" ", " ", " ", "  ", "\t", "\n", ".", "-", "*", "/", " . ", ", ", '"', "(", "!", "***", "\u0301"]
+    for _ in range(n):
+        parts = []
+        for _ in range(draw.randint(1, 12)):
+            word = draw.choice(words)
+            word = draw.choice([word, word, word.translate(LEET), draw.choice(marks).join(word), word[0]])
+            parts += [word.upper() if draw.random() < 0.1 else word, draw.choice(marks)]
+        yield "".join(parts)
+
+
+def test_scoring_reads_only_what_may_be_a_target(model, monkeypatch):
+    letters, targets = toxicity.LetterModel(model["counts"]), tuple(model["lexicon"])
+    every = toxicity.Restorer(letters, targets)
+    some = toxicity.Restorer(letters, targets, only_targets=True)
+    found = 0
+    for text in shuffled_texts(2_000):
+        words = some.words(text.encode())
+        assert words == every.words(text.encode()) & set(targets)
+        found += bool(words)
+    assert found > 500
+    some = toxicity.Restorer(letters, targets, only_targets=True)
+    monkeypatch.setattr(toxicity, "_SPACED", None)  # not run over texts without lone symbols
+    assert some.words(b"These are well-known, plain words; (more) of 1999...") == set()
+    assert not some.told and len(some.dull) == 8
+
+
+def test_spaced_words_are_found_wherever_they_stand(model):
+    restorer = toxicity.Restorer(toxicity.LetterModel(model["counts"]), tuple(model["lexicon"]))
+    spaced = 0
+    for text in shuffled_texts(2_000):
+        words = restorer.words(text.encode())
+        for match in toxicity._SPACED.finditer(toxicity.folded(text.encode())):
+            assert words.issuperset(restorer.spaced(match[0].decode()))
+            spaced += 1
+    assert spaced > 200
+
+
+def test_runs_beyond_ascii_fold_as_whole_texts_do():
+    odd = ["\u212a", "\u0130", "\u03a3\u03a3", "\ufb01", "\u00a0", "\u2026", "\u1ec7\u0323", "\U0001d400", "?", "\u0431\u043e"]
+    texts = [a + b + c + d for a, b, c, d in itertools.product(["", "Ab"], odd, ["", "c\u0301"], odd)]
+    for text in [*texts, *shuffled_texts(500)]:
+        whole = toxicity._ascii(toxicity.unmarked(text.encode()))
+        assert toxicity.folded(text.encode()) == (text.lower().encode() if text.isascii() else whole)
+
+
+def test_empty_texts_are_learned_from(spark):
+    rows = [(k, [None, "", "12 34"][k % 3] if k % 4 == 0 else f"{'idiot' if k % 7 == 0 else 'fine'} {k}", int(k % 7 == 0)) for k in range(210)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int").coalesce(1)
+    model = toxicity.train(docs, docs.select("doc_id", "toxic"))
+    assert set(model["lexicon"]) == {"idiot"}
+    assert toxicity.score(docs, model).where("score is not null").count() == 210
