@@ -25,6 +25,7 @@ _WORD_TABLE = bytes(
 
 
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_FILE_ROWS = 1 << 16  # of a narrow table whose size is known: fewer files than its shuffle has parts
 
 
 def plain_words(text: bytes) -> list[bytes]:
@@ -88,27 +89,38 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def in_parts(frame: DataFrame, rows: int) -> DataFrame:
+    """``frame``, a few numbers a row and about ``rows`` of them, in no more parts than that takes.
+
+    A table of a few thousand rows in hundreds of files costs more than its rows do: a local file
+    system without Hadoop's native library starts three processes for each file. Parts are only
+    put together, so a large table stays as its shuffle has dealt it.
+    """
+    return frame.coalesce(max(1, -(-rows // _FILE_ROWS)))
+
+
 def _fingerprint(links: DataFrame) -> tuple:
     row = links.agg(F.count("*"), F.expr("bit_xor(xxhash64(child, root))")).first()
     return tuple(row)
 
 
-def connected(links: DataFrame) -> DataFrame:
+def connected(links: DataFrame, rows: int | None = None) -> DataFrame:
     """Components of an undirected graph: (node, root) with root the smallest reachable node.
 
     ``links`` has two columns ``a`` and ``b`` of one orderable type. Alternating large-star and
     small-star rounds (Kiveris et al., 2014) rewire every node to the smallest neighbour it
     knows; a round is two aggregations with map-side combination and two joins whose hot side
-    AQE can split. Rounds are written to the shared folder and end when nothing changes.
+    AQE can split. Rounds are written to the shared folder, in as many files as their links take,
+    and end when nothing changes.
     Nodes without a link do not appear; nulls and self-links are ignored; an empty input gives
-    an empty result.
+    an empty result. ``rows``: how many rows ``links`` has, if that is known.
     """
-    current = stored(
+    current = (
         links.where("a != b")
         .select(F.greatest("a", "b").alias("child"), F.least("a", "b").alias("root"))
-        .distinct(),
-        "links",
+        .distinct()
     )
+    current = stored(current if rows is None else in_parts(current, rows), "links")
     before = _fingerprint(current)
     if before[0] == 0:
         return current.select(F.col("child").alias("node"), "root")
@@ -124,7 +136,7 @@ def connected(links: DataFrame) -> DataFrame:
             .where("child != root")
             .distinct()
         )
-        large = stored(large, "links")
+        large = stored(in_parts(large, before[0]), "links")
         lowest = large.groupBy("child").agg(F.min("root").alias("low"))
         small = large.join(lowest, "child").select(
             F.explode(
@@ -134,7 +146,8 @@ def connected(links: DataFrame) -> DataFrame:
                 )
             ).alias("link")
         )
-        current = stored(small.select("link.*").where("child != root").distinct(), "links")
+        small = small.select("link.*").where("child != root").distinct()
+        current = stored(in_parts(small, 2 * before[0]), "links")
         after = _fingerprint(current)
         if after == before:
             return current.select(F.col("child").alias("node"), "root")

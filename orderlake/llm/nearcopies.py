@@ -241,7 +241,7 @@ def _links(docs: DataFrame, nodes: DataFrame, text_col: str, similarity: float)
     )
     texts = stored(texts, "near-texts")
     linked = stored(_verified(hashed, texts, similarity), "near-simhash-links")
-    group = stored(connected(linked), "near-simhash-members")
+    group = connected(linked, linked.count())
     star = shared.select("node", F.explode(F.array("low", "high")).alias("end"))
     first = star.where("node != end").select(
         F.least("node", "end").alias("a"), F.greatest("node", "end").alias("b")
@@ -249,7 +249,7 @@ def _links(docs: DataFrame, nodes: DataFrame, text_col: str, similarity: float)
     apart = _apart(first.distinct(), group)
     links = linked.union(_verified(apart, texts, similarity))
     links = stored(links, "near-links")
-    member = stored(connected(links), "near-members")
+    member = connected(links, links.count())
     open_rows = (
         shared.where("held > 2")
         .join(member, "node", "left")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from orderlake.llm import simhash
+from orderlake.llm import common, simhash
 from orderlake.llm.common import connected
 from llm_cases import awkward, no_docs  # noqa: F401
 
@@ -133,3 +133,25 @@ def test_one_row_of_each_group_stays(awkward, spark):
     # 1, 2, 3 and the null text have fingerprint zero; 5 and 6 are copies; 7 is repeated
     assert sorted(i for i in ids if i is not None) == [1, 4, 5, 7, 8]
     assert ids.count(None) <= 1
+
+
+def test_few_links_are_kept_in_few_files(spark, conf):
+    """Each file costs three processes where the file system is local: rounds over a few links took
+    as many files as the shuffle has parts."""
+    conf(spark__sql__shuffle__partitions="40", spark__sql__adaptive__coalescePartitions__enabled="false")
+    edges = [(k, k + 1) for k in range(0, 400) if k % 100 != 99]
+    frame = spark.createDataFrame(edges, "a long, b long")
+    for known in ((), (len(edges),)):
+        found = connected(frame, *known)
+        assert len(found.inputFiles()) == 1
+        assert {r["node"]: r["root"] for r in found.collect()} == {
+            k: k // 100 * 100 for k in range(401) if k % 100
+        }
+
+
+def test_many_links_stay_as_they_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(common, "_FILE_ROWS", 100)
+    frame = spark.range(1000).repartition(8)
+    assert common.in_parts(frame, 1000).rdd.getNumPartitions() == 8
+    assert common.in_parts(frame, 250).rdd.getNumPartitions() == 3
+    assert common.in_parts(frame, 0).rdd.getNumPartitions() == 1
