@@ -689,7 +689,7 @@ def layout_stats(lk: Lake) -> DataFrame:
 
     Numbers and sizes of files, which the operator reports too, depend on the writer.
     """
-    paths = {**lk.formats, **lk.layouts, "curated": lk.published.curated}
+    paths = lk.stored
     frames = {**_read_formats(lk), **_layouts(lk), "curated": lk.sales}
     stats = layout.layout_stats({name: (frames[name], paths[name]) for name in frames})
     filed = ((F.col("files") >= F.col("partitions")) & (F.col("bytes") > 0)).alias("filed")

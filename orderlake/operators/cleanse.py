@@ -104,9 +104,13 @@ def annotate(
     known_products = products.select(
         F.col("product_id").alias("_known_product"), "product_name", "category", "price"
     ).distinct()
-    joined = orders.join(
-        known_customers, F.col("customer_id") == F.col("_known_customer"), "left"
-    ).join(known_products, F.col("product_id") == F.col("_known_product"), "left")
+    # The id that was found says no more than that one was: only that goes through the next join.
+    found = F.when(F.col("_known_customer").isNotNull(), True)
+    joined = (
+        orders.join(known_customers, F.col("customer_id") == F.col("_known_customer"), "left")
+        .withColumn("_known_customer", found)
+        .join(known_products, F.col("product_id") == F.col("_known_product"), "left")
+    )
     priced = joined.withColumn("order_total", money(F.col("quantity") * F.col("price")))
     verdict = F.coalesce(
         *[F.when(broken, F.lit(reason)) for reason, broken in rejection_rules(statuses)]

@@ -20,12 +20,14 @@ from orderlake.plans.job import STAGE_COMPRESSION, LakePaths, run_curated_sales
 from orderlake.plans.star import Star, read_star, write_star
 from orderlake.session import configure, scratch
 from orderlake.sinks.layout import write_daily_and_hourly
-from orderlake.sinks.writers import write_flat, write_formats
+from orderlake.sinks.writers import FORMATS, write_flat, write_formats
 from orderlake.sources import feed, readers
 from orderlake.sources.feed import Feed
 from orderlake.streaming.incremental import run_incremental
 
 PARTITIONED = schemas.RAW_ORDERS_PARTITIONED.fieldNames()
+# Neighbouring ids share most of their text: files sorted by them are smaller.
+RAW_SORT = ("order_id",)
 
 
 class Lake:
@@ -53,20 +55,34 @@ class Lake:
         self.feed.orders.write.option("compression", STAGE_COMPRESSION).parquet(path)
         return self.spark.read.schema(self.feed.orders.schema).parquet(path)
 
+    def _encoding(self, name: str) -> str | None:
+        """Where the raw orders are written in this encoding, if they are."""
+        return self.__dict__.get("formats", self._single_formats).get(name)
+
+    @property
+    def _flat_orders(self) -> DataFrame | None:
+        """The raw orders as written without a tree, if they are."""
+        path = self._encoding("parquet_flat")
+        return path and readers.scan_parquet(self.spark, path, schemas.RAW_ORDERS_PARTITIONED)
+
     @property
-    def _orders(self) -> DataFrame:
-        return self.landed_orders if "landed_orders" in self.__dict__ else self.feed.orders
+    def _orders_by_day(self) -> DataFrame | None:
+        """The raw orders as written in day directories, if they are."""
+        path = self.__dict__.get("layouts", {}).get("daily") or self._encoding("parquet")
+        return path and readers.scan_partitioned(self.spark, path)
 
     @cached_property
     def published(self) -> LakePaths:
         """A full run of the job: curated, quarantine and reconciliation on storage."""
         paths = LakePaths.below(self.spark, scratch(self.spark, "lake"))
+        written = self.__dict__.get("landed_orders") or self._flat_orders
         run_curated_sales(
-            self._orders.select(*CLEAN_COLUMNS),
+            (written or self.feed.orders).select(*CLEAN_COLUMNS),
             self.feed.customers,
             self.feed.products,
             paths,
             "full-load",
+            landed=written is not None,
         )
         return paths
 
@@ -88,7 +104,14 @@ class Lake:
     @cached_property
     def formats(self) -> dict[str, str]:
         """The raw orders as CSV, JSON Lines and Parquet trees and as flat Parquet."""
-        return write_formats(self.raw_orders, scratch(self.spark, "formats"))
+        root = scratch(self.spark, "formats")
+        missing = [name for name in FORMATS if name not in self._single_formats]
+        if by_day := self._orders_by_day:
+            written = write_formats(by_day, root, missing, arranged=True)
+        else:
+            orders = self._flat_orders or self.raw_orders
+            written = write_formats(orders, root, missing, sort_by=RAW_SORT)
+        return {name: (self._single_formats | written)[name] for name in FORMATS}
 
     def one_format(self, name: str) -> str:
         """The raw orders in one of these encodings, the others left unwritten."""
@@ -96,7 +119,9 @@ class Lake:
             return self.formats[name]
         if name not in self._single_formats:
             root = scratch(self.spark, "format")
-            self._single_formats |= write_formats(self.raw_orders, root, [name])
+            self._single_formats |= write_formats(
+                self.raw_orders, root, [name], sort_by=RAW_SORT
+            )
         return self._single_formats[name]
 
     @cached_property
@@ -104,9 +129,22 @@ class Lake:
         """Raw orders in day and in hour directories; an unreadable date is filed under hour 00."""
         written = parse_timestamp(blank_to_null(F.col("order_date")), ORDER_DATE_FORMAT)
         hour = F.coalesce(F.date_format(written, "HH"), F.lit("00"))
-        return write_daily_and_hourly(
-            self.raw_orders.withColumn("hour", hour), scratch(self.spark, "layout")
-        )
+        root = scratch(self.spark, "layout")
+        if by_day := self._orders_by_day:
+            return write_daily_and_hourly(by_day, root, hour, arranged=True)
+        orders = self._flat_orders or self.raw_orders
+        return write_daily_and_hourly(orders, root, hour, sort_by=RAW_SORT)
+
+    @property
+    def stored(self) -> dict[str, str]:
+        """Every encoding and layout of the raw orders, and the fact.
+
+        The feed runs once, for the flat copy. One shuffle brings its rows together by day; all
+        other trees are written from that one, and the fact from the flat copy.
+        """
+        self.one_format("parquet_flat")
+        layouts = self.layouts
+        return {**self.formats, **layouts, "curated": self.published.curated}
 
     def raw_file(self, name: str) -> str:
         """The flat raw CSV files of one table, as a source system delivers them."""

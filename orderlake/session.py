@@ -5,6 +5,8 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -31,6 +33,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Runtime settings for what is done inside the block; afterwards they are as before."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def build_session(app_name: str = "orderlake", **extra: str) -> SparkSession:
     """A session with the settings above; master and sizing come from spark-submit."""
     builder = SparkSession.builder.appName(app_name)

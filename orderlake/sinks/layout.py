@@ -4,21 +4,42 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlake.contract import PARTITION_COLUMNS
-from orderlake.sinks.writers import write_partitioned
+from orderlake.sinks.writers import TREE_COMPRESSION, write_partitioned
 
 HOURLY = (*PARTITION_COLUMNS, "hour")
 
 
-def write_daily_and_hourly(orders: DataFrame, root: str) -> dict[str, str]:
-    """The same rows in day and in hour directories; ``orders`` carries year to hour as text."""
+def write_daily_and_hourly(
+    orders: DataFrame,
+    root: str,
+    hour: Column,
+    *,
+    sort_by: Sequence[str] = (),
+    arranged: bool = False,
+) -> dict[str, str]:
+    """The same rows in day and in hour directories; ``orders`` carries year to day as text.
+
+    One shuffle brings the rows of a day together; those of its hours are written from the day
+    tree. ``arranged`` orders are read from a tree of days and need no shuffle at all.
+    """
     paths = {"daily": f"{root}/daily", "hourly": f"{root}/hourly"}
-    write_partitioned(orders.drop("hour"), paths["daily"])
-    write_partitioned(orders, paths["hourly"], partition_by=HOURLY)
+    compression = TREE_COMPRESSION["parquet"]
+    write_partitioned(
+        orders, paths["daily"], sort_by=sort_by, compression=compression, arranged=arranged
+    )
+    days = orders.sparkSession.read.schema(orders.schema).parquet(paths["daily"])
+    write_partitioned(
+        days.withColumn("hour", hour),
+        paths["hourly"],
+        partition_by=HOURLY,
+        compression=compression,
+        arranged=True,
+    )
     return paths
 
 

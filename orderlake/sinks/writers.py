@@ -1,16 +1,35 @@
-"""Sinks. Every partitioned write is rebalanced by its partition columns first."""
+"""Sinks. Every partitioned write is rebalanced by its partition columns first, unless its rows
+are read from files that hold one partition, or a few of them, each."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlake.contract import PARTITION_COLUMNS
+from orderlake.session import settings
 
+# Shuffle files go when the write they served is done. Otherwise they stay until the driver
+# happens to collect its garbage, and those of one write after the other fill the disks.
+WRITE_SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
-def _arranged(frame: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrame:
+# A tree written from another one: a task reads a few of its files and keeps a writer open for
+# each of their partitions, so that nothing is sorted (past the limit Spark sorts the rest).
+TREE_SETTINGS = {
+    "spark.sql.maxConcurrentOutputFileWriters": "128",
+    "spark.sql.files.maxPartitionBytes": "32MB",
+}
+
+# Encodings and layouts of the raw orders: the same rows several times, so size counts.
+TREE_COMPRESSION = {"csv": "gzip", "json": "gzip", "parquet": "zstd"}
+
+
+def _arranged(
+    frame: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str], together: bool
+) -> DataFrame:
     """Bring the rows of a partition together in files of a healthy size.
 
     REBALANCE lets AQE merge small partitions and split a day that holds most of
@@ -18,7 +37,56 @@ def _arranged(frame: DataFrame, partition_by: Sequence[str], sort_by: Sequence[s
     local sort keeps one writer open per task and gives row groups tight
     min/max statistics.
     """
-    return frame.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *sort_by)
+    rows = frame if together else gathered(frame, *partition_by)
+    return rows.sortWithinPartitions(*partition_by, *sort_by)
+
+
+def gathered(frame: DataFrame, *keys: str) -> DataFrame:
+    """Rows of the same keys brought together, in partitions of a healthy size.
+
+    Text beside the keys travels as one value: a row pays offset, length and padding for each of
+    its texts, which compress badly.
+    """
+    packed = [
+        field.name
+        for field in frame.schema.fields
+        if field.dataType == T.StringType() and field.name not in keys
+    ]
+    if len(packed) < 2:
+        return frame.hint("rebalance", *keys)
+    columns = {field.name: _column(field.name) for field in frame.schema.fields}
+    for place, name in enumerate(packed, 1):
+        columns[name] = _unpacked(F.split_part(_column(_PACK), F.lit(_BETWEEN), F.lit(place)))
+    pack = F.concat_ws(_BETWEEN, *[_packable(_column(name)) for name in packed]).alias(_PACK)
+    others = [_column(name) for name in frame.columns if name not in packed]
+    return frame.select(*others, pack).hint("rebalance", *keys).select(
+        *[
+            columns[field.name].alias(field.name, metadata=field.metadata)
+            for field in frame.schema.fields
+        ]
+    )
+
+
+# One text of several. What holds a mark of the packing, or bytes that are no UTF-8 (a text cut
+# within a letter, which would hide the mark behind it), is packed as its bytes in hex.
+_PACK = "_texts"
+_BETWEEN, _ESCAPE = "\x1f", "\x1b"
+_NULL = f"{_ESCAPE}n"
+
+
+def _column(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _packable(text: Column) -> Column:
+    plain = ~text.contains(_BETWEEN) & ~text.contains(_ESCAPE) & F.is_valid_utf8(text)
+    spelled = F.when(plain, text).otherwise(F.concat(F.lit(_ESCAPE), F.hex(text)))
+    return F.coalesce(spelled, F.lit(_NULL))
+
+
+def _unpacked(text: Column) -> Column:
+    spelled = F.unhex(F.substring(text, 2, 2**31 - 1)).cast("string")
+    return F.when(~text.startswith(_ESCAPE), text).when(text != _NULL, spelled)
 
 
 def write_partitioned(
@@ -29,10 +97,17 @@ def write_partitioned(
     sort_by: Sequence[str] = (),
     fmt: str = "parquet",
     compression: str | None = None,
+    together: bool = False,
+    arranged: bool = False,
 ) -> None:
-    """Replace exactly the partitions present in ``frame``; all others stay."""
+    """Replace exactly the partitions present in ``frame``; all others stay.
+
+    ``together`` says that the plan of ``frame`` has brought the rows of a partition together,
+    with ``gathered``; they are only sorted. ``arranged`` says that ``frame`` reads a tree of the same partitions or coarser ones, whose
+    files have a healthy size: its rows are together already and go without shuffle and sort.
+    """
     writer = (
-        _arranged(frame, partition_by, sort_by)
+        (frame if arranged else _arranged(frame, partition_by, sort_by, together))
         .write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -42,7 +117,8 @@ def write_partitioned(
         writer = writer.option("compression", compression)
     for key, value in TEXT_OPTIONS.get(fmt, {}).items():
         writer = writer.option(key, value)
-    writer.save(path)
+    with settings(frame.sparkSession, WRITE_SETTINGS | (TREE_SETTINGS if arranged else {})):
+        writer.save(path)
 
 
 # A raw layer keeps what was sent: a header line, and blanks around values. JSON names every
@@ -63,10 +139,19 @@ def write_curated(
     *,
     partition_by: Sequence[str] = PARTITION_COLUMNS,
     compression: str = "snappy",
+    together: bool = False,
 ) -> None:
-    """The sales fact, partitioned by day and sorted by time inside each file."""
+    """The sales fact, partitioned by day and sorted by time inside each file.
+
+    The rows of a day are ``together`` already if ``gathered`` stands below the plan of the sales.
+    """
     write_partitioned(
-        sales, path, partition_by=partition_by, sort_by=["order_date"], compression=compression
+        sales,
+        path,
+        partition_by=partition_by,
+        sort_by=["order_date"],
+        compression=compression,
+        together=together,
     )
 
 
@@ -77,8 +162,8 @@ def write_quarantine(rejects: DataFrame, path: str, run_id: str) -> None:
     of many tasks are brought together, so that a run does not leave a file per task.
     """
     (
-        rejects.withColumn("run_id", F.lit(run_id))
-        .hint("rebalance")
+        gathered(rejects)
+        .withColumn("run_id", F.lit(run_id))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
@@ -87,32 +172,51 @@ def write_quarantine(rejects: DataFrame, path: str, run_id: str) -> None:
     )
 
 
-def write_flat(frame: DataFrame, path: str, *, fmt: str = "parquet") -> None:
+def write_flat(
+    frame: DataFrame, path: str, *, fmt: str = "parquet", compression: str | None = None
+) -> None:
     """The same rows without a directory tree; partition values stay ordinary columns."""
     writer = frame.write.format(fmt).mode("overwrite")
+    if compression:
+        writer = writer.option("compression", compression)
     for key, value in TEXT_OPTIONS.get(fmt, {}).items():
         writer = writer.option(key, value)
-    writer.save(path)
+    with settings(frame.sparkSession, WRITE_SETTINGS):
+        writer.save(path)
 
 
 FORMATS = ("csv", "json", "parquet", "parquet_flat")
 
 
 def write_formats(
-    orders: DataFrame, root: str, names: Sequence[str] = FORMATS
+    orders: DataFrame,
+    root: str,
+    names: Sequence[str] = FORMATS,
+    *,
+    sort_by: Sequence[str] = (),
+    arranged: bool = False,
 ) -> dict[str, str]:
     """Orders as partitioned CSV, JSON Lines and Parquet, and as flat Parquet; of these, ``names``.
 
     The plan behind ``orders`` runs once: for the flat copy, where that is asked for, from which
-    the trees are written; else for the only tree.
+    the trees are written; else for the only tree. ``arranged`` orders are read from a tree of
+    the same days and need no copy.
     """
     paths = {name: f"{root}/{name}/orders" for name in names}
     trees = [name for name in names if name != "parquet_flat"]
     landed = orders
-    if "parquet_flat" in names or len(trees) > 1:
+    if "parquet_flat" in names or (len(trees) > 1 and not arranged):
         flat = paths.get("parquet_flat", f"{root}/parquet_flat/orders")
-        write_flat(orders, flat)
-        landed = orders.sparkSession.read.schema(orders.schema).parquet(flat)
+        write_flat(orders, flat, compression=TREE_COMPRESSION["parquet"])
+        if not arranged:
+            landed = orders.sparkSession.read.schema(orders.schema).parquet(flat)
     for name in trees:
-        write_partitioned(landed, paths[name], fmt=name)
+        write_partitioned(
+            landed,
+            paths[name],
+            sort_by=sort_by,
+            fmt=name,
+            compression=TREE_COMPRESSION[name],
+            arranged=arranged,
+        )
     return paths

@@ -1,9 +1,12 @@
 """Sources, sinks and layout jobs on real files."""
 
+import itertools
+
 import pytest
 from pyspark.sql import functions as F
 
 from cases import order, orders
+from conftest import plan_of
 from orderlake import schemas
 from orderlake.operators.schema_checks import header_leak
 from orderlake.sinks import layout, tables, writers
@@ -156,3 +159,48 @@ def test_a_file_without_rows_is_a_file(spark, tmp_path):
     rows = spark.read.option("header", True).csv(path)
     found = layout.layout_stats({"csv": (rows, path)}).first()
     assert (found["files"], found["rows"]) == (2, 1)
+
+
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    found = blocks.getAllFiles()
+    return {found.apply(k).getName() for k in range(found.size())}
+
+
+def test_a_write_leaves_no_shuffle_files_and_no_settings(spark, tmp_path):
+    names = (*writers.WRITE_SETTINGS, *writers.TREE_SETTINGS)
+    before, files_before = [spark.conf.get(name) for name in names], shuffle_files(spark)
+    writers.write_partitioned(dated(spark, 3000).repartition(8), f"{tmp_path}/days")
+    with pytest.raises(Exception, match="broken"):
+        broken = dated(spark, 9).withColumn("note", F.raise_error(F.lit("broken")).cast("string"))
+        writers.write_partitioned(broken, f"{tmp_path}/broken", arranged=True)
+    assert [spark.conf.get(name) for name in names] == before
+    left = shuffle_files(spark) - files_before
+    assert not [name for name in left if name.startswith("shuffle_") and name.endswith(".data")]
+
+
+def test_hours_come_from_the_day_tree_without_a_shuffle(spark, tmp_path):
+    """More hours in one task than writers may be open, and rows without a day."""
+    frame = dated(spark, 4000).withColumn("day", F.when(F.col("order_id") != "A7", F.col("day")))
+    hour = F.lpad((F.crc32("order_id") % 24).cast("string"), 2, "0")
+    paths = layout.write_daily_and_hourly(frame, str(tmp_path), hour, sort_by=["order_id"])
+    assert len(files(tmp_path / "daily", ".parquet")) == 21
+    hours = frame.withColumn("hour", hour)
+    assert len(files(tmp_path / "hourly", ".parquet")) == hours.select("day", "hour").distinct().count() > 400
+    back = spark.read.schema(hours.schema).parquet(paths["hourly"])
+    assert sorted(map(str, back.collect())) == sorted(map(str, hours.collect()))
+    assert ".zstd." in files(tmp_path / "daily", ".parquet")[0].name
+
+
+def test_gathered_rows_are_the_same_rows(spark):
+    """Texts with the marks of the packing, without value, empty, and cut within a letter."""
+    texts = [None, "", " ", "a\x1fb", "\x1b", "\x1bn", "\x1bc3", "é\x1f", "\x1f\x1f", "x"]
+    rows = [(a, b, k % 3, c, "k") for k, (a, b, c) in enumerate(itertools.product(texts, repeat=3))]
+    frame = spark.createDataFrame(rows, "`a.b` string, b string, n int, `c``d` string, k string")
+    back = writers.gathered(frame, "k", "n")
+    assert back.schema == frame.schema
+    assert back.exceptAll(frame).isEmpty() and frame.exceptAll(back).isEmpty()
+    cut = spark.sql("SELECT cast(unhex('61c3') AS string) AS x, cast(unhex('1fff') AS string) AS y")
+    as_bytes = [F.hex("x"), F.hex("y")]
+    assert writers.gathered(cut).select(*as_bytes).collect() == cut.select(*as_bytes).collect()
+    assert "_texts" in plan_of(back)
