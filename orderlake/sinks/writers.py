@@ -5,23 +5,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from orderlake.contract import PARTITION_COLUMNS
+from orderlake.functions.texts import packed, unpacked
 from orderlake.session import settings
 
 # Shuffle files go when the write they served is done. Otherwise they stay until the driver
 # happens to collect its garbage, and those of one write after the other fill the disks.
 WRITE_SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
+# Compressed rows unfold to 20 times and more: what sorts, counts or holds them in a task reads
+# no more than this of them, or it would spill.
+READ_SETTINGS = {"spark.sql.files.maxPartitionBytes": "32MB"}
+
 # A tree written from another one: a task reads a few of its files and keeps a writer open for
 # each of their partitions, so that nothing is sorted (past the limit Spark sorts the rest).
-TREE_SETTINGS = {
-    "spark.sql.maxConcurrentOutputFileWriters": "128",
-    "spark.sql.files.maxPartitionBytes": "32MB",
-}
+TREE_SETTINGS = READ_SETTINGS | {"spark.sql.maxConcurrentOutputFileWriters": "128"}
 
 # Encodings and layouts of the raw orders: the same rows several times, so size counts.
 TREE_COMPRESSION = {"csv": "gzip", "json": "gzip", "parquet": "zstd"}
@@ -42,51 +43,8 @@ def _arranged(
 
 
 def gathered(frame: DataFrame, *keys: str) -> DataFrame:
-    """Rows of the same keys brought together, in partitions of a healthy size.
-
-    Text beside the keys travels as one value: a row pays offset, length and padding for each of
-    its texts, which compress badly.
-    """
-    packed = [
-        field.name
-        for field in frame.schema.fields
-        if field.dataType == T.StringType() and field.name not in keys
-    ]
-    if len(packed) < 2:
-        return frame.hint("rebalance", *keys)
-    columns = {field.name: _column(field.name) for field in frame.schema.fields}
-    for place, name in enumerate(packed, 1):
-        columns[name] = _unpacked(F.split_part(_column(_PACK), F.lit(_BETWEEN), F.lit(place)))
-    pack = F.concat_ws(_BETWEEN, *[_packable(_column(name)) for name in packed]).alias(_PACK)
-    others = [_column(name) for name in frame.columns if name not in packed]
-    return frame.select(*others, pack).hint("rebalance", *keys).select(
-        *[
-            columns[field.name].alias(field.name, metadata=field.metadata)
-            for field in frame.schema.fields
-        ]
-    )
-
-
-# One text of several. What holds a mark of the packing, or bytes that are no UTF-8 (a text cut
-# within a letter, which would hide the mark behind it), is packed as its bytes in hex.
-_PACK = "_texts"
-_BETWEEN, _ESCAPE = "\x1f", "\x1b"
-_NULL = f"{_ESCAPE}n"
-
-
-def _column(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
-def _packable(text: Column) -> Column:
-    plain = ~text.contains(_BETWEEN) & ~text.contains(_ESCAPE) & F.is_valid_utf8(text)
-    spelled = F.when(plain, text).otherwise(F.concat(F.lit(_ESCAPE), F.hex(text)))
-    return F.coalesce(spelled, F.lit(_NULL))
-
-
-def _unpacked(text: Column) -> Column:
-    spelled = F.unhex(F.substring(text, 2, 2**31 - 1)).cast("string")
-    return F.when(~text.startswith(_ESCAPE), text).when(text != _NULL, spelled)
+    """Rows of the same keys brought together, in partitions of a healthy size."""
+    return unpacked(packed(frame, *keys).hint("rebalance", *keys), frame.schema, *keys)
 
 
 def write_partitioned(

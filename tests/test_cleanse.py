@@ -225,3 +225,16 @@ def test_hot_customer_is_split_when_dimensions_are_too_large_to_broadcast(spark,
     frame = cleanse.annotate(facts, people, products(spark))
     assert "skew=true" in final_plan_of(frame)
     assert frame.where("rejection_reason IS NULL").count() == n
+
+
+def test_whole_rows_are_judged_like_any_others(spark):
+    odd = [
+        order("A"), order("B\x1f"), order("\x1bn", customer="C9"), order("D", quantity=None),
+        order(None), order("E", status=""), order("F", date="2026-13-01 00:00:00"),
+        order("G", product="\x1fP"), order("H", quantity="x\x1by", customer=None),
+    ]
+    rows, sides = orders(spark, *odd), (customers(spark), products(spark))
+    plain = cleanse.judge_orders(rows, *sides)
+    whole = cleanse.judge_orders(rows, *sides, whole_rows=True)
+    assert whole.schema == plain.schema and plain.count() == len(odd)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, plain.collect()))
